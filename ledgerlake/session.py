@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -48,16 +49,20 @@ def local_session(cores: int | str = "*", app: str = "ledgerlake", **conf: str)
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ledgerlake-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared checkpoint folder.
+    """A fresh folder below the shared checkpoint folder the session names.
 
-    Every executor must see it, so a machine-local folder is made only for a
-    local master that names none.
+    Every executor must see it, so a machine-local folder serves only a local
+    master that names none.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="ledgerlake-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/ledgerlake/{label}-{uuid.uuid4().hex}"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ledgerlake.schemas import CHANGE_ENVELOPE, STREAM_ROW, STREAM_TOPIC
+from ledgerlake.schemas import CHANGE_ENVELOPE, CHANGE_ROW, STREAM_ROW, STREAM_TOPIC
 
 
 def kafka_source(
@@ -30,23 +33,38 @@ def file_source(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.text(path)
 
 
+def _parsed(value: str, schema: StructType, keep: Callable[[Column], Column]) -> Column:
+    """Fields of the parsed text, for the rows worth keeping.
+
+    The test sits inside the expression: as a filter it would be pushed below
+    the parse and parse each text again for every field it looks at.
+    """
+    row = F.from_json(F.col(value).cast("string"), schema, {"mode": "PERMISSIVE"})
+    return F.inline(F.filter(F.array(row), keep))
+
+
 def decode_rows(feed: DataFrame, value: str = "value") -> DataFrame:
     """Transaction rows of the feed. A missing or bad field is null; bad text and change envelopes are skipped."""
-    row = F.from_json(F.col(value).cast("string"), STREAM_ROW, {"mode": "PERMISSIVE"})
-    rows = feed.select(row.alias("row")).select("row.*")
-    return rows.where(F.coalesce(*[F.col(c).cast("string") for c in rows.columns]).isNotNull())
+
+    def any_field(row: Column) -> Column:
+        return F.coalesce(*[row[name].cast("string") for name in STREAM_ROW.names]).isNotNull()
+
+    return feed.select(_parsed(value, STREAM_ROW, any_field))
 
 
 def decode_changes(feed: DataFrame, value: str = "value", table: str = "t_transaction") -> DataFrame:
     """Changed rows of the feed's envelopes, typed, with operation, commit time and place."""
-    envelope = F.from_json(F.col(value).cast("string"), CHANGE_ENVELOPE, {"mode": "PERMISSIVE"})
-    envelopes = feed.select(envelope.alias("e")).where(
-        F.col("e.type").isin("INSERT", "UPDATE", "DELETE") & (F.col("e.table") == table)
-    )
+
+    def is_change(envelope: Column) -> Column:
+        return envelope["type"].isin("INSERT", "UPDATE", "DELETE") & (envelope["table"] == table)
+
+    envelopes = feed.select(_parsed(value, CHANGE_ENVELOPE, is_change))
     rows = envelopes.select(
-        F.col("e.type").alias("op"), F.col("e.es").alias("es"), F.col("e.id").alias("batch"),
-        F.posexplode("e.data").alias("pos", "data"),
-    )
-    return rows.select("op", "es", "batch", "pos", "data.*").withColumns(
-        {"trans_amt": F.col("trans_amt").try_cast("decimal(18,2)"), "trans_time": F.col("trans_time").try_cast("timestamp")}
+        F.col("type").alias("op"), "es", F.col("id").alias("batch"), F.posexplode("data").alias("pos", "row")
     )
+    typed = {
+        "trans_amt": F.col("row.trans_amt").try_cast("decimal(18,2)"),
+        "trans_time": F.col("row.trans_time").try_cast("timestamp"),
+    }
+    fields = [typed.get(name, F.col(f"row.{name}")).alias(name) for name in CHANGE_ROW.names]
+    return rows.select("op", "es", "batch", "pos", *fields)

@@ -1,0 +1,133 @@
+from collections import defaultdict
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.operators import marts
+from ledgerlake.schemas import TABLES
+
+
+def links(spark, rows):
+    return spark.createDataFrame(rows, "customer_hash_key string, account_hash_key string")
+
+
+def bals(spark, rows):
+    return spark.createDataFrame(
+        [(a, None if b is None else Decimal(b)) for a, b in rows], "account_hash_key string, balance decimal(18,2)")
+
+
+def brute(link_rows, balance_rows):
+    total, held = defaultdict(Decimal), defaultdict(set)
+    for c, a in link_rows:
+        for b, amount in balance_rows:
+            if a == b:
+                total[c] += Decimal(amount or 0)
+                held[c].add(a)
+    return {c: (total[c], len(held[c])) for c in held}
+
+
+def test_summary_equals_the_row_by_row_join(spark):
+    link_rows = [("c1", "a1"), ("c1", "a1"), ("c1", "a2"), ("c2", "a2"), ("c3", "a3"), ("c4", "none"), ("c5", "a4")]
+    balance_rows = [("a1", "1.10"), ("a1", "2.20"), ("a2", "-5"), ("a3", None), ("a4", "0"), ("a9", "7")]
+    summary = marts.customer_summary(links(spark, link_rows), bals(spark, balance_rows))
+    got = {r.customer_hash_key: (r.total_asset_amt, r.account_cnt) for r in summary.collect()}
+    assert got == brute(link_rows, balance_rows)
+    assert "c4" not in got  # no balance, no row
+    assert [(f.name, f.dataType) for f in summary.schema] == [
+        (f.name, f.dataType) for f in TABLES["cust_daily_summary"].schema]
+    row = summary.first()
+    assert (row.loan_amt, row.daily_txn_cnt, row.daily_txn_amt, row.product_holding_cnt) == (0, 0, 0, 1)
+
+
+def test_summary_with_a_third_of_all_rows_on_one_account_and_customer(spark):
+    n = 30_000
+    ids = spark.range(n)
+    hot = F.col("id") % 3 == 0
+    link = ids.select(
+        F.when(F.col("id") % 3 == 1, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 500).cast("string"))).alias("customer_hash_key"),
+        F.when(hot, "ghost").otherwise(F.concat(F.lit("a"), F.col("id").cast("string"))).alias("account_hash_key"))
+    balance = ids.select(
+        F.when(hot, "ghost").otherwise(F.concat(F.lit("a"), F.col("id").cast("string"))).alias("account_hash_key"),
+        (F.col("id") % 7).cast("decimal(18,2)").alias("balance"))
+    got = {r.customer_hash_key: (r.total_asset_amt, r.account_cnt) for r in marts.customer_summary(link, balance).collect()}
+
+    link_rows = [(r[0], r[1]) for r in link.collect()]
+    per_account = defaultdict(Decimal)
+    for a, b in balance.collect():
+        per_account[a] += b
+    total, held = defaultdict(Decimal), defaultdict(set)
+    for c, a in link_rows:
+        total[c] += per_account[a]
+        held[c].add(a)
+    assert got == {c: (total[c], len(held[c])) for c in held}
+
+
+def test_kpis(spark):
+    keys = {
+        "hub_customer": ("customer_hash_key", ["a", "a", "b"]),
+        "hub_account": ("account_hash_key", ["a"]),
+        "hub_loan": ("contract_hash_key", []),
+        "hub_card": ("card_hash_key", ["x", "y"]),
+    }
+    vault = {t: spark.createDataFrame([(v,) for v in values], f"{c} string") for t, (c, values) in keys.items()}
+    vault["sat_balance"] = bals(spark, [("a", None)])
+    vault["sat_transaction"] = spark.createDataFrame(
+        [("t", Decimal("1.50")), ("t", Decimal("2.50"))], "transaction_hash_key string, trans_amt decimal(18,2)")
+    kpis = marts.management_kpis(vault)
+    assert {r.kpi_code: r.kpi_value for r in kpis.collect()} == {
+        "TOTAL_CUSTOMER": 2, "TOTAL_DEPOSIT": 0, "TOTAL_ACCOUNT": 1, "DAILY_TXN_CNT": 1, "DAILY_TXN_AMT": 4,
+        "TOTAL_LOAN": 0, "TOTAL_CC": 2}
+    assert [(f.name, f.dataType) for f in kpis.schema] == [(f.name, f.dataType) for f in TABLES["mgmt_kpi"].schema]
+    labels = {r.kpi_code: (r.kpi_name, r.kpi_category, r.kpi_unit) for r in kpis.collect()}
+    assert labels["DAILY_TXN_AMT"] == ("当日交易金额", "PAYMENT", "YUAN")
+
+
+def test_total_beyond_the_type_fails_or_fits_a_wider_one(spark):
+    sums = {"hub_customer": "customer_hash_key", "hub_account": "account_hash_key", "hub_loan": "contract_hash_key", "hub_card": "card_hash_key"}
+    vault = {t: spark.createDataFrame([("a",)], f"{c} string") for t, c in sums.items()}
+    vault["sat_transaction"] = spark.createDataFrame([], "transaction_hash_key string, trans_amt decimal(18,2)")
+    vault["sat_balance"] = bals(spark, [("a", "9" * 16)] * 2)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        marts.management_kpis(vault).collect()
+    wide = {r.kpi_code: r.kpi_value for r in marts.management_kpis(vault, "decimal(38,4)").collect()}
+    assert wide["TOTAL_DEPOSIT"] == 2 * Decimal("9" * 16)
+
+
+def test_kpi_changes(spark):
+    def rows(*items):
+        return spark.createDataFrame(
+            [(dt, "TOTAL_CC", None, None, Decimal(v), None, datetime(2026, 1, 1)) for dt, v in items],
+            "dt string, kpi_code string, kpi_name string, kpi_category string, kpi_value decimal(18,4), kpi_unit string, etl_time timestamp")
+
+    history = rows(("2025-06-14", "100"), ("2026-05-14", "0"), ("2026-06-13", "1"))
+    out = marts.with_kpi_changes(rows(("2026-06-14", "150"), ("2026-06-30", "5")), history)
+    got = {r.dt: (r.yoy_change, r.mom_change) for r in out.collect()}
+    assert got == {"2026-06-14": (Decimal("50.00"), None), "2026-06-30": (None, None)}
+    huge = marts.with_kpi_changes(rows(("2026-06-14", "9999")), rows(("2026-05-14", "1"))).first()
+    assert huge.mom_change is None
+
+
+def test_extended_columns(spark):
+    link = spark.createDataFrame([(F_KEY["C1"], A_KEY["A1"]), (F_KEY["C2"], A_KEY["A2"])], "customer_hash_key string, account_hash_key string")
+    balance = bals(spark, [(A_KEY["A1"], "10"), (A_KEY["A2"], "20")])
+    inputs = marts.SummaryInputs(
+        loans=spark.createDataFrame([("C1", Decimal(5), "ACTIVE"), ("C1", Decimal(7), "SETTLED"), (" C1", Decimal(1), "ACTIVE")],
+                                    "customer_id string, loan_amt decimal(18,2), status string"),
+        transactions=spark.createDataFrame([("A1", Decimal(3)), ("A1 ", Decimal(4)), ("A9", Decimal(9))], "account_no string, trans_amt decimal(18,2)"),
+        accounts=spark.createDataFrame([("C1", "P1"), ("C1", "P1"), ("C1", "P2"), ("C2", None)], "customer_id string, product_id string"),
+    )
+    got = {r.customer_hash_key: (r.loan_amt, r.daily_txn_cnt, r.daily_txn_amt, r.product_holding_cnt)
+           for r in marts.customer_summary(link, balance, inputs).collect()}
+    assert got == {F_KEY["C1"]: (6, 2, 7, 2), F_KEY["C2"]: (0, 0, 0, 0)}
+
+
+def _md5(text):
+    from hashlib import md5
+
+    return md5(text.encode()).hexdigest()
+
+
+F_KEY = {c: _md5(f"CORE|{c}|HUB_CUSTOMER") for c in ("C1", "C2")}
+A_KEY = {a: _md5(f"CORE|{a}|HUB_ACCOUNT") for a in ("A1", "A2")}
