@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import SOURCES
+from ledgerlake.sources.delimited import lost_cells
 
 
 def reconcile(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -67,6 +68,14 @@ def balance_rule(balances: DataFrame, table: str = "balance") -> DataFrame:
     return _rules(row, table, ["balance_identity"])
 
 
+def rejected_rule(raw: DataFrame, name: str) -> DataFrame:
+    """Rows of an extract that lose a filled cell in the cast."""
+    row = raw.agg(
+        F.count_if(F.size(lost_cells(name)) > 0).alias("rejected_cells"), F.count(F.lit(1)).alias("total")
+    )
+    return _rules(row, name, ["rejected_cells"])
+
+
 def drift_rule(today: DataFrame, before: DataFrame, table: str, tolerance: float = 0.5) -> DataFrame:
     """Fails (1 of 1) when the row count moved by more than the tolerated share of the earlier count."""
     counted, none = F.count(F.lit(1)), F.lit(0).cast("bigint")

@@ -1,0 +1,62 @@
+"""Equi-joins that stay even when a few keys hold a large share of one side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is common when it holds more than this share of the rows, so there are at most 1 / SHARE of them.
+SHARE = 0.01
+# Below this many rows one task can take a key whole.
+MIN_ROWS = 200_000
+PIECES = 128
+
+_TRACKED = 10_000
+
+
+def common_values(df: DataFrame, key: str, share: float = SHARE, min_rows: int = MIN_ROWS) -> list[str]:
+    """The values that hold more than a share of all rows.
+
+    One pass with a frequency sketch per task: only sketches are shuffled and
+    at most ``1 / share`` values reach the driver.
+    """
+    limit = int(1 / share)
+    row = df.agg(
+        F.expr(f"approx_top_k({key}, {limit}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("total")
+    ).first()
+    least = max(row.total * share, min_rows)
+    return sorted(x["item"] for x in row.top if x["item"] is not None and x["count"] >= least)
+
+
+def join_many_to_one(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    spread: list[str],
+    counted: DataFrame | None = None,
+    how: str = "inner",
+    share: float = SHARE,
+    min_rows: int = MIN_ROWS,
+    pieces: int = PIECES,
+) -> DataFrame:
+    """Join on a key that is unique in ``one``.
+
+    Adaptive execution cannot split a common key here when ``one`` comes
+    straight from an aggregate on the key. So the rows of common keys in ``many``
+    are dealt over ``pieces`` by the ``spread`` columns, and the one matching row
+    is repeated for each piece; all other keys are joined as they are.
+
+    Common keys are looked for in ``counted``, a cheaper frame that has at least
+    the rows of ``many`` for each key, when the caller has one.
+    """
+    common = common_values(many if counted is None else counted, key, share, min_rows)
+    if not common:
+        return many.join(one, key, how)
+    is_common = F.col(key).isin(common)
+    dealt = many.withColumn(
+        "piece", F.when(is_common, F.pmod(F.xxhash64(*spread), F.lit(pieces))).otherwise(F.lit(0)).cast("int")
+    )
+    repeated = one.withColumn(
+        "piece", F.explode(F.when(is_common, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0))))
+    )
+    return dealt.join(repeated, [key, "piece"], how).drop("piece")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import join_many_to_one
 from ledgerlake.operators.vault import ACCOUNT, CUSTOMER
 
 MONEY = "decimal(18,2)"
@@ -35,12 +36,12 @@ def customer_summary(
     links to one row per pair. No account can then multiply rows, the account
     count needs no distinct, and a customer holding very many accounts is summed
     map-side. A reduced balance times the link rows equals the row-by-row sum.
+    An account shared by very many customers is split over tasks in the join.
     """
     per_account = balances.groupBy(ACCOUNT.key).agg(F.sum("balance").alias("balance"))
     total = F.coalesce(F.sum(F.col("balance") * F.col("link_rows")), F.lit(0)).cast(amount_type)
     base = (
-        customer_accounts(link)
-        .join(per_account, ACCOUNT.key)
+        join_many_to_one(customer_accounts(link), per_account, ACCOUNT.key, [CUSTOMER.key], counted=link)
         .groupBy(CUSTOMER.key)
         .agg(total.alias("total_asset_amt"), F.count(F.lit(1)).cast("int").alias("account_cnt"))
     )

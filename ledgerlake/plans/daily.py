@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import checks, history, insights, marts, vault
 from ledgerlake.schemas import SOURCES, TABLES
-from ledgerlake.sources.delimited import load_source
+from ledgerlake.sources.delimited import read_text, rejected_cells, type_rows
 from ledgerlake.sources.lake import Lake, export_json
 
-# Tables that come straight from a shuffle; evened out on write.
-_SHUFFLED = {"sat_balance", *vault.HUBS}
 
+def load_day(lake: Lake, stage_root: str, dt: str, quarantine: str | None = None) -> None:
+    """Staged extracts to typed source tables.
 
-def load_day(lake: Lake, stage_root: str, dt: str) -> None:
-    """Staged extracts to typed source tables."""
+    With ``quarantine``, rows that lost a cell in the cast are also written
+    there, as text, below their source and day.
+    """
     for name, source in SOURCES.items():
-        lake.write_day(f"ods_{name}", load_source(lake.spark, name, source.stage_path(stage_root, dt), dt), dt)
+        raw = read_text(lake.spark, source.stage_path(stage_root, dt))
+        lake.write_day(f"ods_{name}", type_rows(raw, name, dt), dt)
+        if quarantine:
+            export_json(rejected_cells(raw, name), f"{quarantine.rstrip('/')}/{name}/dt={dt}")
 
 
 def day_sources(lake: Lake, dt: str) -> dict[str, DataFrame]:
@@ -39,7 +43,7 @@ def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
             lake.read_day("link_cust_acct", previous).drop("dt"), tables["link_cust_acct"], dt
         )
     for name, df in tables.items():
-        lake.write_day(name, df, dt, rebalance=name in _SHUFFLED)
+        lake.write_day(name, df, dt)
 
 
 def vault_day(lake: Lake, dt: str) -> dict[str, DataFrame]:
@@ -59,7 +63,7 @@ def build_marts_day(lake: Lake, dt: str, extended: bool = False) -> None:
         rows = day_sources(lake, dt)
         inputs = marts.SummaryInputs(rows["loan"], rows["transaction"], rows["account"])
     summary = marts.customer_summary(links, tables["sat_balance"], inputs)
-    lake.write_day("cust_daily_summary", summary, dt, rebalance=True)
+    lake.write_day("cust_daily_summary", summary, dt)
 
     kpis = marts.management_kpis(tables)
     if extended:
@@ -101,8 +105,15 @@ def reconcile_day(lake: Lake, dt: str) -> DataFrame:
     return checks.reconcile({name: lake.read_day(name, dt) for name in TABLES if name != "mgmt_kpi"})
 
 
-def run_day(lake: Lake, stage_root: str, dt: str, previous: str | None = None, extended: bool = False) -> None:
+def run_day(
+    lake: Lake,
+    stage_root: str,
+    dt: str,
+    previous: str | None = None,
+    extended: bool = False,
+    quarantine: str | None = None,
+) -> None:
     """Load, vault and marts of one day."""
-    load_day(lake, stage_root, dt)
+    load_day(lake, stage_root, dt, quarantine)
     build_vault_day(lake, dt, previous)
     build_marts_day(lake, dt, extended)

@@ -46,8 +46,9 @@ _CTES = {
     "f_pay": """
         select concat('PAY', lpad(cast(event_id as varchar), 10, '0')) as pay_id,
                cast(value as decimal(18,2)) as amount,
-               case when event_type = 'error' then 'FAILED' else 'SUCCESS' end as pay_status, ts as create_time
-        from events where event_type in ('purchase', 'error')""",
+               case event_type when 'error' then 'FAILED' when 'signup' then 'PENDING' else 'SUCCESS' end as pay_status,
+               ts as create_time
+        from events""",
     "f_loan": """
         select concat('LOAN', lpad(cast(s_suppkey as varchar), 8, '0')) as contract_no,
                concat('CUST', lpad(cast(s_suppkey as varchar), 8, '0')) as customer_id,
@@ -57,12 +58,12 @@ _CTES = {
         select concat('6228', lpad(cast(c_custkey as varchar), 14, '0')) as card_no,
                concat('CUST', lpad(cast(c_custkey as varchar), 8, '0')) as customer_id, c_mktsegment as card_level,
                cast(abs(c_acctbal) as decimal(18,2)) as credit_limit
-        from customer where c_custkey % 2 = 0""",
+        from customer""",
     "f_ebank": """
         select concat('EBK', lpad(cast(event_id as varchar), 10, '0')) as trans_id,
                concat('CUST', lpad(cast(user_id as varchar), 8, '0')) as customer_id, event_type as trans_type,
                cast(value as decimal(18,2)) as amount, ts as trans_time
-        from events where event_type in ('click', 'view')""",
+        from events""",
     "summary": """
         select l.customer_hash_key, coalesce(sum(b.balance), 0) as total, count(distinct l.account_hash_key) as accounts
         from (select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as customer_hash_key,

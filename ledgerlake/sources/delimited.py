@@ -44,18 +44,18 @@ def type_rows(raw: DataFrame, name: str, dt: str) -> DataFrame:
     return raw.select(*[_typed(source, f) for f in source.schema], *_audit(source, dt))
 
 
-def rejected_cells(raw: DataFrame, name: str) -> DataFrame:
-    """The raw rows in which a filled cell was lost, with the names of those cells."""
-    source = SOURCES[name]
+def lost_cells(name: str) -> Column:
+    """Names of the row's filled cells that the cast turns into null."""
     checked = [
-        f for f in source.schema
+        f for f in SOURCES[name].schema
         if not isinstance(f.dataType, T.StringType) and f.name not in FORCED_NULL.get(name, ())
     ]
-    names = F.filter(
-        F.array(*[F.when(lost(F.col(f.name), f.dataType), F.lit(f.name)) for f in checked] or [F.lit(None)]),
-        lambda x: x.isNotNull(),
-    )
-    return raw.withColumn("rejected", names).where(F.size("rejected") > 0)
+    return F.array_compact(F.array(*[F.when(lost(F.col(f.name), f.dataType), F.lit(f.name)) for f in checked]))
+
+
+def rejected_cells(raw: DataFrame, name: str) -> DataFrame:
+    """The raw rows in which a filled cell was lost, with the names of those cells."""
+    return raw.withColumn("rejected", lost_cells(name)).where(F.size("rejected") > 0)
 
 
 def load_source(spark: SparkSession, name: str, path: str | Sequence[str], dt: str) -> DataFrame:

@@ -37,35 +37,26 @@ class Lake:
     def day_path(self, name: str, dt: str) -> str:
         return f"{self.path(name)}/dt={checked_day(dt)}"
 
-    def write_day(self, name: str, df: DataFrame, dt: str, rebalance: bool = False) -> None:
+    def write_day(self, name: str, df: DataFrame, dt: str) -> None:
         """Replace exactly one day, also by nothing; other days stay as they are.
 
-        ``rebalance`` evens out file sizes (and splits skewed partitions) for
-        frames that come straight from a shuffle; plain projections of a scan
-        do not need it.
+        No shuffle of its own: a projection keeps the scan's splits, and what
+        comes from a shuffle has the partition sizes that adaptive execution gave it.
         """
         table = TABLES[name]
-        rows = conform(df, table)
-        if rebalance:
-            rows = rows.hint("rebalance")
         (
-            rows.write.mode("overwrite").format(self.fmt)
+            conform(df, table).write.mode("overwrite").format(self.fmt)
             .option("compression", table.compression if self.fmt == "orc" else "snappy")
             .save(self.day_path(name, dt))
         )
 
     def read_day(self, name: str, dt: str) -> DataFrame:
         """One day. Lists that day's folder only; a day never written is empty."""
-        path = self.day_path(name, dt)
-        if not self._exists(path):
-            return self.spark.createDataFrame([], self._schema(name))
-        return self._reader(name).load(path)
+        return self._load(name, self.day_path(name, dt))
 
     def read(self, name: str, start: str | None = None, end: str | None = None) -> DataFrame:
         """All days, or those from ``start`` to ``end``; pruned by folder."""
-        if not self._exists(self.path(name)):
-            return self.spark.createDataFrame([], self._schema(name))
-        df = self._reader(name).load(self.path(name))
+        df = self._load(name, self.path(name))
         if start:
             df = df.where(F.col("dt") >= checked_day(start))
         if end:
@@ -74,30 +65,31 @@ class Lake:
 
     def drop_day(self, name: str, dt: str) -> bool:
         """Remove one day if it is there."""
-        path = self._hadoop_path(self.day_path(name, dt))
-        return bool(path.getFileSystem(self._hadoop_conf()).delete(path, True))
+        files, folder = self._folder(self.day_path(name, dt))
+        return bool(files.delete(folder, True))
+
+    def has(self, name: str) -> bool:
+        """Whether any day was ever written."""
+        return self._exists(self.path(name))
 
     def latest_day(self, name: str = "mgmt_kpi", default: str | None = None) -> DataFrame:
         """One row with the newest day, or the default when there is none."""
         return latest_day(self.read(name), default)
 
-    def _schema(self, name: str):
-        return TABLES[name].schema.add("dt", "string")
-
-    def _reader(self, name: str):
-        return (
-            self.spark.read.format(self.fmt).schema(self._schema(name)).option("basePath", self.path(name))
-        )
-
-    def _hadoop_conf(self):
-        return self.spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _hadoop_path(self, path: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    def _load(self, name: str, path: str) -> DataFrame:
+        schema = TABLES[name].schema.add("dt", "string")
+        if not self._exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.format(self.fmt).schema(schema).option("basePath", self.path(name)).load(path)
 
     def _exists(self, path: str) -> bool:
-        target = self._hadoop_path(path)
-        return bool(target.getFileSystem(self._hadoop_conf()).exists(target))
+        files, folder = self._folder(path)
+        return bool(files.exists(folder))
+
+    def _folder(self, path: str):
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
 
 
 def latest_day(df: DataFrame, default: str | None = None, column: str = "dt") -> DataFrame:
@@ -140,10 +132,15 @@ def create_tables(
 
 
 def insert_day(spark: SparkSession, table: Table, df: DataFrame, dt: str) -> None:
-    """Replace one day of a catalog table; rows go to their bucket before the write, one file per bucket."""
+    """Replace one day of a catalog table.
+
+    Rows of a bucketed table are gathered by bucket before the write, so that a
+    bucket is one file; adaptive execution splits a bucket that a common key
+    makes too large into several files.
+    """
     rows = conform(df, table)
     if table.buckets:
-        rows = rows.repartition(table.buckets, table.bucket_by)
+        rows = rows.hint("rebalance", table.buckets, table.bucket_by)
     names = ", ".join(f.name for f in table.schema)
     spark.sql(
         f"INSERT OVERWRITE TABLE {table.qualified} PARTITION (dt = '{checked_day(dt)}') "
@@ -152,6 +149,17 @@ def insert_day(spark: SparkSession, table: Table, df: DataFrame, dt: str) -> Non
     )
 
 
+def publish_tables(lake: Lake, names: Iterable[str] = tuple(TABLES)) -> None:
+    """Make the lake's folders readable by SQL under the tables' own names, with all days written so far."""
+    names = list(names)
+    plain = [TABLES[name].with_buckets(0) for name in names]
+    create_tables(lake.spark, plain, lake.root, lake.fmt)
+    for name, table in zip(names, plain):
+        if lake.has(name):
+            lake.spark.sql(f"MSCK REPAIR TABLE {table.qualified}")
+            lake.spark.catalog.refreshTable(table.qualified)
+
+
 def drop_partition(spark: SparkSession, table: Table, dt: str) -> None:
     """Drop one day of a catalog table if it is there."""
     spark.sql(f"ALTER TABLE {table.qualified} DROP IF EXISTS PARTITION (dt = '{checked_day(dt)}')")

@@ -104,11 +104,16 @@ def start_account_windows(
     """Keep account windows up to date in files, open windows included.
 
     Update mode: each batch writes the new totals of the windows it touched to
-    its own folder, replacing it if the batch is retried.
+    a folder per day and batch, replacing it if the batch is retried. A day whose
+    windows are closed can be rolled up and dropped as a folder.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        (
+            batch.withColumns({"dt": F.to_date("window.start"), "batch_id": F.lit(batch_id)})
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("dt", "batch_id").parquet(path)
+        )
 
     writer = (
         account_windows(rows, width).writeStream.outputMode("update")
@@ -117,9 +122,14 @@ def start_account_windows(
     return (writer.trigger(availableNow=True) if finite else writer).start()
 
 
-def read_channel_windows(spark: SparkSession, path: str) -> DataFrame:
-    """Channel windows from the files of ``start_account_windows``: newest total per account window, rolled up."""
+def read_channel_windows(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """Channel windows from the files of ``start_account_windows``: newest total per account window, rolled up.
+
+    ``since`` is the first day to read; earlier folders are not opened.
+    """
     updates = spark.read.parquet(path)
+    if since:
+        updates = updates.where(F.col("dt") >= F.lit(since).cast("date"))
     newest = updates.groupBy("window", "channel", "account_no").agg(
         F.max_by(F.struct("txn_cnt", "txn_amt"), "batch_id").alias("newest")
     )

@@ -7,7 +7,7 @@ from ledgerlake.plans import daily, fixtures
 from ledgerlake.plans.registry import comparable
 from ledgerlake.schemas import SOURCES, TABLES
 from ledgerlake.sources.delimited import write_text
-from ledgerlake.sources.lake import Lake
+from ledgerlake.sources.lake import Lake, publish_tables
 
 D1, D2 = "2024-01-30", "2024-01-31"
 
@@ -59,6 +59,50 @@ def test_a_rerun_changes_nothing(run):
     assert {n: bag(lake.read(n)) for n in names} == before
 
 
+def test_bad_cells_are_set_aside(spark, run, tmp_path):
+    lake, stages = run
+    daily.load_day(Lake(spark, str(tmp_path / "lake")), stages, D1, str(tmp_path / "aside"))
+    assert spark.read.schema("rejected array<string>").json(f"{tmp_path}/aside/*/dt={D1}").count() == 0
+    text = spark.createDataFrame([("P1", "ten", "2024-01-30 10:00:00"), ("P2", "10", "x")], "pay_id string, amount string, create_time string")
+    for name in SOURCES["payment"].schema.names:
+        if name not in text.columns:
+            text = text.selectExpr("*", f"cast(null as string) as {name}")
+    root = str(tmp_path / "stg")
+    stage(spark, root, "/root/testdata/sf0.001", D1)
+    write_text(text, SOURCES["payment"].stage_path(root, D1))
+    other = Lake(spark, str(tmp_path / "lake"))
+    daily.load_day(other, root, D1, str(tmp_path / "aside"))
+    aside = spark.read.json(f"{tmp_path}/aside/payment/dt={D1}").collect()
+    assert {r.pay_id: r.rejected for r in aside} == {"P1": ["amount"], "P2": ["create_time"]}
+    assert other.read_day("ods_payment", D1).count() == 2
+
+
+def test_sql_users_read_the_published_days(spark, run):
+    lake, _ = run
+    for table in TABLES.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database}")
+        spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
+    publish_tables(lake)
+    top = spark.sql(f"""
+        SELECT si.cust_name, cs.total_asset_amt FROM bank_dws.dws_cust_daily_summary cs
+        JOIN bank_dwd.dwd_sat_customer_info si ON cs.customer_hash_key = si.customer_hash_key AND si.dt = cs.dt
+        WHERE cs.dt = '{D1}' AND si.is_current ORDER BY cs.total_asset_amt DESC, cs.customer_hash_key LIMIT 15""")
+    assert [r[0] for r in top.collect()] == [r.cust_name for r in daily.dashboard(lake, D1)["top_customers"].collect()]
+    for table in TABLES.values():
+        spark.sql(f"DROP TABLE {table.qualified}")
+
+
+def test_command_line(spark, sf_dir, run, tmp_path):
+    lake, stages = run
+    from ledgerlake.__main__ import main
+
+    out = tmp_path / "out"
+    main(["run", "--lake", str(tmp_path / "lake"), "--stage", stages, "--dt", D1], spark)
+    main(["export", "--lake", str(tmp_path / "lake"), "--dt", D1, "--out", str(out)], spark)
+    assert len(list(out.iterdir())) == 10
+    assert bag(Lake(spark, str(tmp_path / "lake")).read_day("mgmt_kpi", D1)) == bag(lake.read_day("mgmt_kpi", D1))
+
+
 def test_history_of_the_second_day(run):
     lake, _ = run
     first, second = lake.read_day("sat_customer", D1), lake.read_day("sat_customer", D2)

@@ -8,7 +8,8 @@ from ledgerlake.operators.vault import HUBS, build_hub
 from ledgerlake.schemas import TABLES
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.lake import (
-    Lake, create_table_sql, create_tables, drop_partition, export_json, insert_day, latest_day,
+    Lake, create_table_sql, create_tables, drop_partition, export_json, insert_day,
+    latest_day, publish_tables,
 )
 
 D1, D2 = "2026-06-13", "2026-06-14"
@@ -28,7 +29,7 @@ def test_a_day_is_replaced_and_others_stay(spark, tmp_path, fmt):
     lake = Lake(spark, str(tmp_path), fmt)
     lake.write_day("hub_customer", hub(spark, D1, "a"), D1)
     lake.write_day("hub_customer", hub(spark, D2, "b", "c"), D2)
-    lake.write_day("hub_customer", hub(spark, D2, "d"), D2, rebalance=True)
+    lake.write_day("hub_customer", hub(spark, D2, "d"), D2)
     lake.write_day("hub_customer", hub(spark, D2, "d"), D2)
     assert ids(lake.read("hub_customer")) == [(D1, "a"), (D2, "d")]
     assert ids(lake.read_day("hub_customer", D1)) == [(D1, "a")]
@@ -77,6 +78,9 @@ def test_json_lines_keep_nulls_and_decimals(spark, tmp_path):
 
 
 def test_catalog_tables(spark, tmp_path):
+    for table in TABLES.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database}")
+        spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
     create_tables(spark, root=str(tmp_path))
     create_tables(spark, root=str(tmp_path))
     assert len(TABLES) == 21
@@ -97,6 +101,7 @@ def test_bucketed_tables_join_and_count_without_a_shuffle(spark, tmp_path):
     names = ("hub_account", "sat_balance")
     tables = [TABLES[n].with_buckets(4) for n in names]
     for table in tables:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database}")
         spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
     create_tables(spark, tables, str(tmp_path / "bucketed"))
     keys = spark.range(200).select(F.md5(F.col("id").cast("string")).alias("account_hash_key"))
@@ -113,6 +118,37 @@ def test_bucketed_tables_join_and_count_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_common_key_does_not_leave_its_bucket(spark, tmp_path):
+    table = TABLES["sat_transaction"].with_buckets(4)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database}")
+    spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
+    create_tables(spark, [table], str(tmp_path / "hot"))
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("transaction_hash_key"),
+        *[F.lit(None).alias(f.name) for f in table.schema if f.name != "transaction_hash_key"])
+    insert_day(spark, table, rows, D1)
+    stored = spark.table(table.qualified)
+    assert stored.count() == 3000 and stored.where("transaction_hash_key = 'hot'").count() == 1000
+    assert stored.groupBy("transaction_hash_key").count().count() == 2001  # counted bucket by bucket
+    spark.sql(f"DROP TABLE {table.qualified}")
+
+
+def test_published_folders_answer_sql(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    for name in ("hub_customer", "hub_org"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {TABLES[name].database}")
+        spark.sql(f"DROP TABLE IF EXISTS {TABLES[name].qualified}")
+    lake.write_day("hub_customer", hub(spark, D1, "a", "b"), D1)
+    publish_tables(lake, ["hub_customer", "hub_org"])
+    lake.write_day("hub_customer", hub(spark, D2, "c"), D2)
+    publish_tables(lake, ["hub_customer", "hub_org"])
+    got = spark.sql("SELECT dt, COUNT(1) AS n FROM bank_dwd.dwd_hub_customer GROUP BY dt ORDER BY dt").collect()
+    assert [tuple(r) for r in got] == [(D1, 2), (D2, 1)]
+    assert spark.sql("SELECT MAX(dt) FROM bank_dwd.dwd_hub_org").first()[0] is None
+    for name in ("hub_customer", "hub_org"):
+        spark.sql(f"DROP TABLE {TABLES[name].qualified}")
+
+
 def test_table_text():
     text = create_table_sql(TABLES["cust_daily_summary"])
     assert "CLUSTERED BY (customer_hash_key) INTO 16 BUCKETS" in text

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from ledgerlake.operators.checks import rejected_rule
 from ledgerlake.schemas import SOURCES, TABLES
 from ledgerlake.sources.delimited import load_source, read_text, rejected_cells, type_rows
 
@@ -47,6 +48,7 @@ def test_bad_cells_turn_null_and_are_reported(spark, tmp_path):
     assert len(rows) == 3
     rejected = rejected_cells(raw, "loan").collect()
     assert [(r.CONTRACT_NO, r.rejected) for r in rejected] == [("bad", ["loan_amt", "term", "sign_date"])]
+    assert tuple(rejected_rule(raw, "loan").first()) == ("rejected_cells", "loan", 1, 3)
 
 
 def test_amount_beyond_the_type_is_rejected(spark, tmp_path):

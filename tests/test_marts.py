@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import marts
+from ledgerlake.operators import joins, marts
 from ledgerlake.schemas import TABLES
 
 
@@ -41,7 +41,10 @@ def test_summary_equals_the_row_by_row_join(spark):
     assert (row.loan_amt, row.daily_txn_cnt, row.daily_txn_amt, row.product_holding_cnt) == (0, 0, 0, 1)
 
 
-def test_summary_with_a_third_of_all_rows_on_one_account_and_customer(spark):
+@pytest.mark.parametrize("split", [False, True])
+def test_summary_with_a_third_of_all_rows_on_one_account_and_customer(spark, monkeypatch, split):
+    if split:  # as for large data
+        monkeypatch.setattr(joins, "common_values", lambda *a: ["ghost"])
     n = 30_000
     ids = spark.range(n)
     hot = F.col("id") % 3 == 0
@@ -131,3 +134,24 @@ def _md5(text):
 
 F_KEY = {c: _md5(f"CORE|{c}|HUB_CUSTOMER") for c in ("C1", "C2")}
 A_KEY = {a: _md5(f"CORE|{a}|HUB_ACCOUNT") for a in ("A1", "A2")}
+
+
+def test_common_values_are_split_and_all_rows_kept(spark):
+    many = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+        F.col("id"))
+    one = spark.range(60).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).unionByName(
+        spark.createDataFrame([("hot", 2)], "k string, v int"))
+    assert joins.common_values(many, "k") == []  # too few rows to matter
+    assert joins.common_values(many, "k", 0.1, 10) == ["hot"]
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        plain = many.join(one, "k", how)
+        split = joins.join_many_to_one(many, one, "k", ["id"], how=how, share=0.1, min_rows=10, pieces=16)
+        assert split.columns == plain.columns
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect())), how
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joins.join_many_to_one(many, one, "k", ["id"], share=0.1, min_rows=10)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [k" in plan and "piece" in plan.split("SortMergeJoin", 1)[1].split("\n", 1)[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

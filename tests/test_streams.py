@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import patterns
 from ledgerlake.sources import feed
 from ledgerlake.streaming import monitor
 
@@ -132,3 +133,25 @@ def test_state_holds_accounts_as_rows_not_as_sets(spark, tmp_path):
     topic.send(row("10:00:00"))
     plan = monitor.channel_windows(timed(spark, topic))._jdf.queryExecution().toString()
     assert "collect_set" not in plan and "collect_list" not in plan
+
+
+def test_fast_in_out_as_a_stream(spark, tmp_path):
+    topic = Topic(tmp_path / "in")
+    topic.send(row("10:01:00", "quick", 200000, dr_cr_flag="C"), row("10:01:00", "slow", 200000, dr_cr_flag="C"))
+    topic.send(row("10:03:00", "quick", 190000, dr_cr_flag="D"))
+    topic.send(row("11:00:00", "slow", 190000, dr_cr_flag="D"))
+    topic.send(row("13:00:00", "none", 1, dr_cr_flag="D"))
+    alerts = patterns.fast_in_out(timed(spark, topic), time="txn_ts")
+    finish(monitor.start_append(alerts, str(tmp_path / "out"), str(tmp_path / "cp"), finite=True))
+    got = spark.read.schema(alerts.schema).parquet(str(tmp_path / "out")).collect()
+    assert {r.account_no for r in got} == {"quick"}
+    assert {str(r.window_start)[11:] for r in got} == {"09:55:00", "10:00:00"}
+
+
+def test_live_windows_read_from_a_day_on(spark, tmp_path):
+    topic = Topic(tmp_path / "in")
+    topic.send(row("23:59:59"), {**row("00:00:01"), "trans_time": "2026-06-15 00:00:01"})
+    out = str(tmp_path / "out")
+    finish(monitor.start_account_windows(timed(spark, topic), out, str(tmp_path / "cp"), finite=True))
+    assert len(stats(monitor.read_channel_windows(spark, out))) == 2
+    assert [r[0] for r in stats(monitor.read_channel_windows(spark, out, since="2026-06-15"))] == ["00:00:00"]

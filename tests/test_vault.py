@@ -1,6 +1,8 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from ledgerlake.operators import vault
 from ledgerlake.schemas import TABLES
 
@@ -68,3 +70,33 @@ def test_hub_shuffles_only_the_id(spark, sf_dir):
     plan = vault.build_hub(fixtures.transactions(spark, sf_dir), vault.TRANSACTION, DT)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "keys=[trans_id" in plan
     assert "md5(" not in plan.split("Exchange")[1]  # hashed after the shuffle, once per id
+
+
+def test_a_hot_account_is_split_in_the_balance_join(spark):
+    """A third of all balances on one account: the join splits its partition and gives every row."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    ids = spark.range(0, 60_000, 1, 6)
+    number = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("A"), F.col("id").cast("string")))
+    balance = ids.select(
+        number.alias("account_no"), F.col("id").cast("decimal(18,2)").alias("balance"),
+        F.lit(0).cast("decimal(18,2)").alias("avail_balance"), F.lit(0).cast("decimal(18,2)").alias("frozen_amt"),
+        F.lit(None).cast("timestamp").alias("last_update"))
+    acct = ids.where((F.col("id") % 3 != 0) | (F.col("id") == 0)).select(
+        number.alias("account_no"), F.lit("CNY").alias("currency"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        sat = vault.build_sat_balance(balance, acct, DT)
+        rows = sat.select("balance").collect()
+        plan = sat.select("balance")
+        plan.collect()
+        assert "SortMergeJoin(skew=true)" in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(rows) == 60_000 and sum(r.balance for r in rows) == sum(range(60_000))
