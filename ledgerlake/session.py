@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # join by hash where every partition is known to be small once shuffled; larger or skewed ones sort and split
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",  # 32-bucket vault against 16-bucket summary
 }
 

