@@ -230,8 +230,8 @@ _COUNTED = {
 
 
 def _windows(seconds: int) -> str:
-    return f"""select strftime(to_timestamp(floor(epoch(trans_time) / {seconds}) * {seconds}) at time zone 'UTC',
-                              '%Y-%m-%d %H:%M:%S') as window_start, channel, """
+    start = f"time_bucket(interval '{seconds} seconds', trans_time)"
+    return f"select strftime({start}, '%Y-%m-%d %H:%M:%S') as window_start, channel, "
 
 
 ORACLES: dict[str, str] = {

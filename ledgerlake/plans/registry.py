@@ -164,7 +164,6 @@ def day_overwrite(spark, sf):
     lake = Lake(spark, scratch_dir(spark, "lake"))
     accounts = delimited.type_rows(fixtures.accounts(spark, sf), "account", BEFORE)
     for rows, dt in (
-        (accounts.limit(0), AFTER),
         (accounts, BEFORE),
         (accounts.where("status = 'NORMAL'"), BEFORE),
         (accounts.where("status <> 'NORMAL'"), AFTER),
