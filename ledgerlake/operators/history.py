@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import join_many_to_one
 from ledgerlake.operators.vault import CUSTOMER, OPEN_END
 
 
@@ -140,7 +141,8 @@ def latest_changes(changes: DataFrame, key: str = "trans_id") -> DataFrame:
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, key: str = "trans_id") -> DataFrame:
-    """A base table with the newest change of each key applied."""
+    """A base table with the newest change of each key applied; base rows that share a key are all replaced."""
     newest = newest_per_key(changes, key, ["es", "batch", "pos"])
-    untouched = base.join(newest.select(key), key, "left_anti")
-    return untouched.unionByName(newest.where(F.col("op") != "DELETE").select(*base.columns))
+    rest = [c for c in base.columns if c != key]
+    untouched = join_many_to_one(base, newest.select(key), key, rest, how="left_anti")
+    return untouched.select(*base.columns).unionByName(newest.where(F.col("op") != "DELETE").select(*base.columns))

@@ -14,18 +14,20 @@ PIECES = 128
 _TRACKED = 10_000
 
 
-def common_values(df: DataFrame, key: str, share: float = SHARE, min_rows: int = MIN_ROWS) -> list[str]:
-    """The values that hold more than a share of all rows.
+def common_values(df: DataFrame, key: str, share: float = SHARE, min_rows: int = MIN_ROWS) -> list[str | None]:
+    """The values, null among them, that hold more than a share of all rows.
 
     One pass with a frequency sketch per task: only sketches are shuffled and
     at most ``1 / share`` values reach the driver.
     """
-    limit = int(1 / share)
     row = df.agg(
-        F.expr(f"approx_top_k({key}, {limit}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("total")
+        F.expr(f"approx_top_k({key}, {int(1 / share)}, {_TRACKED})").alias("top"),
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+        F.count(F.lit(1)).alias("total"),
     ).first()
     least = max(row.total * share, min_rows)
-    return sorted(x["item"] for x in row.top if x["item"] is not None and x["count"] >= least)
+    values = sorted(x["item"] for x in row.top if x["item"] is not None and x["count"] >= least)
+    return [*values, None] if row.nulls >= least else values
 
 
 def join_many_to_one(
@@ -52,9 +54,11 @@ def join_many_to_one(
     common = common_values(many if counted is None else counted, key, share, min_rows)
     if not common:
         return many.join(one, key, how)
-    is_common = F.col(key).isin(common)
+    is_common = F.coalesce(F.col(key).isin([v for v in common if v is not None]), F.lit(False))
+    # rows without a key match nothing, wherever they go
+    is_dealt = is_common | F.col(key).isNull() if None in common else is_common
     dealt = many.withColumn(
-        "piece", F.when(is_common, F.pmod(F.xxhash64(*spread), F.lit(pieces))).otherwise(F.lit(0)).cast("int")
+        "piece", F.when(is_dealt, F.pmod(F.xxhash64(*spread), F.lit(pieces))).otherwise(F.lit(0)).cast("int")
     )
     repeated = one.withColumn(
         "piece", F.explode(F.when(is_common, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0))))

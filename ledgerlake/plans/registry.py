@@ -306,7 +306,7 @@ def stream_large_amount(spark, sf):
 def stream_channel_window(spark, sf):
     out = scratch_dir(spark, "windows")
     rows = monitor.with_event_time(feed.decode_rows(_staged_feed(spark, sf)))
-    _finish(monitor.start_account_windows(rows, f"{out}/rows", f"{out}/checkpoint", "1 hour", finite=True))
+    _finish(monitor.start_account_windows(rows, f"{out}/rows", f"{out}/checkpoint", "1 hour", finite=True, files=4))
     return monitor.read_channel_windows(spark, f"{out}/rows")
 
 

@@ -99,18 +99,22 @@ def start_append(
 
 
 def start_account_windows(
-    rows: DataFrame, path: str, checkpoint: str, width: str = WINDOW, finite: bool = False
+    rows: DataFrame, path: str, checkpoint: str, width: str = WINDOW, finite: bool = False, files: int = 16
 ) -> StreamingQuery:
     """Keep account windows up to date in files, open windows included.
 
     Update mode: each batch writes the new totals of the windows it touched to
     a folder per day and batch, replacing it if the batch is retried. A day whose
-    windows are closed can be rolled up and dropped as a folder.
+    windows are closed can be rolled up and dropped as a folder. ``files`` is the
+    number of files per day and batch; without it every state partition would
+    write one for every day.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        piece = F.pmod(F.xxhash64("channel", "account_no", "window.start"), F.lit(files))
         (
             batch.withColumns({"dt": F.to_date("window.start"), "batch_id": F.lit(batch_id)})
+            .repartition("dt", piece)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("dt", "batch_id").parquet(path)
         )

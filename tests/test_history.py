@@ -1,7 +1,7 @@
 from datetime import date
 from decimal import Decimal
 
-from ledgerlake.operators import checks, history, patterns, vault
+from ledgerlake.operators import checks, history, joins, patterns, vault
 from ledgerlake.sources import feed
 
 D1, D2, D3 = "2026-06-13", "2026-06-14", "2026-06-15"
@@ -109,6 +109,16 @@ def test_change_feed(spark):
     assert [r.trans_id for r in feed.decode_rows(topic).collect()] == ["plain"]
 
 
+def test_changes_onto_a_base_with_a_common_and_a_missing_key(spark, monkeypatch):
+    changes = feed.decode_changes(spark.createDataFrame([(x,) for x in FEED], "value string"))
+    rows = [("2", Decimal(i)) for i in range(50)] + [(None, Decimal(i)) for i in range(50)] + [("7", Decimal(i)) for i in range(50)]
+    base = spark.createDataFrame(rows, "trans_id string, trans_amt decimal(18,2)")
+    plain = sorted(map(str, history.apply_changes(base, changes).collect()))
+    monkeypatch.setattr(joins, "common_values", lambda *a: ["2", "7", None])  # as for large data
+    assert sorted(map(str, history.apply_changes(base, changes).collect())) == plain
+    assert len(plain) == 101
+
+
 def test_quality_rules(spark):
     acct = spark.createDataFrame([("A", "C"), ("A", "C"), ("A ", "C"), (None, "C"), ("", "X")], "account_no string, customer_id string")
     failed = {r.rule: (r.failed, r.total) for r in checks.key_rules(acct, "account", "account_no").collect()}

@@ -143,7 +143,10 @@ def test_common_values_are_split_and_all_rows_kept(spark):
     one = spark.range(60).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).unionByName(
         spark.createDataFrame([("hot", 2)], "k string, v int"))
     assert joins.common_values(many, "k") == []  # too few rows to matter
-    assert joins.common_values(many, "k", 0.1, 10) == ["hot"]
+    assert joins.common_values(many, "k", 0.1, 10) == ["hot", None]
+    assert joins.common_values(many.limit(0), "k", 0.1, 10) == []
+    nulls = joins.join_many_to_one(many, one, "k", ["id"], how="left", share=0.1, min_rows=10, pieces=16)
+    assert nulls.where("k is null").count() == 3000
     for how in ("inner", "left", "left_anti", "left_semi"):
         plain = many.join(one, "k", how)
         split = joins.join_many_to_one(many, one, "k", ["id"], how=how, share=0.1, min_rows=10, pieces=16)
