@@ -34,6 +34,9 @@ def day_sources(lake: Lake, dt: str) -> dict[str, DataFrame]:
 
 def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
     """Source tables to vault tables. With ``previous``, customers and links keep their history from that day."""
+    if previous and previous >= dt:
+        # a day must not be built from itself or from the future
+        raise ValueError(f"previous day {previous} is not before {dt}")
     tables = vault.build_vault(day_sources(lake, dt), dt)
     if previous:
         tables["sat_customer"] = history.next_customer_versions(

@@ -114,6 +114,13 @@ def test_history_of_the_second_day(run):
     assert second.where("is_current and load_date = date'2024-01-31'").count() == corporate - left_corporate
 
 
+def test_a_day_is_not_built_from_itself(run):
+    lake, _ = run
+    for previous in (D2, "2024-02-01"):
+        with pytest.raises(ValueError):
+            daily.build_vault_day(lake, D2, previous)
+
+
 def test_dashboards_agree(run, tmp_path):
     lake, _ = run
     views = daily.dashboard(lake, D1)
