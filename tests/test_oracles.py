@@ -14,11 +14,15 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
+# the operators for training data have tests of their own
+OWN = sorted(n for n in QUERIES if n != "pipeline" and not n.startswith("op"))
+
+
 def test_each_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(OWN) <= set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert difference(spark, con, QUERIES[name], ORACLES[name], sf_dir) == ""
 
@@ -32,7 +36,7 @@ _EAGER = {"json_export", "day_overwrite"}
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in QUERIES if not n.startswith(("stream_", "ods_load_")) and n not in _EAGER)
+    "name", sorted(n for n in OWN if not n.startswith(("stream_", "ods_load_")) and n not in _EAGER)
 )
 def test_plan_scales(spark, sf_dir, name):
     """No cross or nested-loop join, no window over a whole group, no Python in any plan."""
