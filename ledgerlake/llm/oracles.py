@@ -83,4 +83,34 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from base
 """
 
-ORACLES = {"op5_urls": URLS, "op6_warc": WARC, "op10_quality": QUALITY}
+JACCARD = rf"""
+with recursive d as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as w
+  from documents
+),
+grams as (
+  select distinct doc_id, w[i] || chr(0) || w[i + 1] || chr(0) || w[i + 2] as gram
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d where len(w) >= 3)
+  union all
+  select doc_id, array_to_string(w, chr(0)) from d where len(w) between 1 and 2
+),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from grams a join grams b on a.gram = b.gram and a.doc_id < b.doc_id
+  group by all
+),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)
+),
+edges as (select a, b from links union all select b, a from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, e.b from reach r join edges e on e.a = r.other
+)
+select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+from reach left join sizes using (doc_id) group by doc_id
+"""
+
+ORACLES = {"op4_jaccard": JACCARD, "op5_urls": URLS, "op6_warc": WARC, "op10_quality": QUALITY}

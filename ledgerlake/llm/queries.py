@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, packing, quality, sharding, urls, warc
+from ledgerlake.llm import jaccard, mixing, packing, quality, sharding, urls, warc
 from ledgerlake.llm.common import table
 from ledgerlake.session import scratch_dir
 
@@ -28,6 +29,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the size of their 3-word shingle sets and their component at a similarity of 0.9."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(9, 10))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every url of pages, judged."""
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -67,5 +73,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op5_urls, op6_warc, op8_mixing, op9_packing, op10_quality)
+    f.__name__: f for f in (op1_sharding, op4_jaccard, op5_urls, op6_warc, op8_mixing, op9_packing, op10_quality)
 }
