@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +86,43 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+# ---- arrays of fixed size, gathered from all tasks ----------------------------------------------------------------
+
+#: Rows that an array is cut into while it is added up.
+CHUNKS = 64
+
+
+def chunked(array: np.ndarray) -> pa.RecordBatch:
+    """An array as CHUNKS rows (chunk, data)."""
+    return _chunk_rows(dict(enumerate(np.array_split(array, CHUNKS))))
+
+
+def gathered(parts: DataFrame, combine: str) -> np.ndarray:
+    """The sum or the union of arrays that tasks emit as (chunk, data) rows, by way of several tasks for each chunk."""
+    ship(parts.sparkSession)
+    add = np.add if combine == "add" else np.bitwise_or
+    kind = np.int64 if combine == "add" else np.uint8
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data")):
+                values = np.frombuffer(data.as_py(), dtype=kind)
+                sums[chunk] = add(sums[chunk], values) if chunk in sums else values
+        yield _chunk_rows(sums)
+
+    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
+    some = salted.repartition("chunk", "salt").select("chunk", "data").mapInArrow(total, "chunk int, data binary")
+    rows = some.repartition("chunk").mapInArrow(total, "chunk int, data binary").collect()  # CHUNKS rows
+    return np.concatenate([np.frombuffer(r["data"], dtype=kind) for r in sorted(rows)]) if rows else np.zeros(0, kind)
+
+
+def _chunk_rows(chunks: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(chunks), pa.int32()), pa.array([c.tobytes() for c in chunks.values()], pa.binary())], names=["chunk", "data"]
+    )
+
+
 # ---- vectorised hashes of words -------------------------------------------------------------------------------
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

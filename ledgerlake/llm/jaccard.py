@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Words, mix, ship, written
+from ledgerlake.llm.common import Words, chunked, gathered, mix, ship, written
 from ledgerlake.llm.components import components
 
-#: Places of the sketch of n-gram frequencies, as a power of two, and rows that one holds while they are added up.
-SKETCH_BITS, CHUNKS = 20, 64
+#: Places of the sketch of n-gram frequencies, as a power of two.
+SKETCH_BITS = 20
 #: 64-bit words of a set's bitmap.
 BITMAP = 32
 #: Classes in a list that is paired as a whole; classes in a block of a longer one; leaders of such a list.
@@ -41,33 +41,7 @@ def shingles(text: bytes | None, n: int) -> np.ndarray:
     return np.unique(words.windows(n)) if len(words) >= n else words.whole()
 
 
-# ---- arrays of fixed size, gathered from all tasks ------------------------------------------------------------------
-
-
-def _gathered(parts: DataFrame, combine: str) -> np.ndarray:
-    """The sum or the union of arrays that tasks emit as (chunk, data) rows, by way of several tasks for each chunk."""
-    ship(parts.sparkSession)
-    add = np.add if combine == "add" else np.bitwise_or
-    kind = np.int64 if combine == "add" else np.uint8
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data")):
-                values = np.frombuffer(data.as_py(), dtype=kind)
-                sums[chunk] = add(sums[chunk], values) if chunk in sums else values
-        yield _rows(sums)
-
-    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
-    some = salted.repartition("chunk", "salt").select("chunk", "data").mapInArrow(total, "chunk int, data binary")
-    rows = some.repartition("chunk").mapInArrow(total, "chunk int, data binary").collect()  # CHUNKS rows
-    return np.concatenate([np.frombuffer(r["data"], dtype=kind) for r in sorted(rows)]) if rows else np.zeros(0, kind)
-
-
-def _rows(chunks: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(chunks), pa.int32()), pa.array([c.tobytes() for c in chunks.values()], pa.binary())], names=["chunk", "data"]
-    )
+# ---- frequencies ----------------------------------------------------------------------------------------------------
 
 
 def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
@@ -79,9 +53,9 @@ def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
             found = [shingles(t, n) for t in batch.column(0).to_pylist()]
             if found:
                 seen += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen))
-        yield _rows(dict(enumerate(np.split(seen, CHUNKS))))
+        yield chunked(seen)
 
-    total = _gathered(texts.mapInArrow(count, "chunk int, data binary"), "add")
+    total = gathered(texts.mapInArrow(count, "chunk int, data binary"), "add")
     if not len(total):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     return np.log2(np.maximum(total, 1)).astype(np.uint8)
@@ -274,9 +248,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             keys = mix(batch.column(0).to_numpy().view(np.uint64))
             bits[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        yield _rows(dict(enumerate(np.split(np.packbits(bits), CHUNKS))))
+        yield chunked(np.packbits(bits))
 
-    marks = _gathered(wanted.select("tk").mapInArrow(mark, "chunk int, data binary"), "or")
+    marks = gathered(wanted.select("tk").mapInArrow(mark, "chunk int, data binary"), "or")
     bits = docs.sparkSession.sparkContext.broadcast(marks)  # 1 MB, whatever the input
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

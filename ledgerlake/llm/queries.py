@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import jaccard, mixing, packing, quality, sharding, urls, warc
+from ledgerlake.llm import ann, jaccard, language, mixing, packing, quality, secret_scan, sharding, urls, warc
 from ledgerlake.llm.common import table
 from ledgerlake.session import scratch_dir
 
@@ -29,6 +29,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest others of every embedding whose vec_id is divisible by 50."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret in every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the size of their 3-word shingle sets and their component at a similarity of 0.9."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(9, 10))
@@ -54,6 +64,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from three of four folds."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed: weights 1, 2, 3 by source, at most three epochs."""
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
@@ -73,5 +88,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op4_jaccard, op5_urls, op6_warc, op8_mixing, op9_packing, op10_quality)
+    f.__name__: f
+    for f in (
+        op1_sharding, op2_neighbours, op3_secrets, op4_jaccard, op5_urls, op6_warc, op7_language, op8_mixing,
+            op9_packing, op10_quality,
+    )
 }
