@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -197,8 +198,6 @@ def _block_pairs(postings: DataFrame, shared: DataFrame, nodes: DataFrame, label
 
     def pair(frame):
         """Pairs within block i if i = j, else of block i with block j."""
-        import pandas as pd
-
         same = int(frame["i"].iloc[0]) == int(frame["j"].iloc[0])
         left = frame if same else frame[frame["own"] == frame["i"]]
         right = frame if same else frame[frame["own"] == frame["j"]]
@@ -243,23 +242,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     A filter of fixed size lets tasks skip most other texts before any shuffle.
     """
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-        for batch in batches:
-            keys = mix(batch.column(0).to_numpy().view(np.uint64))
-            bits[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        yield chunked(np.packbits(bits))
-
-    marks = gathered(wanted.select("tk").mapInArrow(mark, "chunk int, data binary"), "or")
-    bits = docs.sparkSession.sparkContext.broadcast(marks)  # 1 MB, whatever the input
+    listed = _filter(wanted)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked, done = np.unpackbits(bits.value), set()
+        done = set()
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            hit = np.flatnonzero(marked[(mix(keys.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-            fresh = []
-            for k in hit.tolist():
+            keys, fresh = batch.column(0).to_numpy(), []
+            for k in range(batch.num_rows):
                 if keys[k] not in done:  # copies have one set
                     done.add(keys[k])
                     fresh.append(k)
@@ -267,7 +256,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             sets = [shingles(texts[k].as_py(), n).tobytes() for k in fresh]
             yield pa.RecordBatch.from_arrays([pa.array(keys[fresh], pa.int64()), pa.array(sets, pa.binary())], names=["tk", "grams"])
 
-    found = docs.filter("text is not null").select("tk", "text").mapInArrow(grams, "tk long, grams binary")
+    found = docs.filter("text is not null").filter(listed(F.col("tk"))).select("tk", "text").mapInArrow(grams, "tk long, grams binary")
     return written(found.join(wanted, "tk", "left_semi").dropDuplicates(["tk"]), "jaccard-sets")
 
 
@@ -300,26 +289,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: Fr
     return written(joined.mapInArrow(verify, "a long, b long"), "jaccard-verified")
 
 
-def jaccard_components(
-    docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
-
-    Texts are lower-cased (A-Z) and cut into words; a document's set holds its
-    word n-grams, or all its words as one if they are fewer. Rows whose sets reach the
-    Jaccard threshold are linked; component_id is the smallest id reachable. A row
-    without words (a null or empty text) has no n-grams and is linked with
-    nothing. Repeated ids are rows of their own; a component of null ids has a null
-    component_id. N-grams are compared by 64-bit hashes. Only the two named columns are read.
-    """
-    ship(docs.sparkSession)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
+    """doc_id, tk (a hash of the text), n and component (a number; null without n-grams) of every (doc_id, text) row."""
     docs = docs.withColumn("tk", F.xxhash64("text"))
     keys = _keys(docs, n, threshold)
     classes = written(
         keys.filter("n > 0").groupBy("f1", "f2", "n").agg(
-            F.min_by(F.struct("tk", "prefix", "bits"), "row").alias("first"), F.min("row").alias("id"), F.min("doc_id").alias("least_doc")
-        ).select("id", "f1", "f2", "n", "least_doc", "first.*"),
+            F.min_by(F.struct("tk", "prefix", "bits"), "row").alias("first"), F.min("row").alias("id")
+        ).select("id", "f1", "f2", "n", "first.*"),
         "jaccard-classes",
     )
     nodes = classes.select("id", "tk", "n", "bits")
@@ -331,11 +308,80 @@ def jaccard_components(
     if not more.isEmpty():
         late = _verified(more, docs, nodes, n, threshold)
         labels = written(components(links.union(late)), "jaccard-labels")
-    named = classes.select("id", "f1", "f2", "n", "least_doc").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    named = written(named.withColumn("component", F.coalesce("component", "id")), "jaccard-named")
-    least = named.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    named = written(named.join(least, "component").select("f1", "f2", "n", "component_id"), "jaccard-components")
-    found = keys.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
+    named = classes.select("id", "f1", "f2", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    named = written(named.select("f1", "f2", "n", F.coalesce("component", "id").alias("component")), "jaccard-named")
+    return written(
+        keys.select("doc_id", "tk", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select("doc_id", "tk", "n", "component"),
+        "jaccard-labelled",
+    )
+
+
+def jaccard_components(
+    docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    Texts are lower-cased (A-Z) and cut into words; a document's set holds its
+    word n-grams, or all its words as one if they are fewer. Rows whose sets reach the
+    Jaccard threshold are linked; component_id is the smallest id reachable. A row
+    without words (a null or empty text) has no n-grams and is linked with
+    nothing. Repeated ids are rows of their own; a component of null ids has a null
+    component_id. N-grams are compared by 64-bit hashes. Only the two named columns are read.
+    """
+    ship(docs.sparkSession)
+    found = _labelled(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")), n, threshold)
+    # a second grouping column leaves the join its own exchange, so that a component's many rows can be split
+    least = found.filter("n > 0").groupBy("component", F.xxhash64("component")).agg(F.min("doc_id").alias("component_id"))
+    found = found.join(least.select("component", "component_id"), "component", "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def keep_first(
+    docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """docs with one row of each component: that with the smallest id (null first), of equal ids one text.
+
+    Rows without words all stay. Texts are not shuffled: a filter of fixed size
+    separates the rows that may go, and only those meet the list of keys that do.
+    """
+    ship(docs.sparkSession)
+    key = [F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")]
+    found = _labelled(docs.select(*key), n, threshold).filter("n > 0")
+    first = found.groupBy("component", F.xxhash64("component")).agg(F.min(F.struct("doc_id", "tk")).alias("first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tk") == F.col("first.tk"))
+    judged = found.join(first.select("component", "first"), "component").withColumn("stays", stays)
+    # rows to drop, and keys that stay but stand in several rows
+    keys = judged.groupBy("doc_id", "tk", "stays").agg(F.count("*").alias("rows")).filter("not stays or rows > 1")
+    keys = written(keys.select(F.xxhash64("doc_id", "tk").alias("tk"), "stays"), "jaccard-drop")
+    listed = _filter(keys)
+    docs = docs.withColumn("_key", F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col).cast("binary"))))
+    suspect = docs.filter(listed(F.col("_key"))).join(keys.withColumnRenamed("tk", "_key"), "_key", "left")
+    single = suspect.filter("stays").dropDuplicates(["_key"])
+    names = [c for c in docs.columns if c != "_key"]
+    return docs.filter(~listed(F.col("_key"))).select(*names).unionByName(
+        suspect.filter("stays is null").select(*names)
+    ).unionByName(single.select(*names))
+
+
+def _filter(wanted: DataFrame):
+    """A test of a 64-bit key column that is true for all keys `tk` of `wanted`, and for few others."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for batch in batches:
+            keys = mix(batch.column(0).to_numpy().view(np.uint64))
+            bits[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        yield chunked(np.packbits(bits))
+
+    marks = gathered(wanted.select("tk").mapInArrow(mark, "chunk int, data binary"), "or")
+    marks = marks if len(marks) else np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    bits = wanted.sparkSession.sparkContext.broadcast(marks)  # 1 MB, whatever the input
+
+    @F.pandas_udf("boolean")
+    def listed(keys: pd.Series) -> pd.Series:
+        at = mix(keys.to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+        return pd.Series((bits.value[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0)
+
+    return listed

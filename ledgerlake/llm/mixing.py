@@ -65,42 +65,26 @@ def code_point_rank(sources: DataFrame) -> DataFrame:
     )
 
 
-def mix_documents(
-    docs: DataFrame,
-    weight: Column | None = None,
-    epochs: int = 3,
-    seed: str = "mix",
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken (= copies * size) of every document.
+def _order(seed: str, doc_id: Column) -> Column:
+    return F.md5(F.concat_ws("/", F.lit(seed), doc_id.cast("string")).cast("binary"))
 
-    `weight` is an expression over `rank`, the source's place by code point, null
-    last; by default weights are 1, 2, 3, repeating. The order in which documents
-    get the extra copy hangs on the seed and the id alone, so reruns agree;
-    documents with equal ids are told apart by their texts' hashes, equal rows by
-    nothing, as they are interchangeable. The document at which a source's target
-    is reached is taken if that brings the source nearer to it; then, twice, the
-    document whose size comes closest to the remaining gap changes sides. Null or empty texts
-    have size 0 and are copied like others of the source, which adds nothing.
-    A null source is a source of its own. Other columns are not read.
+
+def _bucket(order: Column) -> Column:
+    return F.conv(F.substring(order, 1, 8), 16, 10).cast("long") % BUCKETS
+
+
+def mixing_plan(docs: DataFrame, weight: Column, epochs: int, seed: str) -> DataFrame:
+    """A row for each source of (doc_id, source, text) rows: source_size, target, whole copies, and who gets one more.
+
+    One more copy goes to the documents up to `last` in the seeded order, but for
+    those in `flips`, which change sides. Equal rows are decided together.
     """
-    text = F.col(text_col)
-    order = F.concat_ws("/", F.lit(seed), F.col(id_col).cast("string"))
+    order = _order(seed, F.col("doc_id"))
+    rows = docs.select("source", word_count(F.col("text")).alias("size"), order.alias("order"), F.xxhash64("text").alias("tie"))
     rows = written(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).alias("source"),
-            word_count(text).alias("size"),
-            F.md5(order.cast("binary")).alias("order"),
-            F.xxhash64(text).alias("tie"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "mix-rows",
+        rows.groupBy("source", "order", "tie").agg(F.sum("size").alias("size")).withColumn("bucket", _bucket(F.col("order"))), "mix-rows"
     )
     sources = code_point_rank(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
-    weight = (F.pmod("rank", F.lit(3)) + 1) if weight is None else weight
     sources = written(
         water_fill(written(sources.withColumn("weight", weight.cast("double")), "mix-weights"), epochs)
         .withColumn("whole", F.coalesce(F.floor(F.col("target") / F.nullif("source_size", F.lit(0))), F.lit(0)))
@@ -108,50 +92,86 @@ def mix_documents(
         .select("source", "source_size", "target", "whole", "rest"),
         "mix-targets",
     )
-    bucket = F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % BUCKETS
-    rows = rows.withColumn("bucket", bucket)
+    # running totals: of whole buckets first, then inside each bucket
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-        .select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+        .select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")).alias("a")
+        .join(sources.filter("rest > 0").alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")))
+        .select("a.source", "bucket", "start", "rest")
     )
-    # one table for targets and running totals: a row for each source and bucket
-    starts = starts.alias("a").join(
-        sources.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))
-    ).select("a.source", "bucket", "start", "source_size", "target", "whole", "rest")
-    inside = (
-        Window.partitionBy("source", "bucket").orderBy("order", "tie", "row")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    numbered = rows.withColumn("upto", F.sum("size").over(inside))
+    inside = Window.partitionBy("source", "bucket").orderBy("order", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    a, b = rows.withColumn("upto", F.sum("size").over(inside)).alias("a"), starts.alias("b")
     middle = F.col("start") + F.col("upto") - F.col("size") / 2  # nearer with this one than without
-    a, b = numbered.alias("a"), starts.alias("b")
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))
     drawn = a.join(b, same).select(
-        "doc_id", F.col("a.source").alias("source"), "size", "source_size", "target", "whole", "rest", "order", "tie", "row",
-        ((F.col("rest") > 0) & (middle <= F.col("rest"))).alias("more"),
+        F.col("a.source").alias("source"), "size", "rest", F.struct("a.bucket", "order", "tie").alias("at"),
+        (middle <= F.col("rest")).alias("more"),
     )
+    drawn = written(drawn, "mix-drawn")
+    plan = drawn.groupBy("source").agg(F.max(F.when(F.col("more"), F.col("at"))).alias("last"))
+    flips = drawn.select("source", "at").limit(0)
     for _ in range(CORRECTIONS):
-        drawn = _corrected(written(drawn, "mix-drawn"))
-    copies = F.least(F.col("whole") + F.col("more").cast("int"), F.lit(epochs))
-    return drawn.select(
-        "doc_id", "source", "size", "source_size", "target",
-        copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
+        change = written(_correction(drawn), "mix-flips")
+        flips = flips.union(change)
+        drawn = written(
+            drawn.join(change.select("at", F.lit(True).alias("flip")), "at", "left")
+            .withColumn("more", F.col("more") != F.coalesce("flip", F.lit(False))).drop("flip"), "mix-drawn",
+        )
+    flips = flips.groupBy("source", "at").agg(F.count("*").alias("n")).filter("n % 2 = 1")
+    flips = flips.groupBy("source").agg(F.collect_list("at").alias("flips"))  # at most CORRECTIONS
+    for extra in (plan, flips):
+        name = extra.columns[1]
+        x, y = sources.alias("x"), extra.alias("y")
+        sources = x.join(y, F.col("x.source").eqNullSafe(F.col("y.source")), "left").select("x.*", F.col(f"y.{name}"))
+    return written(sources.withColumn("flips", F.coalesce("flips", F.array().cast(flips.schema["flips"].dataType))), "mix-plan")
+
+
+def _correction(drawn: DataFrame) -> DataFrame:
+    """The document of each source whose size is nearest to what the source lacks or has too much: (source, at)."""
+    gaps = drawn.groupBy("source").agg((F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("gap"))
+    off = F.abs(F.col("size") - F.abs("gap"))
+    fits = (F.col("more") == (F.col("gap") < 0)) & (off < F.abs("gap"))
+    return (
+        drawn.alias("a").join(gaps.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).filter(fits)
+        .groupBy("a.source").agg(F.min(F.struct(off.alias("off"), "at")).alias("best"))
+        .select("source", F.col("best.at").alias("at"))
     )
 
 
-def _corrected(drawn: DataFrame) -> DataFrame:
-    """One document of each source changes sides, that whose size is nearest to what the source lacks or has too much."""
-    missing = (
-        drawn.filter("rest > 0").groupBy("source")
-        .agg((F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("gap"))
+def mix_documents(
+    docs: DataFrame,
+    weight: Column | None = None,
+    epochs: int = 3,
+    seed: str = "mix",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """docs with size, source_size, target, copies and taken (= copies * size) of every row.
+
+    `weight` is an expression over `rank`, the source's place by code point, null
+    last; by default weights are 1, 2, 3, repeating. The order in which documents
+    get one more copy hangs on the seed, id and text alone, so reruns agree; rows
+    with equal id and text are decided alike. The document at which a source's
+    target is reached is taken if that brings the source nearer to it; then, twice,
+    the document whose size comes closest to the remaining gap changes sides.
+    Null or empty texts have size 0 and are copied like others of the source, which
+    adds nothing. A null source is a source of its own. Columns of docs with the name
+    of a result are replaced, all others stay.
+    """
+    weight = (F.pmod("rank", F.lit(3)) + 1) if weight is None else weight
+    plan = mixing_plan(
+        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")), weight, epochs, seed
     )
-    a, b = drawn.filter("rest > 0").alias("a"), missing.alias("b")
-    off = F.abs(F.col("size") - F.abs("gap"))
-    fits = (F.col("more") == (F.col("gap") < 0)) & (off < F.abs("gap"))
-    best = (
-        a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))).filter(fits)
-        .groupBy("a.source").agg(F.min(F.struct(off.alias("off"), "order", "tie", "row")).alias("best"))
-        .select(F.col("best.row").alias("row"), F.lit(True).alias("flip"))
+    results = ["size", "source_size", "target", "copies", "taken"]
+    a, b = docs.alias("a"), plan.alias("b")
+    order, tie = _order(seed, F.col(f"a.{id_col}")), F.xxhash64(F.col(f"a.{text_col}"))
+    at = F.struct(_bucket(order).alias("bucket"), order.alias("order"), tie.alias("tie"))
+    more = F.coalesce(at <= F.col("b.last"), F.lit(False)) != F.array_contains(F.col("b.flips"), at)
+    size = word_count(F.col(f"a.{text_col}"))
+    copies = F.least(F.col("b.whole") + more.cast("int"), F.lit(epochs)).cast("int")
+    return a.join(b, F.col(f"a.{source_col}").eqNullSafe(F.col("b.source"))).select(
+        *(F.col(f"a.{c}") for c in docs.columns if c not in results),
+        size.alias("size"), "b.source_size", "b.target", copies.alias("copies"), (copies * size).cast("long").alias("taken"),
     )
-    return drawn.join(best, "row", "left").withColumn("more", F.col("more") != F.coalesce("flip", F.lit(False))).drop("flip")

@@ -71,7 +71,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed: weights 1, 2, 3 by source, at most three epochs."""
-    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

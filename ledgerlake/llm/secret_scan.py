@@ -53,7 +53,7 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
 
     def hit(w: Column, i: Column) -> Column:
         is_one = ((F.length(w) >= LONG) & w.rlike("[0-9]")) | w.rlike(KEY) | w.rlike(ASSIGNED)
-        near = [F.coalesce(F.get(words, i + k), F.lit("")).alias(n) for k, n in ((-2, "before2"), (-1, "before"), (1, "after"))]
+        near = [F.coalesce(F.get(words, i + k), F.lit("")).alias(n) for k, n in ((-2, "before2"), (-1, "before"))]
         return F.when(is_one, F.struct(i.cast("long").alias("word"), w.alias("token"), *near))
 
     keep = [c for c in docs.columns if c not in (text, "_words", "_hit")]
@@ -92,10 +92,10 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
         "path_hint": flags(secret.rlike(hint) | where.rlike(hint)),
         "named": flags(named),
         "assigned": flags(F.col("token").rlike(ASSIGNED) | F.col("before").rlike(r"^[=:]|[=:]$")),
-        "stand_in_near": flags(F.concat_ws(" ", "before2", "before", "after").rlike(STAND_IN)),
+        "stand_in_near": flags(F.regexp_replace(before, r"[^ ]*@[^ ]*", "").rlike(STAND_IN)),
         "kind": F.when(F.col("token").rlike(KEY), "issued_key").when(named, "named_value").otherwise("long_word"),
     })
-    return found.drop("before2", "before", "after")
+    return found.drop("before2", "before")
 
 
 def certain_label(found: DataFrame) -> Column:
