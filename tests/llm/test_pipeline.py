@@ -1,0 +1,64 @@
+"""The pipeline's stages against plain Python, each on its own input."""
+
+import re
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+from test_jaccard import by_hand
+from test_secrets import planted
+
+import corpus_pipeline
+from ledgerlake.llm import quality
+from ledgerlake.llm.common import table, written
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(written(stage(spark, out[-1], "/root/testdata/sf0.001"), f"test-{name}"))
+    return [df.collect() for df in out]
+
+
+def test_quality(stages):
+    rules, expected = quality.LineRules(), {}
+    for r in stages[0]:
+        c = quality.base_counts(r.text.encode())
+        text, left = quality.cleaned(r.text, rules)
+        left = c["n_words"] if left is None else left
+        if c["n_words"] >= 50 and 2 * c["n_repeat_words"] <= c["n_words"] and 2 * left >= c["n_words"]:
+            expected[r.doc_id] = text
+    assert {r.doc_id: r.text for r in stages[1]} == expected and all(r.n_chars == len(r.text) for r in stages[1])
+
+
+def test_near_duplicates(stages):
+    parts = by_hand([(r.doc_id, r.text) for r in stages[1]], 5, Fraction(4, 5))
+    assert sorted(r.doc_id for r in stages[2]) == sorted({c for _, _, c in parts})
+
+
+def test_secrets(stages):
+    assert len(stages[3]) == len(stages[2]) and not any(planted(r.text) for r in stages[3])
+
+
+def test_mixing(stages):
+    before, after = {r.doc_id: r for r in stages[3]}, Counter(r.doc_id for r in stages[4])
+    assert max(after.values()) <= 3 and all(before[k].text == r.text for k, r in ((r.doc_id, r) for r in stages[4]))
+    words = lambda rows: sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in rows)
+    assert abs(words(stages[4]) - words(stages[3])) < 0.1 * words(stages[3])
+
+
+def test_packing(stages):
+    assert sorted(r.doc_id for r in stages[5] if r.piece == 0) == sorted(r.doc_id for r in stages[4])
+    ends = Counter()
+    for r in stages[5]:
+        ends[r.sequence_id] = max(ends[r.sequence_id], r.offset + r.length)
+    assert max(ends.values()) <= 4096 and sum(r.length for r in stages[5]) == sum(ends.values())
+    assert all(isinstance(r.ids_crc32, int) for r in stages[5])
+
+
+def test_columns_and_run(spark, stages):
+    for rows in stages[1:5]:
+        assert list(rows[0].asDict()) == corpus_pipeline.COLUMNS
+    assert len(corpus_pipeline.STAGES) == 5

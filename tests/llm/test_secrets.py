@@ -1,0 +1,57 @@
+import re
+
+from ledgerlake.llm import secret_scan
+from ledgerlake.llm.queries import QUERIES
+
+PLANTED = re.compile(r'AKIA[A-Z0-9]{16}|password=([0-9a-f]{18})|token = "([0-9a-f]{40})"')
+
+
+def planted(text):
+    return {m.group(1) or m.group(2) or m.group(0) for m in PLANTED.finditer(text)}
+
+
+def test_planted_secrets_are_found(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    expected = {(r.doc_id, s) for r in docs for s in planted(r.text)}
+    found = {(r.doc_id, r.secret) for r in QUERIES["op3_secrets"](spark, folder).collect()}
+    assert expected <= found
+    lower = {(i, s.lower()) for i, s in expected}
+    assert len([x for x in found if (x[0], x[1].lower()) not in lower]) <= 2
+
+
+def test_no_python_in_the_plan(spark, sf_dir):
+    plan = QUERIES["op3_secrets"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_redaction_touches_secrets_only(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    after = secret_scan.redact(docs)
+    assert after.columns == docs.columns
+    rows = after.collect()
+    assert len(rows) == len(before)
+    for r in rows:
+        assert not planted(r.text)
+        if not re.search(r"AKIA|password|token", before[r.doc_id], re.I):
+            assert r.text == before[r.doc_id]
+
+
+def test_forest_tells_false_positives(spark):
+    """Trained from labelled findings, the forest keeps random values and drops names and stand-ins of the same form."""
+    rows = [(k, f"set api_key = {h} now") for k, h in enumerate(f"{(k * 2654435761 + 12345) ** 3:024x}"[-24:] for k in range(1, 60))]
+    rows += [(1000 + k, f"see report-version-{k}-final-2024 here") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.candidates(docs)
+    labelled = found.withColumn("label", (found.doc_id < 1000).cast("int"))
+    got = {r.doc_id for r in secret_scan.scan(docs, labelled.filter("doc_id % 2 = 0"), path_col=None).collect()}
+    assert len([k for k in got if k < 1000]) >= 55 and len([k for k in got if k >= 1000]) <= 3
+
+
+def test_edges(edge_docs, no_docs):
+    assert secret_scan.scan(edge_docs).count() == 0
+    clean = secret_scan.redact(edge_docs)
+    assert clean.columns == edge_docs.columns and clean.count() == 12
+    assert sorted((r.doc_id or -1, r.text or "") for r in clean.collect()) == sorted((r.doc_id or -1, r.text or "") for r in edge_docs.collect())
+    assert secret_scan.scan(no_docs).count() == 0 and secret_scan.redact(no_docs).count() == 0
