@@ -14,13 +14,13 @@ from ledgerlake.sources.lake import Lake, checked_day
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgerlake", description=__doc__)
-    parser.add_argument("step", choices=["load", "vault", "marts", "run", "reconcile", "export"])
+    parser.add_argument("step", choices=["load", "vault", "marts", "run", "reconcile", "check", "export"])
     parser.add_argument("--lake", required=True, help="root folder of the tables")
     parser.add_argument("--dt", required=True, type=checked_day, help="business day, yyyy-MM-dd")
     parser.add_argument("--format", default="orc", choices=["orc", "parquet"])
     parser.add_argument("--stage", help="root folder of the staged extracts (load, run)")
     parser.add_argument("--quarantine", help="folder for rows with bad cells (load, run)")
-    parser.add_argument("--previous", type=checked_day, help="day whose history is continued (vault, run)")
+    parser.add_argument("--previous", type=checked_day, help="newest day before: its history is continued (vault, run), its row counts are compared (check)")
     parser.add_argument("--extended", action="store_true", help="fill the optional mart columns (marts, run)")
     parser.add_argument("--out", help="folder of the JSON results (export)")
     args = parser.parse_args(argv)
@@ -45,6 +45,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         daily.run_day(lake, args.stage, args.dt, args.previous, args.extended, args.quarantine)
     elif args.step == "reconcile":
         daily.reconcile_day(lake, args.dt).show(100, truncate=False)
+    elif args.step == "check":
+        daily.check_day(lake, args.dt, args.previous).show(100, truncate=False)
     else:
         daily.export_dashboard(lake, args.dt, args.out)
 

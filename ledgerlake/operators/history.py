@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import join_many_to_one
 from ledgerlake.operators.vault import CUSTOMER, OPEN_END
 
 
@@ -60,8 +59,9 @@ def next_customer_versions(previous: DataFrame, today: DataFrame, dt: str, close
 
 
 def _one_row(df: DataFrame, names: Sequence[str], alias: str) -> DataFrame:
+    """One row per customer: the last loaded one, then the one with the greatest values, whole row by row."""
     rest = [c for c in names if c != CUSTOMER.key]
-    ranked = F.struct(F.col("hash_diff").alias("first"), *rest)
+    ranked = F.struct(F.col("load_date").alias("first"), *rest)
     return (
         df.groupBy(CUSTOMER.key).agg(F.max(ranked).alias("best"))
         .select(CUSTOMER.key, F.struct(*[F.col("best")[c].alias(c) for c in rest]).alias(alias))
@@ -102,6 +102,14 @@ def new_hub_rows(today: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return today.join(known.select(key), key, "left_anti")
 
 
+def keep_first_seen(today: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Hub rows of today; those whose key is known keep the load date and source with which they were first seen."""
+    kept = ["load_date", "record_source"]
+    first = known.groupBy(key, F.xxhash64(key)).agg(F.min(F.struct(*kept)).alias("first")).select(key, "first")
+    joined = today.join(first, key, "left")
+    return joined.select(*[F.coalesce(F.col(f"first.{c}"), F.col(c)).alias(c) if c in kept else F.col(c) for c in today.columns])
+
+
 def first_seen(hub_days: DataFrame, key: str, business_id: str) -> DataFrame:
     """First load date and its source per key over several days of a hub."""
     first = F.min(F.struct("load_date", "record_source", business_id)).alias("first")
@@ -143,6 +151,7 @@ def latest_changes(changes: DataFrame, key: str = "trans_id") -> DataFrame:
 def apply_changes(base: DataFrame, changes: DataFrame, key: str = "trans_id") -> DataFrame:
     """A base table with the newest change of each key applied; base rows that share a key are all replaced."""
     newest = newest_per_key(changes, key, ["es", "batch", "pos"])
-    rest = [c for c in base.columns if c != key]
-    untouched = join_many_to_one(base, newest.select(key), key, rest, how="left_anti")
+    # grouped by a second column too, so that the join has its own exchange and a hot key of the base can be split
+    changed = changes.groupBy(key, F.xxhash64(key)).agg(F.count(F.lit(1)).alias("changes")).select(key)
+    untouched = base.join(changed, key, "left_anti")
     return untouched.select(*base.columns).unionByName(newest.where(F.col("op") != "DELETE").select(*base.columns))

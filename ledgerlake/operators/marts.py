@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import join_many_to_one
 from ledgerlake.operators.vault import ACCOUNT, CUSTOMER
 
 MONEY = "decimal(18,2)"
@@ -36,12 +35,18 @@ def customer_summary(
     links to one row per pair. No account can then multiply rows, the account
     count needs no distinct, and a customer holding very many accounts is summed
     map-side. A reduced balance times the link rows equals the row-by-row sum.
-    An account shared by very many customers is split over tasks in the join.
+    An account shared by very many customers is split over tasks in the join by
+    adaptive execution. Nothing runs while the plan is built.
     """
-    per_account = balances.groupBy(ACCOUNT.key).agg(F.sum("balance").alias("balance"))
+    # with a second grouping column the aggregate's partitioning does not serve the join, which then gets an exchange
+    # of its own, and adaptive execution can split an account that very many customers share
+    per_account = (
+        balances.groupBy(ACCOUNT.key, F.xxhash64(ACCOUNT.key)).agg(F.sum("balance").alias("balance"))
+        .select(ACCOUNT.key, "balance")
+    )
     total = F.coalesce(F.sum(F.col("balance") * F.col("link_rows")), F.lit(0)).cast(amount_type)
     base = (
-        join_many_to_one(customer_accounts(link), per_account, ACCOUNT.key, [CUSTOMER.key], counted=link)
+        customer_accounts(link).join(per_account, ACCOUNT.key)
         .groupBy(CUSTOMER.key)
         .agg(total.alias("total_asset_amt"), F.count(F.lit(1)).cast("int").alias("account_cnt"))
     )
@@ -166,11 +171,12 @@ def management_kpis(vault: dict[str, DataFrame], value_type: str = "decimal(18,4
     return as_kpi_rows(values)
 
 
-def with_kpi_changes(kpis: DataFrame, history: DataFrame) -> DataFrame:
+def with_kpi_changes(kpis: DataFrame, history: DataFrame, change_type: str = "decimal(5,2)") -> DataFrame:
     """Fill the year and month change, in percent, from the KPI rows of earlier days.
 
-    Both frames carry ``dt``. A missing or zero earlier value, or a change the
-    column type cannot hold, gives null.
+    Both frames carry ``dt``. A missing or zero earlier value gives null. A change
+    beyond ``change_type`` fails the job rather than turning null; pass a wider
+    type where values may grow more than tenfold.
     """
 
     def earlier(name: str) -> DataFrame:
@@ -181,7 +187,7 @@ def with_kpi_changes(kpis: DataFrame, history: DataFrame) -> DataFrame:
     def change(name: str) -> Column:
         before = F.nullif(F.col(f"{name}_value"), F.lit(0))
         percent = (F.col("kpi_value") - before).cast("double") / before.cast("double") * 100
-        return percent.try_cast("decimal(5,2)").alias(f"{name}_change")
+        return percent.cast(change_type).alias(f"{name}_change")
 
     rows = kpis.drop("yoy_change", "mom_change")
     for name, months in (("yoy", 12), ("mom", 1)):

@@ -4,46 +4,81 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.predicates import is_night
 
 
+# microseconds of the units an interval text may name
+_UNITS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6}
+
+
+def _micros(width: str) -> int:
+    """Length of an interval text such as ``10 minutes``."""
+    number, unit = width.split()
+    return int(number) * _UNITS[unit.rstrip("s")]
+
+
 def fast_in_out(
     transactions: DataFrame,
     width: str = "10 minutes",
-    slide: str = "5 minutes",
     min_in: Decimal = Decimal("100000"),
     ratio: float = 0.8,
     time: str = "trans_time",
 ) -> DataFrame:
-    """Accounts that take money in and send most of it out within one window.
+    """Credits after which most of the money leaves the account within ``width``; one row per credit.
 
-    Credits and debits are summed per account and overlapping window instead
-    of paired, so a busy account costs one row per window and task. With the
-    slide at half the width, any in-and-out within half the width falls whole
-    into some window.
+    A credit's debits are those later than it, by ``width`` at most. Rows are
+    dealt to their account and stretch of time of that width, debits also to
+    the stretch before, so that a credit and all its debits share a group, and a busy account is
+    split by time. Rows without a time or account take no part.
     """
-    credit, debit = F.col("dr_cr_flag") == "C", F.col("dr_cr_flag") == "D"
-    windows = transactions.groupBy("account_no", F.window(time, width, slide)).agg(
-        F.sum(F.when(credit, F.col("trans_amt"))).alias("in_amt"),
-        F.sum(F.when(debit, F.col("trans_amt"))).alias("out_amt"),
-        F.min(F.when(credit, F.col(time))).alias("first_in"),
-        F.max(F.when(debit, F.col(time))).alias("last_out"),
+    length = _micros(width)
+    at, stretch = F.unix_micros(F.col(time).cast("timestamp")), F.col("at") - F.pmod("at", F.lit(length))
+    timed = transactions.where(F.col(time).isNotNull() & F.col("account_no").isNotNull()).select(
+        "account_no", "dr_cr_flag", "trans_amt", F.col(time).alias("time"), at.alias("at")
     )
-    return windows.where(
-        (F.col("in_amt") >= F.lit(min_in))
-        & (F.col("out_amt") >= F.col("in_amt") * F.lit(ratio))
-        & (F.col("last_out") > F.col("first_in"))
-    ).select(
-        "account_no",
-        F.col("window.start").alias("window_start"),
-        "in_amt", "out_amt", "first_in", "last_out",
+    large = (F.col("dr_cr_flag") == "C") & (F.col("trans_amt") >= F.lit(min_in))
+    debit = F.col("dr_cr_flag") == "D"
+    places = F.when(large, F.array(stretch)).when(debit, F.array(stretch, stretch - length))
+    dealt = timed.select("*", F.explode(places).alias("stretch"))
+    later = Window.partitionBy("account_no", "stretch").orderBy("at").rangeBetween(1, length)
+    found = dealt.withColumns({
+        "out_amt": F.sum(F.when(debit, F.col("trans_amt"))).over(later),
+        "last_out": F.max(F.when(debit, F.col("time"))).over(later),
+    })
+    return found.where(large & (F.col("out_amt") >= F.col("trans_amt") * F.lit(ratio))).select(
+        "account_no", F.col("time").alias("in_time"), F.col("trans_amt").alias("in_amt"), "out_amt", "last_out",
         F.lit("FAST_IN_OUT").alias("alert_type"),
     )
 
 
+def fast_in_out_stream(
+    rows: DataFrame, width: str = "10 minutes", min_in: Decimal = Decimal("100000"), ratio: float = 0.8
+) -> DataFrame:
+    """The same alerts from a stream of rows with event time ``txn_ts`` and unique ``trans_id``; append mode.
+
+    A join of large credits with later debits of the account, bounded by time, so
+    that state is dropped once the watermark has passed.
+    """
+    credits = rows.where((F.col("dr_cr_flag") == "C") & (F.col("trans_amt") >= F.lit(min_in))).select(
+        F.col("trans_id").alias("in_id"), F.col("account_no").alias("in_account"), F.col("trans_amt").alias("in_amt"),
+        F.col("txn_ts").alias("in_time"),
+    )
+    debits = rows.where(F.col("dr_cr_flag") == "D").select(
+        "account_no", F.col("trans_amt").alias("out"), F.col("txn_ts").alias("out_time")
+    )
+    within = F.expr(f"in_account = account_no AND out_time > in_time AND out_time <= in_time + INTERVAL {width}")
+    pairs = credits.join(debits, within)
+    return (
+        pairs.groupBy("in_id", "account_no", "in_amt", "in_time")
+        .agg(F.sum("out").alias("out_amt"), F.max("out_time").alias("last_out"))
+        .where(F.col("out_amt") >= F.col("in_amt") * F.lit(ratio))
+        .select("account_no", "in_time", "in_amt", "out_amt", "last_out", F.lit("FAST_IN_OUT").alias("alert_type"))
+    )
+
+
 def night_activity(transactions: DataFrame, min_count: int = 3, time: str = "trans_time") -> DataFrame:
     """Accounts with repeated night transactions on one day."""
     return (

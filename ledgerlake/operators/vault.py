@@ -160,8 +160,10 @@ def build_link_cust_loan(loans: DataFrame, dt: str) -> DataFrame:
 
 
 def build_link_txn_acct(transactions: DataFrame, dt: str) -> DataFrame:
-    """Transaction to account relations, one row per distinct pair."""
-    pairs = transactions.select("trans_id", "account_no").distinct()
+    """Transaction to account relations, one row per distinct pair; ids that differ in padding only are one."""
+    pairs = transactions.select(
+        *[F.coalesce(F.trim(c), F.lit("")).alias(c) for c in ("trans_id", "account_no")]
+    ).distinct()
     hashed = pairs.select(TRANSACTION.key_of().alias(TRANSACTION.key), ACCOUNT.key_of().alias(ACCOUNT.key))
     return hashed.select(
         keys.link_key(F.col(TRANSACTION.key), F.col(ACCOUNT.key), "BOOKED", "LINK_TXN_ACCT").alias("txn_acct_hash_key"),

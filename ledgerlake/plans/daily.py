@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import checks, history, insights, marts, vault
 from ledgerlake.schemas import SOURCES, TABLES
-from ledgerlake.sources.delimited import read_text, rejected_cells, type_rows
+from ledgerlake.session import scratch_dir
+from ledgerlake.sources import feed
+from ledgerlake.sources.delimited import read_text, split_rejects, type_rows, with_rejects
 from ledgerlake.sources.lake import Lake, export_json
 
 
@@ -19,13 +21,19 @@ def load_day(lake: Lake, stage_root: str, dt: str, quarantine: str | None = None
     """Staged extracts to typed source tables.
 
     With ``quarantine``, rows that lost a cell in the cast are also written
-    there, as text, below their source and day.
+    there, as text, below their source and day, and lines with too few or too many
+    cells go there only. Without, such a line fails the load. An extract is
+    parsed once either way.
     """
     for name, source in SOURCES.items():
         raw = read_text(lake.spark, source.stage_path(stage_root, dt))
-        lake.write_day(f"ods_{name}", type_rows(raw, name, dt), dt)
         if quarantine:
-            export_json(rejected_cells(raw, name), f"{quarantine.rstrip('/')}/{name}/dt={dt}")
+            parsed = scratch_dir(lake.spark, f"parsed-{name}")
+            marked = with_rejects(raw, name)
+            marked.write.parquet(parsed)
+            raw, aside = split_rejects(lake.spark.read.schema(marked.schema).parquet(parsed))
+            export_json(aside, f"{quarantine.rstrip('/')}/{name}/dt={dt}")
+        lake.write_day(f"ods_{name}", type_rows(raw, name, dt), dt)
 
 
 def day_sources(lake: Lake, dt: str) -> dict[str, DataFrame]:
@@ -33,10 +41,19 @@ def day_sources(lake: Lake, dt: str) -> dict[str, DataFrame]:
 
 
 def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
-    """Source tables to vault tables. With ``previous``, customers and links keep their history from that day."""
-    if previous and previous >= dt:
-        # a day must not be built from itself or from the future
-        raise ValueError(f"previous day {previous} is not before {dt}")
+    """Source tables to vault tables. With ``previous``, customers and links keep their history from that day.
+
+    It must be the newest day written before ``dt``: from an older one, and from
+    one never written, versions and links would be lost. Hub rows of keys seen on
+    that day keep their first load date and source.
+    """
+    if previous:
+        for name in ("sat_customer", "link_cust_acct"):
+            earlier = [day for day in lake.days(name) if day < dt]
+            if not earlier or earlier[-1] != previous:
+                raise ValueError(
+                    f"{name}: the newest day written before {dt} is {earlier[-1] if earlier else 'none'}, not {previous}"
+                )
     tables = vault.build_vault(day_sources(lake, dt), dt)
     if previous:
         tables["sat_customer"] = history.next_customer_versions(
@@ -45,6 +62,9 @@ def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
         tables["link_cust_acct"] = history.next_links(
             lake.read_day("link_cust_acct", previous).drop("dt"), tables["link_cust_acct"], dt
         )
+        for name, hub in vault.HUBS.items():
+            known = lake.read_day(name, previous, missing_ok=True).drop("dt")
+            tables[name] = history.keep_first_seen(tables[name], known, hub.key)
     for name, df in tables.items():
         lake.write_day(name, df, dt)
 
@@ -71,7 +91,7 @@ def build_marts_day(lake: Lake, dt: str, extended: bool = False) -> None:
     kpis = marts.management_kpis(tables)
     if extended:
         # strictly earlier days: the day being replaced must not be read
-        earlier = lake.read("mgmt_kpi").where(F.col("dt") < dt)
+        earlier = lake.read("mgmt_kpi", missing_ok=True).where(F.col("dt") < dt)
         kpis = marts.with_kpi_changes(kpis.withColumn("dt", F.lit(dt)), earlier)
     # seven rows
     lake.write_day("mgmt_kpi", kpis.coalesce(1), dt)
@@ -108,6 +128,23 @@ def reconcile_day(lake: Lake, dt: str) -> DataFrame:
     return checks.reconcile({name: lake.read_day(name, dt) for name in TABLES if name != "mgmt_kpi"})
 
 
+def check_day(lake: Lake, dt: str, before: str | None = None) -> DataFrame:
+    """The quality rules over one day's sources; with ``before``, row counts are held against that day."""
+    earlier = day_sources(lake, before) if before else None
+    return checks.quality_report(day_sources(lake, dt), earlier)
+
+
+def apply_changes_day(lake: Lake, feed_rows: DataFrame, before: str, dt: str) -> None:
+    """The transactions of day ``before`` with a change feed applied, written as day ``dt``."""
+    base = lake.read_day("ods_transaction", before).drop("dt")
+    changed = feed.decode_changes(feed_rows)
+    stamped = changed.select(
+        "op", "es", "batch", "pos",
+        *[F.col(c) if c in changed.columns else F.lit(None).cast(base.schema[c].dataType).alias(c) for c in base.columns],
+    )
+    lake.write_day("ods_transaction", history.apply_changes(base, stamped), dt)
+
+
 def run_day(
     lake: Lake,
     stage_root: str,

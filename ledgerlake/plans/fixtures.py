@@ -184,17 +184,22 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --- daily snapshots for history ---------------------------------------------------
 
 
-def _orders_of_year(spark: SparkSession, sf_dir: str, dt: str) -> DataFrame:
-    """Orders of the year up to a day: what the bank would see as live on it."""
-    day = F.lit(dt).cast("date")
-    placed = F.to_date("o_orderdate")
-    return table(spark, sf_dir, "orders").where((placed > F.add_months(day, -12)) & (placed <= day))
+# Accounts live on the first of two days are those opened before the second of these, on the second those opened after
+# the first: some end, some begin, and both days together hold every order.
+OPENED = ("1997-01-01", "1999-07-01")
 
 
-def customer_snapshot(spark: SparkSession, sf_dir: str, dt: str) -> DataFrame:
-    """Customers with an order in the past year; level and status are those of their newest order."""
+def _live_orders(spark: SparkSession, sf_dir: str, first_day: bool) -> DataFrame:
+    """Orders that the bank would see as live accounts on the first or second of two days."""
+    opened = F.to_date("o_orderdate")
+    live = opened < F.lit(OPENED[1]).cast("date") if first_day else opened >= F.lit(OPENED[0]).cast("date")
+    return table(spark, sf_dir, "orders").where(live)
+
+
+def customer_snapshot(spark: SparkSession, sf_dir: str, first_day: bool) -> DataFrame:
+    """Customers with a live order; level and status are those of their newest order."""
     newest = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus")).alias("newest")
-    live = _orders_of_year(spark, sf_dir, dt).groupBy("o_custkey").agg(newest)
+    live = _live_orders(spark, sf_dir, first_day).groupBy("o_custkey").agg(newest)
     named = live.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return shaped(
         named, "customer",
@@ -205,9 +210,9 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, dt: str) -> DataFrame:
     )
 
 
-def account_snapshot(spark: SparkSession, sf_dir: str, dt: str) -> DataFrame:
+def account_snapshot(spark: SparkSession, sf_dir: str, first_day: bool) -> DataFrame:
     return shaped(
-        _orders_of_year(spark, sf_dir, dt), "account",
+        _live_orders(spark, sf_dir, first_day), "account",
         account_no=account_no("o_orderkey"),
         customer_id=customer_id("o_custkey"),
         open_date=F.col("o_orderdate"),

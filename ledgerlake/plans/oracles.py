@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans.fixtures import DAY
+from ledgerlake.plans.fixtures import DAY, OPENED
 from ledgerlake.plans.registry import AFTER, BEFORE, HIGH, LARGE
 
 _CTES = {
@@ -104,9 +104,7 @@ _NEEDS = {
 
 
 def _live(dt: str) -> str:
-    return (
-        f"cast(o_orderdate as date) > date '{dt}' - interval 12 month and cast(o_orderdate as date) <= date '{dt}'"
-    )
+    return f"cast(o_orderdate as date) < date '{OPENED[1]}'" if dt == BEFORE else f"cast(o_orderdate as date) >= date '{OPENED[0]}'"
 
 
 def _customer_day(dt: str) -> str:
@@ -234,6 +232,18 @@ def _windows(seconds: int) -> str:
     return f"select strftime({start}, '%Y-%m-%d %H:%M:%S') as window_start, channel, "
 
 
+def _fast(time: str) -> str:
+    """Each large credit with the debits of its account within the day after it."""
+    return _with("f_event", f"""
+        select c.account_no, cast(c.t as varchar) as in_time, cast(c.trans_amt as double) as in_amt,
+               cast(sum(d.trans_amt) as double) as out_amt, cast(max(d.t) as varchar) as last_out, 'FAST_IN_OUT' as alert_type
+        from (select *, {time} as t from f_event where dr_cr_flag = 'C' and trans_amt >= 20) c
+        join (select *, {time} as t from f_event where dr_cr_flag = 'D') d
+          on d.account_no = c.account_no and d.t > c.t and d.t <= c.t + interval 1 day
+        group by c.trans_id, c.account_no, c.t, c.trans_amt
+        having sum(d.trans_amt) >= c.trans_amt * 0.5""")
+
+
 ORACLES: dict[str, str] = {
     "hub_customer": _hub("f_customer", "CORE", "customer_id", "HUB_CUSTOMER", "customer_hash_key", "customer_id"),
     "hub_account": _hub("f_account", "CORE", "account_no", "HUB_ACCOUNT", "account_hash_key", "account_no"),
@@ -319,8 +329,8 @@ ORACLES: dict[str, str] = {
                case k.kpi_code when 'DAILY_TXN_CNT' then '当日交易笔数' else '当日交易金额' end as kpi_name,
                'PAYMENT' as kpi_category, k.kpi_value,
                case k.kpi_code when 'DAILY_TXN_CNT' then 'COUNT' else 'YUAN' end as kpi_unit,
-               cast(try_cast((k.kpi_value - y.kpi_value) / nullif(y.kpi_value, 0) * 100 as decimal(5,2)) as double) as yoy_change,
-               cast(try_cast((k.kpi_value - m.kpi_value) / nullif(m.kpi_value, 0) * 100 as decimal(5,2)) as double) as mom_change
+               cast(cast((k.kpi_value - y.kpi_value) / nullif(y.kpi_value, 0) * 100 as decimal(18,2)) as double) as yoy_change,
+               cast(cast((k.kpi_value - m.kpi_value) / nullif(m.kpi_value, 0) * 100 as decimal(18,2)) as double) as mom_change
         from d_kpi k
         left join d_kpi y on y.kpi_code = k.kpi_code and y.dt = cast(cast(cast(k.dt as date) - interval 12 month as date) as varchar)
         left join d_kpi m on m.kpi_code = k.kpi_code and m.dt = cast(cast(cast(k.dt as date) - interval 1 month as date) as varchar)
@@ -422,6 +432,8 @@ ORACLES: dict[str, str] = {
         select case when status = 'NORMAL' then '{BEFORE}' else '{AFTER}' end as dt, status, count(*) as row_cnt
         from f_account group by 1, 2"""),
     "latest_day": "select cast(max(cast(l_shipdate as date)) as varchar) as dt from lineitem",
+    "day_drop": _with("f_account", f"""
+        select '{BEFORE}' as dt, status, count(*) as row_cnt from f_account where status = 'NORMAL' group by status"""),
     "json_export": _with("f_txn", """
         select channel, count(*) as cnt, cast(sum(trans_amt) as double) as amt from f_txn group by channel"""),
     "reconcile": _with(f"{_ALL_SOURCES} summary", " union all ".join(
@@ -491,18 +503,8 @@ ORACLES: dict[str, str] = {
         union all
         select concat('ACCT', cast(c_custkey as varchar)), cast(cast(c_acctbal as decimal(18,2)) as double), c_mktsegment
         from customer where c_custkey not in (select user_id from events)"""),
-    "fast_in_out": _with("f_event", """
-        select account_no, cast(w as varchar) as window_start, cast(i as double) as in_amt, cast(o as double) as out_amt,
-               cast(fi as varchar) as first_in, cast(lo as varchar) as last_out, 'FAST_IN_OUT' as alert_type
-        from (select account_no, w, sum(case when dr_cr_flag = 'C' then trans_amt end) as i,
-                     sum(case when dr_cr_flag = 'D' then trans_amt end) as o,
-                     min(case when dr_cr_flag = 'C' then trans_time end) as fi,
-                     max(case when dr_cr_flag = 'D' then trans_time end) as lo
-              from (select *, time_bucket(interval '12 hours', trans_time) as w from f_event
-                    union all
-                    select *, time_bucket(interval '12 hours', trans_time) - interval '12 hours' from f_event) x
-              group by 1, 2) y
-        where i >= 20 and o >= i * 0.5 and lo > fi"""),
+    "fast_in_out": _fast("trans_time"),
+    "stream_fast_in_out": _fast("date_trunc('second', trans_time)"),
     "night_activity": _with("f_event", f"""
         select account_no, cast(cast(trans_time as date) as varchar) as trans_date, count(*) as night_cnt,
                cast(sum(trans_amt) as double) as night_amt, 'NIGHT_ACTIVITY' as alert_type
@@ -521,6 +523,12 @@ ORACLES: dict[str, str] = {
     "channel_window": _with("f_event", _windows(10) + """
                count(*) as txn_cnt, cast(sum(trans_amt) as double) as txn_amt, count(distinct account_no) as active_accounts
         from f_event group by 1, 2"""),
+    "stream_channel_window_10s": _with("f_event", _windows(10) + """
+               count(*) as txn_cnt, cast(sum(trans_amt) as double) as txn_amt, count(distinct account_no) as active_accounts
+        from f_event group by 1, 2"""),
+    "stream_channel_success": _with("f_event", _windows(300) + """
+               count(*) as total_cnt, count(*) filter (trans_type <> 'error') as success_cnt
+        from f_event group by 1, 2"""),
     "channel_success": _with("f_event", _windows(300) + """
                count(*) as total_cnt, count(*) filter (trans_type <> 'error') as success_cnt
         from f_event group by 1, 2"""),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.display import auto_text
 from ledgerlake.operators import checks, history, insights, marts, patterns, vault
-from ledgerlake.plans import fixtures
+from ledgerlake.plans import daily, fixtures
 from ledgerlake.plans.fixtures import DAY
 from ledgerlake.schemas import SOURCES
 from ledgerlake.session import configure, scratch_dir
@@ -106,7 +106,7 @@ def daily_kpis(spark, sf):
 def kpi_change(spark, sf):
     days = daily_kpis(spark, sf)
     kpis = marts.as_kpi_rows(days, "dt")
-    return marts.with_kpi_changes(kpis, days)
+    return marts.with_kpi_changes(kpis, days, "decimal(18,2)")  # counts of single days grow more than tenfold
 
 
 # --- dashboards -----------------------------------------------------------------------
@@ -172,6 +172,16 @@ def day_overwrite(spark, sf):
     return lake.read("ods_account", BEFORE, AFTER).groupBy("dt", "status").agg(F.count(F.lit(1)).alias("row_cnt"))
 
 
+def day_drop(spark, sf):
+    """Two days written, the second dropped: the first is all there is."""
+    lake = Lake(spark, scratch_dir(spark, "lake"))
+    accounts = delimited.type_rows(fixtures.accounts(spark, sf), "account", BEFORE)
+    lake.write_day("ods_account", accounts.where("status = 'NORMAL'"), BEFORE)
+    lake.write_day("ods_account", accounts.where("status <> 'NORMAL'"), AFTER)
+    lake.drop_day("ods_account", AFTER)
+    return lake.read("ods_account").groupBy("dt", "status").agg(F.count(F.lit(1)).alias("row_cnt"))
+
+
 def newest_day(spark, sf):
     days = sat_transaction(spark, sf).withColumn("dt", F.col("trans_date").cast("string"))
     return latest_day(days, DAY)
@@ -187,11 +197,13 @@ def json_export(spark, sf):
 
 
 def reconcile(spark, sf):
-    sources = fixtures.sources(spark, sf)
-    tables = {f"ods_{name}": df for name, df in sources.items()}
-    tables.update(vault.build_vault(sources, DAY))
-    tables["cust_daily_summary"] = marts.customer_summary(tables["link_cust_acct"], tables["sat_balance"])
-    return checks.reconcile(tables)
+    """Counts of a day's tables, which are written once and then counted."""
+    lake = Lake(spark, scratch_dir(spark, "lake"), "parquet")
+    for name, build in fixtures.BUILDERS.items():
+        lake.write_day(f"ods_{name}", delimited.type_rows(build(spark, sf), name, DAY), DAY)
+    daily.build_vault_day(lake, DAY)
+    daily.build_marts_day(lake, DAY)
+    return daily.reconcile_day(lake, DAY)
 
 
 def dq_checks(spark, sf):
@@ -205,7 +217,7 @@ def dq_checks(spark, sf):
 
 
 def _customer_day(spark, sf, dt):
-    return vault.build_sat_customer(fixtures.customer_snapshot(spark, sf, dt), dt)
+    return vault.build_sat_customer(fixtures.customer_snapshot(spark, sf, dt == BEFORE), dt)
 
 
 def scd2_customer(spark, sf):
@@ -227,7 +239,7 @@ def version_checks(spark, sf):
 
 
 def _hub_day(spark, sf, dt):
-    return vault.build_hub(fixtures.customer_snapshot(spark, sf, dt), vault.CUSTOMER, dt)
+    return vault.build_hub(fixtures.customer_snapshot(spark, sf, dt == BEFORE), vault.CUSTOMER, dt)
 
 
 def hub_first_seen(spark, sf):
@@ -241,7 +253,7 @@ def hub_new_rows(spark, sf):
 
 def link_end_dating(spark, sf):
     before, after = (
-        vault.build_link_cust_acct(fixtures.account_snapshot(spark, sf, dt), dt) for dt in (BEFORE, AFTER)
+        vault.build_link_cust_acct(fixtures.account_snapshot(spark, sf, dt == BEFORE), dt) for dt in (BEFORE, AFTER)
     )
     return history.next_links(before, after, AFTER)
 
@@ -269,22 +281,38 @@ def cdc_apply(spark, sf):
 
 
 def fast_in_out(spark, sf):
-    return patterns.fast_in_out(
-        fixtures.event_transactions(spark, sf), "1 day", "12 hours", min_in=Decimal("20"), ratio=0.5
-    )
+    return patterns.fast_in_out(fixtures.event_transactions(spark, sf), "1 day", min_in=Decimal("20"), ratio=0.5)
 
 
 def night_activity(spark, sf):
     return patterns.night_activity(fixtures.event_transactions(spark, sf), min_count=2)
 
 
-def _staged_feed(spark, sf):
+# A credit and a debit of the far future: they move the watermarks past all other rows, so that append mode finishes those.
+CLOSING_ROWS = [
+    (f'{{"trans_id": "CLOSE-{flag}", "account_no": "CLOSE-{flag}", "trans_amt": 1000000, "dr_cr_flag": "{flag}", "trans_time": "2100-01-01 00:00:00"}}',)
+    for flag in "CD"
+]
+
+
+def _staged_feed(spark, sf, close=False):
     """The feed written as text files, then read as a stream."""
     path = scratch_dir(spark, "feed")
-    fixtures.feed(spark, sf).write.text(path)
+    rows = fixtures.feed(spark, sf)
+    if close:
+        rows = rows.unionByName(spark.createDataFrame(CLOSING_ROWS, "value string"))
+    rows.write.text(path)
     return feed.file_source(spark, path)
 
 
+def _appended(spark, sf, transform):
+    """All rows that a stream over the feed appends until its last window is closed."""
+    out = scratch_dir(spark, "appended")
+    result = transform(monitor.with_event_time(feed.decode_rows(_staged_feed(spark, sf, close=True))))
+    _finish(monitor.start_append(result, f"{out}/rows", f"{out}/checkpoint", finite=True))
+    return spark.read.schema(result.schema).parquet(f"{out}/rows")
+
+
 def _finish(query) -> None:
     query.awaitTermination()
 
@@ -310,6 +338,18 @@ def stream_channel_window(spark, sf):
     return monitor.read_channel_windows(spark, f"{out}/rows")
 
 
+def stream_channel_window_10s(spark, sf):
+    return _appended(spark, sf, monitor.channel_windows)
+
+
+def stream_channel_success(spark, sf):
+    return _appended(spark, sf, lambda rows: monitor.channel_success(rows, failed=("error",)))
+
+
+def stream_fast_in_out(spark, sf):
+    return _appended(spark, sf, lambda rows: patterns.fast_in_out_stream(rows, "1 day", Decimal("20"), 0.5))
+
+
 def channel_window(spark, sf):
     """Ten-second windows of the whole feed as one batch."""
     return monitor.channel_windows(monitor.with_event_time(feed.decode_rows(fixtures.feed(spark, sf))))
@@ -364,6 +404,7 @@ QUERIES: dict[str, Query] = {
         **{f"ods_load_{name}": _load(name) for name in SOURCES},
         "ods_rejects": ods_rejects,
         "day_overwrite": day_overwrite,
+        "day_drop": day_drop,
         "latest_day": newest_day,
         "json_export": json_export,
         "reconcile": reconcile,
@@ -381,6 +422,9 @@ QUERIES: dict[str, Query] = {
         "stream_decode": stream_decode,
         "stream_large_amount": stream_large_amount,
         "stream_channel_window": stream_channel_window,
+        "stream_channel_window_10s": stream_channel_window_10s,
+        "stream_channel_success": stream_channel_success,
+        "stream_fast_in_out": stream_fast_in_out,
         "channel_window": channel_window,
         "channel_success": channel_success,
     }.items()

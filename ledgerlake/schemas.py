@@ -223,5 +223,6 @@ CHANGE_ENVELOPE = T.StructType(
         T.StructField("ts", T.LongType()),
         T.StructField("isDdl", T.BooleanType()),
         T.StructField("data", T.ArrayType(CHANGE_ROW)),
+        T.StructField("old", T.ArrayType(CHANGE_ROW)),
     ]
 )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -16,8 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # join by hash where every partition is known to be small once shuffled; larger or skewed ones sort and split
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",  # 32-bucket vault against 16-bucket summary
 }
 
@@ -56,15 +55,30 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="ledgerlake-")
 
 
+@cache
+def _owned(application: str, folder: str) -> str:
+    """The application's own folder below the scratch folder, removed when its JVM ends."""
+    context = SparkContext.getOrCreate()
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{application}")
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return path.toString()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder the session names.
 
     Every executor must see it, so a machine-local folder serves only a local
-    master that names none.
+    master that names none. Its owner, the application, removes it when it ends.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
         root = _local_root()
-    return f"{root.rstrip('/')}/ledgerlake/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/ledgerlake"
+    if isinstance(spark, SparkSession):
+        folder = _owned(spark.sparkContext.applicationId, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"

@@ -15,9 +15,53 @@ from ledgerlake.schemas import SOURCES, Source
 FORCED_NULL = {"customer": {"close_date"}}
 
 
+#: Holds the whole line where a line has too few or too many cells; null for all others.
+BAD_LINE = "_bad_line"
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their header line. Only the first line of each file is read."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[str, list[str]] = {}
+    for path in paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        files = pattern.getFileSystem(conf)
+        entries = files.globStatus(pattern)
+        if not entries:
+            raise FileNotFoundError(f"no staged files at {path}")
+        for entry in entries:
+            inner = files.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+            for file in inner:
+                if file.getPath().getName()[:1] in "_." or file.isDirectory():
+                    continue
+                codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file.getPath())
+                stream = files.open(file.getPath())
+                stream = codec.createInputStream(stream) if codec else stream
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                header = reader.readLine()
+                reader.close()
+                if header is not None:
+                    found.setdefault(header.lstrip("\ufeff"), []).append(file.getPath().toString())
+    return found
+
+
 def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All-string rows; columns go by the header names, in any order."""
-    return spark.read.csv(path if isinstance(path, str) else list(path), sep="\t", header=True, encoding="UTF-8")
+    """All-string rows, each parsed once; columns go by each file's own header, in any order.
+
+    Files are read together with those of the same header, so that no file is
+    read by another one's. ``_bad_line`` marks lines with too few or too many cells.
+    """
+    rows = None
+    for header, files in _headers(spark, [path] if isinstance(path, str) else list(path)).items():
+        names = [name.strip('"') for name in header.split("\t")]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD_LINE]])
+        # without column pruning, as the reader then notices short and long lines
+        reader = spark.read.option("columnPruning", False).option("columnNameOfCorruptRecord", BAD_LINE)
+        part = reader.csv(files, schema=schema, sep="\t", header=True, enforceSchema=True, encoding="UTF-8", mode="PERMISSIVE")
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        raise FileNotFoundError(f"no staged files at {path}")
+    return rows
 
 
 def batch_label(dt: str) -> str:
@@ -39,8 +83,16 @@ def _typed(source: Source, field: T.StructField) -> Column:
 
 
 def type_rows(raw: DataFrame, name: str, dt: str) -> DataFrame:
-    """Project, cast and stamp all-string rows. Every row stays; a cell that does not fit its type is null."""
+    """Project, cast and stamp all-string rows. A cell that does not fit its type is null.
+
+    A line with too few or too many cells fails the load; set such lines aside
+    first, with ``split_rejects``.
+    """
     source = SOURCES[name]
+    if BAD_LINE in raw.columns:
+        bad = F.col(BAD_LINE)
+        stop = F.raise_error(F.concat(F.lit(f"{name}: a line has too few or too many cells: "), bad))
+        raw = raw.where(F.when(bad.isNull(), True).otherwise(stop.cast("boolean")))
     return raw.select(*[_typed(source, f) for f in source.schema], *_audit(source, dt))
 
 
@@ -53,9 +105,23 @@ def lost_cells(name: str) -> Column:
     return F.array_compact(F.array(*[F.when(lost(F.col(f.name), f.dataType), F.lit(f.name)) for f in checked]))
 
 
+def with_rejects(raw: DataFrame, name: str) -> DataFrame:
+    """raw with ``rejected``: the names of the cells that the cast loses, or ``_bad_line`` for a malformed line."""
+    cells = lost_cells(name)
+    if BAD_LINE in raw.columns:
+        cells = F.when(F.col(BAD_LINE).isNotNull(), F.array(F.lit(BAD_LINE))).otherwise(cells)
+    return raw.withColumn("rejected", cells)
+
+
 def rejected_cells(raw: DataFrame, name: str) -> DataFrame:
-    """The raw rows in which a filled cell was lost, with the names of those cells."""
-    return raw.withColumn("rejected", lost_cells(name)).where(F.size("rejected") > 0)
+    """The raw rows in which a filled cell was lost or the line is malformed, with the names of those cells."""
+    return with_rejects(raw, name).where(F.size("rejected") > 0)
+
+
+def split_rejects(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows to load (well-formed lines) and rows to set aside, from a written result of ``with_rejects``."""
+    load = marked.where(~F.array_contains("rejected", BAD_LINE)).drop("rejected", BAD_LINE)
+    return load, marked.where(F.size("rejected") > 0)
 
 
 def load_source(spark: SparkSession, name: str, path: str | Sequence[str], dt: str) -> DataFrame:

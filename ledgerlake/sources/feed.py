@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructField, StructType, TimestampType
 
 from ledgerlake.schemas import CHANGE_ENVELOPE, CHANGE_ROW, STREAM_ROW, STREAM_TOPIC
 
@@ -52,19 +52,41 @@ def decode_rows(feed: DataFrame, value: str = "value") -> DataFrame:
     return feed.select(_parsed(value, STREAM_ROW, any_field))
 
 
-def decode_changes(feed: DataFrame, value: str = "value", table: str = "t_transaction") -> DataFrame:
-    """Changed rows of the feed's envelopes, typed, with operation, commit time and place."""
+def decode_changes(
+    feed: DataFrame, value: str = "value", table: str = "t_transaction", database: str = "bank_source", key: str = "trans_id"
+) -> DataFrame:
+    """Changed rows of one table's envelopes, typed, with operation, commit time and place.
+
+    An update that changes the key is two changes: a delete of the old key, taken
+    from the envelope's ``old`` values, and the new row.
+    """
 
     def is_change(envelope: Column) -> Column:
-        return envelope["type"].isin("INSERT", "UPDATE", "DELETE") & (envelope["table"] == table)
+        return (
+            envelope["type"].isin("INSERT", "UPDATE", "DELETE")
+            & (envelope["table"] == table) & (envelope["database"] == database)
+        )
 
     envelopes = feed.select(_parsed(value, CHANGE_ENVELOPE, is_change))
     rows = envelopes.select(
-        F.col("type").alias("op"), "es", F.col("id").alias("batch"), F.posexplode("data").alias("pos", "row")
-    )
+        F.col("type").alias("op"), "es", F.col("id").alias("batch"), F.col("old").alias("before"),
+        F.posexplode("data").alias("pos", "row"),
+    ).withColumn("before", F.get("before", F.col("pos"))[key])
+    moved = (F.col("op") == "UPDATE") & F.col("before").isNotNull() & (F.col("before") != F.col(f"row.{key}"))
     typed = {
         "trans_amt": F.col("row.trans_amt").try_cast("decimal(18,2)"),
         "trans_time": F.col("row.trans_time").try_cast("timestamp"),
     }
     fields = [typed.get(name, F.col(f"row.{name}")).alias(name) for name in CHANGE_ROW.names]
-    return rows.select("op", "es", "batch", "pos", *fields)
+    row = F.struct("op", "es", "batch", "pos", *fields)
+    gone = F.struct(
+        F.lit("DELETE").alias("op"), "es", "batch", "pos",
+        *[(F.col("before") if f.name == key else F.lit(None).cast(f.dataType)).alias(f.name) for f in _change_fields()],
+    )
+    both = F.when(F.coalesce(moved, F.lit(False)), F.array(gone, row)).otherwise(F.array(row))
+    return rows.select(F.inline(both))
+
+
+def _change_fields():
+    kinds = {"trans_amt": DecimalType(18, 2), "trans_time": TimestampType()}
+    return [StructField(f.name, kinds.get(f.name, f.dataType)) for f in CHANGE_ROW]

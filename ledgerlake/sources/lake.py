@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -40,33 +41,58 @@ class Lake:
     def write_day(self, name: str, df: DataFrame, dt: str) -> None:
         """Replace exactly one day, also by nothing; other days stay as they are.
 
+        The new rows are written beside the old ones and take their place only
+        when the write is complete, so a failed write leaves the day as it was.
         No shuffle of its own: a projection keeps the scan's splits, and what
         comes from a shuffle has the partition sizes that adaptive execution gave it.
         """
         table = TABLES[name]
-        (
-            conform(df, table).write.mode("overwrite").format(self.fmt)
-            .option("compression", table.compression if self.fmt == "orc" else "snappy")
-            .save(self.day_path(name, dt))
-        )
-
-    def read_day(self, name: str, dt: str) -> DataFrame:
-        """One day. Lists that day's folder only; a day never written is empty."""
-        return self._load(name, self.day_path(name, dt))
-
-    def read(self, name: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        target = self.day_path(name, dt)
+        fresh, old = (f"{self.path(name)}/_{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+        try:
+            (
+                conform(df, table).write.format(self.fmt)
+                .option("compression", table.compression if self.fmt == "orc" else "snappy")
+                .save(fresh)
+            )
+        except BaseException:
+            self._delete(fresh)
+            raise
+        had = self._exists(target)
+        if had:
+            self._rename(target, old)
+        try:
+            self._rename(fresh, target)
+        except BaseException:
+            if had:
+                self._rename(old, target)
+            raise
+        self._delete(old)
+
+    def read_day(self, name: str, dt: str, missing_ok: bool = False) -> DataFrame:
+        """One day. Lists that day's folder only. A day never written is an error, or empty with ``missing_ok``."""
+        return self._load(name, self.day_path(name, dt), missing_ok)
+
+    def read(self, name: str, start: str | None = None, end: str | None = None, missing_ok: bool = False) -> DataFrame:
         """All days, or those from ``start`` to ``end``; pruned by folder."""
-        df = self._load(name, self.path(name))
+        df = self._load(name, self.path(name), missing_ok)
         if start:
             df = df.where(F.col("dt") >= checked_day(start))
         if end:
             df = df.where(F.col("dt") <= checked_day(end))
         return df
 
+    def days(self, name: str) -> list[str]:
+        """The days written, in order; from the folder names, no file is opened."""
+        files, folder = self._folder(self.path(name))
+        if not files.exists(folder):
+            return []
+        names = (entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory())
+        return sorted(n.removeprefix("dt=") for n in names if n.startswith("dt="))
+
     def drop_day(self, name: str, dt: str) -> bool:
         """Remove one day if it is there."""
-        files, folder = self._folder(self.day_path(name, dt))
-        return bool(files.delete(folder, True))
+        return self._delete(self.day_path(name, dt))
 
     def has(self, name: str) -> bool:
         """Whether any day was ever written."""
@@ -74,11 +100,14 @@ class Lake:
 
     def latest_day(self, name: str = "mgmt_kpi", default: str | None = None) -> DataFrame:
         """One row with the newest day, or the default when there is none."""
-        return latest_day(self.read(name), default)
+        days = self.days(name)
+        return self.spark.createDataFrame([(days[-1] if days else default,)], "dt string")
 
-    def _load(self, name: str, path: str) -> DataFrame:
+    def _load(self, name: str, path: str, missing_ok: bool) -> DataFrame:
         schema = TABLES[name].schema.add("dt", "string")
         if not self._exists(path):
+            if not missing_ok:
+                raise FileNotFoundError(f"{name} was never written at {path}")
             return self.spark.createDataFrame([], schema)
         return self.spark.read.format(self.fmt).schema(schema).option("basePath", self.path(name)).load(path)
 
@@ -86,6 +115,15 @@ class Lake:
         files, folder = self._folder(path)
         return bool(files.exists(folder))
 
+    def _delete(self, path: str) -> bool:
+        files, folder = self._folder(path)
+        return bool(files.delete(folder, True))
+
+    def _rename(self, path: str, to: str) -> None:
+        files, folder = self._folder(path)
+        if not files.rename(folder, self._folder(to)[1]):
+            raise OSError(f"cannot move {path} to {to}")
+
     def _folder(self, path: str):
         context = self.spark.sparkContext
         folder = context._jvm.org.apache.hadoop.fs.Path(path)
@@ -150,14 +188,20 @@ def insert_day(spark: SparkSession, table: Table, df: DataFrame, dt: str) -> Non
 
 
 def publish_tables(lake: Lake, names: Iterable[str] = tuple(TABLES)) -> None:
-    """Make the lake's folders readable by SQL under the tables' own names, with all days written so far."""
+    """Make the lake's folders readable by SQL under the tables' own names, with all days written so far.
+
+    Days are added by name; the catalog does not list the table's folders itself.
+    """
     names = list(names)
     plain = [TABLES[name].with_buckets(0) for name in names]
     create_tables(lake.spark, plain, lake.root, lake.fmt)
     for name, table in zip(names, plain):
-        if lake.has(name):
-            lake.spark.sql(f"MSCK REPAIR TABLE {table.qualified}")
-            lake.spark.catalog.refreshTable(table.qualified)
+        known = {row[0].removeprefix("dt=") for row in lake.spark.sql(f"SHOW PARTITIONS {table.qualified}").collect()}
+        new = [dt for dt in lake.days(name) if dt not in known]
+        if new:
+            parts = " ".join(f"PARTITION (dt = '{dt}')" for dt in new)
+            lake.spark.sql(f"ALTER TABLE {table.qualified} ADD IF NOT EXISTS {parts}")
+        lake.spark.catalog.refreshTable(table.qualified)
 
 
 def drop_partition(spark: SparkSession, table: Table, dt: str) -> None:

@@ -105,10 +105,16 @@ def start_account_windows(
 
     Update mode: each batch writes the new totals of the windows it touched to
     a folder per day and batch, replacing it if the batch is retried. A day whose
-    windows are closed can be rolled up and dropped as a folder. ``files`` is the
+    windows are closed is rolled up by ``compact_days``. ``files`` is the
     number of files per day and batch; without it every state partition would
     write one for every day.
+
+    Batch numbers start anew with a new checkpoint, and totals with them. So a
+    path that already holds batches is refused unless the checkpoint has them too.
     """
+    spark = rows.sparkSession
+    if _has_batches(spark, path) and not _has_batches(spark, f"{checkpoint.rstrip('/')}/commits", "*"):
+        raise ValueError(f"{path} holds batches that the checkpoint {checkpoint} does not know; take a new path")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         piece = F.pmod(F.xxhash64("channel", "account_no", "window.start"), F.lit(files))
@@ -126,18 +132,63 @@ def start_account_windows(
     return (writer.trigger(availableNow=True) if finite else writer).start()
 
 
-def read_channel_windows(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """Channel windows from the files of ``start_account_windows``: newest total per account window, rolled up.
+def _has_batches(spark: SparkSession, path: str, pattern: str = "dt=*") -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
+    return bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder))
+
 
-    ``since`` is the first day to read; earlier folders are not opened.
+def compact_days(spark: SparkSession, path: str, compacted: str, before: str) -> list[str]:
+    """Rolls up each day earlier than ``before``, whose windows must be closed; returns the days.
+
+    A day's newest totals go to ``compacted``, one folder a day, and then its
+    folders per batch are removed. A day is read from ``compacted`` as soon as it is
+    whole there, so this can be repeated after a failure.
     """
-    updates = spark.read.parquet(path)
-    if since:
-        updates = updates.where(F.col("dt") >= F.lit(since).cast("date"))
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = sorted(e.getPath().getName().removeprefix("dt=") for e in files.listStatus(root) if e.getPath().getName().startswith("dt="))
+    done = [dt for dt in days if dt < before]
+    for dt in done:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={dt}")
+        target = f"{compacted.rstrip('/')}/dt={dt}"
+        if not _has_batches(spark, target, "_SUCCESS"):
+            newest = _newest(spark.read.option("basePath", path).parquet(f"{path}/dt={dt}"))
+            newest.write.mode("overwrite").parquet(target)
+        files.delete(folder, True)
+    return done
+
+
+def _newest(updates: DataFrame) -> DataFrame:
     newest = updates.groupBy("window", "channel", "account_no").agg(
         F.max_by(F.struct("txn_cnt", "txn_amt"), "batch_id").alias("newest")
     )
-    totals = newest.select("window", "channel", "account_no", "newest.*")
+    return newest.select("window", "channel", "account_no", "newest.*")
+
+
+def read_channel_windows(
+    spark: SparkSession, path: str, since: str | None = None, compacted: str | None = None
+) -> DataFrame:
+    """Channel windows from the files of ``start_account_windows``: newest total per account window, rolled up.
+
+    ``since`` is the first day to read; earlier folders are not opened. Days in
+    ``compacted`` are read from there.
+    """
+    parts = []
+    if compacted and _has_batches(spark, compacted):
+        parts.append(spark.read.parquet(compacted).select("dt", "window", "channel", "account_no", "txn_cnt", "txn_amt"))
+    if _has_batches(spark, path):
+        updates = spark.read.parquet(path)
+        if parts:  # a day that is in both is whole in the first
+            rolled = parts[0].select("dt").distinct()
+            updates = updates.join(rolled, "dt", "left_anti")
+        parts.append(_newest(updates if not since else updates.where(F.col("dt") >= F.lit(since).cast("date"))).withColumn(
+            "dt", F.to_date("window.start")
+        ).select("dt", "window", "channel", "account_no", "txn_cnt", "txn_amt"))
+    if not parts:
+        raise FileNotFoundError(f"no batches at {path}")
+    totals = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if since:
+        totals = totals.where(F.col("dt") >= F.lit(since).cast("date"))
     return roll_up_accounts(totals, "window", "channel").select(
         F.col("window.start").alias("window_start"), "channel", "txn_cnt", "txn_amt", "active_accounts"
     )

@@ -40,8 +40,11 @@ def test_a_day_is_replaced_and_others_stay(spark, tmp_path, fmt):
 
 def test_missing_days_and_drops(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
-    assert lake.read_day("hub_customer", D1).count() == 0
-    assert lake.read("hub_customer").columns == [*TABLES["hub_customer"].schema.names, "dt"]
+    for read in (lambda **kw: lake.read_day("hub_customer", D1, **kw), lambda **kw: lake.read("hub_customer", **kw)):
+        with pytest.raises(FileNotFoundError):
+            read()
+        assert read(missing_ok=True).count() == 0
+        assert read(missing_ok=True).columns == [*TABLES["hub_customer"].schema.names, "dt"]
     assert not lake.drop_day("hub_customer", D1)
     lake.write_day("hub_customer", hub(spark, D1, "a"), D1)
     assert lake.drop_day("hub_customer", D1)
@@ -50,6 +53,16 @@ def test_missing_days_and_drops(spark, tmp_path):
         lake.read_day("hub_customer", "14/06/2026")
 
 
+def test_a_failed_write_leaves_the_day_as_it_was(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write_day("hub_customer", hub(spark, D1, "a"), D1)
+    bad = hub(spark, D1, "b").withColumn("customer_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        lake.write_day("hub_customer", bad, D1)
+    assert ids(lake.read_day("hub_customer", D1)) == [(D1, "a")] and lake.days("hub_customer") == [D1]
+    assert ids(lake.read("hub_customer")) == [(D1, "a")]
+
+
 def test_latest_day(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     assert lake.latest_day("hub_customer", default=D1).first().dt == D1

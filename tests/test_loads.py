@@ -5,6 +5,7 @@ import pytest
 
 from ledgerlake.operators.checks import rejected_rule
 from ledgerlake.schemas import SOURCES, TABLES
+from ledgerlake.sources import delimited
 from ledgerlake.sources.delimited import load_source, read_text, rejected_cells, type_rows
 
 DT = "2026-06-14"
@@ -84,3 +85,28 @@ def test_times_keep_their_fraction(spark, tmp_path):
     header = [f.name for f in SOURCES["balance"].schema]
     path = stage(tmp_path / "b", header, ["A1", "1", "1", "0", "2026-06-14 23:59:48.123456"])
     assert load_source(spark, "balance", path, DT).first().last_update == datetime(2026, 6, 14, 23, 59, 48, 123456)
+
+
+def test_columns_go_by_each_file_s_own_header(spark, tmp_path):
+    names = SOURCES["account"].schema.names
+    for file, order in (("a", names), ("b", names[::-1])):
+        rows = [{n: f"{file}-{n}" for n in names}, {n: "" for n in names}]
+        lines = ["\t".join(order), *("\t".join(r[n] for n in order) for r in rows)]
+        (tmp_path / f"{file}.tsv").write_text("\n".join(lines) + "\n")
+    raw = delimited.read_text(spark, str(tmp_path))
+    got = {r.account_no: r.customer_id for r in delimited.type_rows(raw, "account", "2026-06-14").collect()}
+    assert got["a-account_no"] == "a-customer_id" and got["b-account_no"] == "b-customer_id"
+
+
+def test_short_and_long_lines_are_set_aside(spark, tmp_path):
+    names = SOURCES["account"].schema.names
+    good = ["A1", *[""] * (len(names) - 1)]
+    lines = ["\t".join(names), "\t".join(good), "A2\tC2", "\t".join(["A3", *good])]
+    (tmp_path / "x.tsv").write_text("\n".join(lines) + "\n")
+    raw = delimited.read_text(spark, str(tmp_path))
+    with pytest.raises(Exception, match="too few or too many cells"):
+        delimited.type_rows(raw, "account", "2026-06-14").collect()
+    load, aside = delimited.split_rejects(delimited.with_rejects(raw, "account"))
+    assert [r.account_no for r in delimited.type_rows(load, "account", "2026-06-14").collect()] == ["A1"]
+    assert sorted(r[delimited.BAD_LINE] for r in aside.collect()) == sorted(lines[2:])
+    assert {tuple(r.rejected) for r in aside.collect()} == {(delimited.BAD_LINE,)}

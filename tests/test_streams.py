@@ -6,6 +6,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from ledgerlake.operators import patterns
 from ledgerlake.sources import feed
 from ledgerlake.streaming import monitor
@@ -141,11 +143,11 @@ def test_fast_in_out_as_a_stream(spark, tmp_path):
     topic.send(row("10:03:00", "quick", 190000, dr_cr_flag="D"))
     topic.send(row("11:00:00", "slow", 190000, dr_cr_flag="D"))
     topic.send(row("13:00:00", "none", 1, dr_cr_flag="D"))
-    alerts = patterns.fast_in_out(timed(spark, topic), time="txn_ts")
+    alerts = patterns.fast_in_out_stream(timed(spark, topic))
     finish(monitor.start_append(alerts, str(tmp_path / "out"), str(tmp_path / "cp"), finite=True))
     got = spark.read.schema(alerts.schema).parquet(str(tmp_path / "out")).collect()
     assert {r.account_no for r in got} == {"quick"}
-    assert {str(r.window_start)[11:] for r in got} == {"09:55:00", "10:00:00"}
+    assert [(str(r.in_time)[11:], str(r.last_out)[11:]) for r in got] == [("10:01:00", "10:03:00")]
 
 
 def test_live_windows_read_from_a_day_on(spark, tmp_path):
@@ -155,3 +157,27 @@ def test_live_windows_read_from_a_day_on(spark, tmp_path):
     finish(monitor.start_account_windows(timed(spark, topic), out, str(tmp_path / "cp"), finite=True))
     assert len(stats(monitor.read_channel_windows(spark, out))) == 2
     assert [r[0] for r in stats(monitor.read_channel_windows(spark, out, since="2026-06-15"))] == ["00:00:00"]
+
+
+def test_a_path_whose_checkpoint_is_lost_is_refused(spark, tmp_path):
+    topic, out = Topic(tmp_path / "in"), str(tmp_path / "out")
+    topic.send(row("10:00:01"), row("10:00:02"))
+    finish(monitor.start_account_windows(timed(spark, topic), out, str(tmp_path / "cp"), finite=True))
+    topic.send(row("10:00:03"))
+    with pytest.raises(ValueError):
+        monitor.start_account_windows(timed(spark, topic), out, str(tmp_path / "other"), finite=True)
+    finish(monitor.start_account_windows(timed(spark, topic), out, str(tmp_path / "cp"), finite=True))
+    assert [r[2] for r in stats(monitor.read_channel_windows(spark, out))] == [3]
+
+
+def test_closed_days_are_compacted(spark, tmp_path):
+    topic, out, small = Topic(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "small")
+    for time, day in (("23:00:00", 13), ("23:00:01", 13), ("10:00:00", 14)):
+        topic.send({**row(time), "trans_time": f"2026-06-{day} {time}"})
+        finish(monitor.start_account_windows(timed(spark, topic), out, str(tmp_path / "cp"), finite=True))
+    before = stats(monitor.read_channel_windows(spark, out))
+    assert monitor.compact_days(spark, out, small, "2026-06-14") == ["2026-06-13"]
+    assert stats(monitor.read_channel_windows(spark, out, compacted=small)) == before
+    assert len(stats(monitor.read_channel_windows(spark, out))) == len(before) - 1
+    assert len(stats(monitor.read_channel_windows(spark, out, since="2026-06-14", compacted=small))) == len(before) - 1
+    assert monitor.compact_days(spark, out, small, "2026-06-14") == []
