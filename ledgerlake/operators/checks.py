@@ -33,14 +33,19 @@ def _rules(row: DataFrame, table: str, rules: list[str]) -> DataFrame:
     )
 
 
-def key_rules(df: DataFrame, table: str, key: str) -> DataFrame:
-    """Rows with no key, and rows beyond the first of their key.
+def _per_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows per trimmed key, empty as null; one very common key costs one row per task.
 
-    Rows are counted per key first, so one very common key costs one row per task.
+    All rules on one table and key start from this same plan, so Spark runs its
+    shuffle once and reuses it.
     """
-    counts = df.groupBy(F.nullif(F.trim(key), F.lit("")).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(F.nullif(F.trim(key), F.lit("")).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def key_rules(df: DataFrame, table: str, key: str) -> DataFrame:
+    """Rows with no key, and rows beyond the first of their key."""
     known = F.col("id").isNotNull()
-    row = counts.agg(
+    row = _per_key(df, key).agg(
         F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("null_key"),
         F.sum(F.when(known, F.col("n") - 1).otherwise(0)).alias("duplicate_key"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
@@ -49,10 +54,9 @@ def key_rules(df: DataFrame, table: str, key: str) -> DataFrame:
 
 
 def orphan_rule(df: DataFrame, parents: DataFrame, table: str, key: str, rule: str) -> DataFrame:
-    """Rows whose key has no parent row; rows are counted per key before the join."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    known = parents.select(F.col(key), F.lit(True).alias("known")).where(F.col(key).isNotNull()).distinct()
-    row = counts.join(known, key, "left").agg(
+    """Rows whose key has no parent row; padded keys are the same key, rows without one are orphans."""
+    known = _per_key(parents, key).select("id", F.lit(True).alias("known"))
+    row = _per_key(df, key).join(known, "id", "left").agg(
         F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias(rule),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
     )

@@ -46,7 +46,9 @@ def test_third_day_ignores_closed_rows_and_a_return_opens_anew(spark):
     assert shape(third) == [("A2", D2, OPEN, True), ("B", D3, OPEN, True)]
     assert third.columns == first.columns
 
-        days = first.withColumn("dt", F.lit(D1))
+    from pyspark.sql import functions as F
+
+    days = first.withColumn("dt", F.lit(D1))
     for df, dt in ((second, D2), (third, D3)):
         days = days.unionByName(df.withColumn("dt", F.lit(dt)))
     known = history.customer_history(days, D3)
@@ -167,3 +169,14 @@ def test_changes_of_other_databases_and_of_keys(spark):
     changes = feed.decode_changes(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert sorted((r.op, r.trans_id) for r in changes.collect()) == [("DELETE", "1"), ("INSERT", "1"), ("UPDATE", "2"), ("UPDATE", "2")]
     assert [r.trans_id for r in history.latest_changes(changes).collect()] == ["2"]
+
+
+def test_rules_on_one_table_and_key_share_a_shuffle(spark, tmp_path):
+    for name in ("account", "balance"):
+        spark.range(50).selectExpr("cast(id as string) as account_no", "cast(id as string) as customer_id").write.parquet(f"{tmp_path}/{name}")
+    acct, bal = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("account", "balance"))
+    report = checks.key_rules(acct, "account", "account_no").unionByName(checks.key_rules(bal, "balance", "account_no")).unionByName(
+        checks.orphan_rule(bal, acct, "balance", "account_no", "orphan_account"))
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("ReusedExchange") == 2
