@@ -113,4 +113,55 @@ select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_
 from reach left join sizes using (doc_id) group by doc_id
 """
 
-ORACLES = {"op4_jaccard": JACCARD, "op5_urls": URLS, "op6_warc": WARC, "op10_quality": QUALITY}
+def _change(old: str, new: str) -> str:
+    """`old` with one document of each source on the other side, that whose size is nearest to the source's gap."""
+    return f"""{old}_gap as (
+  select source, none, any_value(rest) - sum(case when more then size else 0 end) as gap from {old} where rest > 0 group by source, none
+),
+{old}_best as (
+  select source, none, doc_id as best from {old} join {old}_gap using (source, none)
+  where more = (gap < 0) and abs(size - abs(gap)) < abs(gap)
+  qualify row_number() over (partition by source, none order by abs(size - abs(gap)), bucket, ord) = 1
+),
+{new} as (
+  select {old}.* replace (more <> coalesce(doc_id = best, false) as more) from {old} left join {old}_best using (source, none)
+)"""
+
+
+MIXING = rf"""
+with docs as (
+  select doc_id, coalesce(source, '') as source, source is null as none,
+    len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as size, md5('mix/' || doc_id) as ord
+  from documents
+),
+sources as (
+  select source, none, sum(size) as source_size, (row_number() over (order by none, source) - 1) % 3 + 1.0::double as weight
+  from docs group by source, none
+),
+levels as (
+  select *, 3.0 * source_size / weight as ratio,
+    ((select sum(source_size) from sources) - coalesce(sum(3.0 * source_size) over before, 0)) / sum(weight) over after as level
+  from sources
+  window before as (order by 3.0 * source_size / weight, none, source rows between unbounded preceding and 1 preceding),
+         after as (order by 3.0 * source_size / weight, none, source rows between current row and unbounded following)
+),
+targets as (
+  select source, none, source_size, least(weight * (select level from levels where ratio >= level order by ratio, none, source limit 1), 3.0 * source_size) as target
+  from sources
+),
+shares as (
+  select *, coalesce(floor(target / nullif(source_size, 0)), 0) as whole, target - coalesce(floor(target / nullif(source_size, 0)), 0) * source_size as rest
+  from targets
+),
+drawn0 as (
+  select d.*, s.source_size, s.target, s.whole, s.rest, ('0x' || substr(ord, 1, 8))::bigint % 1024 as bucket from docs d join shares s using (source, none)
+),
+drawn as (
+  select *, rest > 0 and sum(size) over (partition by source, none order by bucket, ord) - size / 2 <= rest as more from drawn0
+),
+{_change('drawn', 'second')},
+{_change('second', 'third')}
+select doc_id, size, source_size, target, cast(least(whole + more::int, 3) * size as bigint) as taken from third
+"""
+
+ORACLES = {"op4_jaccard": JACCARD, "op5_urls": URLS, "op6_warc": WARC, "op8_mixing": MIXING, "op10_quality": QUALITY}
