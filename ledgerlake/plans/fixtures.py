@@ -38,6 +38,11 @@ def account_no(column: str) -> Column:
     return _padded("6222", column, 14)
 
 
+def _day(start: str, column: str, cycle: int) -> Column:
+    """A day up to `cycle` days after `start`, from a key."""
+    return F.date_add(F.lit(start).cast("date"), (F.col(column) % cycle).cast("int"))
+
+
 def event_channel() -> Column:
     kind = F.col("user_id") % 4
     return (
@@ -57,6 +62,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         cust_level=F.col("c_mktsegment"),
         nationality=F.col("n_name"),
         annual_income=F.col("c_acctbal"),
+        gender=F.when(F.col("c_custkey") % 3 == 0, "F").when(F.col("c_custkey") % 3 == 1, "M"),
+        birth_date=_day("1950-01-01", "c_custkey", 18000),
+        open_date=_day("2010-01-01", "c_custkey", 4000),
+        create_date=_day("2010-01-02", "c_custkey", 4000),
+        update_time=F.timestamp_seconds(F.lit(1600000000) + F.col("c_custkey")),
     )
 
 
@@ -70,7 +80,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         account_no=account_no("o_orderkey"),
         customer_id=customer_id("o_custkey"),
         acct_type=F.col("o_orderpriority"),
-        currency=F.lit("CNY"),
+        currency=F.when(F.col("o_orderkey") % 20 == 0, "USD").otherwise("CNY"),
         open_date=F.col("o_orderdate"),
         status=F.when(status == "O", "NORMAL").when(status == "F", "FROZEN").otherwise("DORMANT"),
         branch_id=F.concat(F.lit("ORG"), F.col("c_nationkey").cast("string")),
@@ -137,9 +147,12 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         contract_no=_padded("LOAN", "s_suppkey", 8),
         customer_id=customer_id("s_suppkey"),
         loan_amt=F.col("s_acctbal"),
-        rate=F.lit("0.03"),
-        term=F.lit(12),
-        status=F.lit("ACTIVE"),
+        rate=(F.col("s_suppkey") % 9 + 1).cast("decimal(9,6)") / 100,
+        term=F.col("s_suppkey") % 36 + 6,
+        sign_date=_day("2022-01-01", "s_suppkey", 700),
+        start_date=_day("2022-01-08", "s_suppkey", 700),
+        end_date=_day("2025-01-08", "s_suppkey", 700),
+        status=F.when(F.col("s_suppkey") % 4 == 0, "SETTLED").otherwise("ACTIVE"),
     )
 
 
@@ -150,6 +163,8 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer_id=customer_id("c_custkey"),
         card_level=F.col("c_mktsegment"),
         credit_limit=F.abs("c_acctbal"),
+        open_date=_day("2018-01-01", "c_custkey", 2000),
+        expire_date=_day("2028-01-01", "c_custkey", 2000),
         status=F.lit("ACTIVE"),
     )
 

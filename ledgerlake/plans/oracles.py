@@ -10,12 +10,17 @@ _CTES = {
         select concat('CUST', lpad(cast(c_custkey as varchar), 8, '0')) as customer_id, c_name as cust_name,
                case when c_custkey % 2 = 0 then 'PERSONAL' else 'CORPORATE' end as cust_type,
                c_mktsegment as cust_level, n_name as nationality,
-               cast(c_acctbal as decimal(18,2)) as annual_income
+               cast(c_acctbal as decimal(18,2)) as annual_income,
+               case c_custkey % 3 when 0 then 'F' when 1 then 'M' end as gender,
+               date '1950-01-01' + cast(c_custkey % 18000 as integer) as birth_date,
+               date '2010-01-01' + cast(c_custkey % 4000 as integer) as open_date,
+               date '2010-01-02' + cast(c_custkey % 4000 as integer) as create_date,
+               make_timestamp((1600000000 + c_custkey) * 1000000) as update_time
         from customer join nation on c_nationkey = n_nationkey""",
     "f_account": """
         select concat('6222', lpad(cast(o_orderkey as varchar), 14, '0')) as account_no,
                concat('CUST', lpad(cast(o_custkey as varchar), 8, '0')) as customer_id,
-               o_orderpriority as acct_type, 'CNY' as currency, cast(o_orderdate as date) as open_date,
+               o_orderpriority as acct_type, case when o_orderkey % 20 = 0 then 'USD' else 'CNY' end as currency, cast(o_orderdate as date) as open_date,
                case o_orderstatus when 'O' then 'NORMAL' when 'F' then 'FROZEN' else 'DORMANT' end as status,
                concat('ORG', cast(c_nationkey as varchar)) as branch_id,
                concat('PROD_', o_orderpriority) as product_id
@@ -52,12 +57,19 @@ _CTES = {
     "f_loan": """
         select concat('LOAN', lpad(cast(s_suppkey as varchar), 8, '0')) as contract_no,
                concat('CUST', lpad(cast(s_suppkey as varchar), 8, '0')) as customer_id,
-               cast(s_acctbal as decimal(18,2)) as loan_amt
+               cast(s_acctbal as decimal(18,2)) as loan_amt, (s_suppkey % 9 + 1) / 100.0 as rate,
+               cast(s_suppkey % 36 + 6 as integer) as term,
+               date '2022-01-01' + cast(s_suppkey % 700 as integer) as sign_date,
+               date '2022-01-08' + cast(s_suppkey % 700 as integer) as start_date,
+               date '2025-01-08' + cast(s_suppkey % 700 as integer) as end_date,
+               case when s_suppkey % 4 = 0 then 'SETTLED' else 'ACTIVE' end as status
         from supplier""",
     "f_card": """
         select concat('6228', lpad(cast(c_custkey as varchar), 14, '0')) as card_no,
                concat('CUST', lpad(cast(c_custkey as varchar), 8, '0')) as customer_id, c_mktsegment as card_level,
-               cast(abs(c_acctbal) as decimal(18,2)) as credit_limit
+               cast(abs(c_acctbal) as decimal(18,2)) as credit_limit,
+               date '2018-01-01' + cast(c_custkey % 2000 as integer) as open_date,
+               date '2028-01-01' + cast(c_custkey % 2000 as integer) as expire_date
         from customer""",
     "f_ebank": """
         select concat('EBK', lpad(cast(event_id as varchar), 10, '0')) as trans_id,
@@ -255,10 +267,11 @@ ORACLES: dict[str, str] = {
     "sat_customer": _with("f_customer", f"""
         select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as customer_hash_key, '{DAY}' as load_date,
                '9999-12-31' as load_end_date, true as is_current, cust_name,
-               {_nulls("id_type id_no mobile phone email address gender birth_date occupation education open_date status")},
+               {_nulls("id_type id_no mobile phone email address occupation education status")},
+               gender, cast(birth_date as varchar) as birth_date, cast(open_date as varchar) as open_date,
                cust_type, cust_level, nationality, cast(annual_income as double) as annual_income,
                'CORE' as record_source,
-               md5(concat_ws('|', cust_name, '', '', '', cust_type, cust_level, '', '')) as hash_diff
+               md5(concat_ws('|', cust_name, '', '', '', cust_type, cust_level, coalesce(gender, ''), '')) as hash_diff
         from f_customer"""),
     "sat_balance": _with("f_balance f_account", f"""
         select md5('CORE|' || b.account_no || '|HUB_ACCOUNT') as account_hash_key, '{DAY}' as load_date,
@@ -282,10 +295,11 @@ ORACLES: dict[str, str] = {
                      md5('CORE|' || account_no || '|HUB_ACCOUNT') as account_hash_key, open_date from f_account) x"""),
     "link_cust_loan": _with("f_loan", f"""
         select md5(customer_hash_key || '|' || contract_hash_key || '|BORROWER|LINK_CUST_LOAN') as cust_loan_hash_key,
-               customer_hash_key, contract_hash_key, 'BORROWER' as rel_type, {_nulls("rel_start_date rel_end_date")},
+               customer_hash_key, contract_hash_key, 'BORROWER' as rel_type, cast(start_date as varchar) as rel_start_date,
+               cast(end_date as varchar) as rel_end_date,
                true as is_active, '{DAY}' as load_date, 'LOAN' as record_source
         from (select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as customer_hash_key,
-                     md5('LOAN|' || contract_no || '|HUB_LOAN_CONTRACT') as contract_hash_key from f_loan) x"""),
+                     md5('LOAN|' || contract_no || '|HUB_LOAN_CONTRACT') as contract_hash_key, start_date, end_date from f_loan) x"""),
     "link_txn_acct": _with("f_txn", f"""
         select md5(transaction_hash_key || '|' || account_hash_key || '|BOOKED|LINK_TXN_ACCT') as txn_acct_hash_key,
                transaction_hash_key, account_hash_key, 'BOOKED' as rel_type, '{DAY}' as load_date,
@@ -298,7 +312,7 @@ ORACLES: dict[str, str] = {
                cast(accounts as integer) as account_cnt, cast(1 as integer) as product_holding_cnt
         from summary"""),
     "cust_daily_summary_extended": _with("summary f_txn f_loan", """
-        , l as (select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as k, sum(loan_amt) as amt from f_loan group by 1),
+        , l as (select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as k, sum(loan_amt) as amt from f_loan where status = 'ACTIVE' group by 1),
         t as (select md5('CORE|' || a.customer_id || '|HUB_CUSTOMER') as k, count(*) as n, sum(trans_amt) as amt
               from f_txn x join f_account a on a.account_no = x.account_no group by 1),
         p as (select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as k, count(distinct product_id) as n
@@ -392,8 +406,9 @@ ORACLES: dict[str, str] = {
                     else format('{:,.0f}', floor(v + 0.5)) end as auto_text
         from (select customer_hash_key, cast(total as double) as v from summary) x"""),
     "ods_load_customer": _with("f_customer", f"""
-        select customer_id, cust_name, {_nulls("id_type id_no mobile phone email address gender birth_date occupation")},
-               {_nulls("education open_date close_date status create_date update_time")},
+        select customer_id, cust_name, {_nulls("id_type id_no mobile phone email address occupation education close_date status")},
+               gender, cast(birth_date as varchar) as birth_date, cast(open_date as varchar) as open_date,
+               cast(create_date as varchar) as create_date, cast(update_time as varchar) as update_time,
                cust_type, cust_level, nationality, cast(annual_income as double) as annual_income,
                'CORE' as source_system, {_STAMP} from f_customer"""),
     "ods_load_account": _with("f_account", f"""
@@ -412,12 +427,14 @@ ORACLES: dict[str, str] = {
                cast(amount as double) as amount, pay_status, cast(create_time as varchar) as create_time,
                'PAY' as source_system, {_STAMP} from f_pay"""),
     "ods_load_loan": _with("f_loan", f"""
-        select contract_no, customer_id, {_nulls("loan_type rate_type repay_method sign_date start_date end_date")},
-               {_nulls("guarantee_type loan_purpose")}, cast(loan_amt as double) as loan_amt,
-               cast(0.03 as double) as rate, cast(12 as integer) as term, 'ACTIVE' as status,
+        select contract_no, customer_id, {_nulls("loan_type rate_type repay_method guarantee_type loan_purpose")},
+               cast(sign_date as varchar) as sign_date, cast(start_date as varchar) as start_date,
+               cast(end_date as varchar) as end_date, cast(loan_amt as double) as loan_amt,
+               cast(rate as double) as rate, term, status,
                'LOAN' as source_system, {_STAMP} from f_loan"""),
     "ods_load_card": _with("f_card", f"""
-        select card_no, customer_id, {_nulls("card_type open_date expire_date")}, card_level,
+        select card_no, customer_id, {_nulls("card_type")}, card_level, cast(open_date as varchar) as open_date,
+               cast(expire_date as varchar) as expire_date,
                cast(credit_limit as double) as credit_limit, 'ACTIVE' as status,
                'CC' as source_system, {_STAMP} from f_card"""),
     "ods_load_ebank": _with("f_ebank", f"""
