@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -51,12 +52,34 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(application)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """For jobs run inside: Python workers get at most so many rows at once, as each may hold a whole text or set."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df as a table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of `written` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def rank_in_group(df: DataFrame, keys: list[str], row: str, name: str, pieces: int = RANK_PIECES) -> DataFrame:

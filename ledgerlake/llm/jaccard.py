@@ -18,10 +18,12 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Words, chunked, gathered, mix, ship, written
+from ledgerlake.llm.common import Words, chunked, discard, gathered, mix, ship, small_batches, written
 from ledgerlake.llm.components import components
 
 #: Places of the sketch of n-gram frequencies, as a power of two.
@@ -51,12 +53,13 @@ def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            found = [shingles(t, n) for t in batch.column(0).to_pylist()]
-            if found:
+            for k in range(0, batch.num_rows, 256):
+                found = [shingles(t.as_py(), n) for t in batch.column(0).slice(k, 256)]
                 seen += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen))
         yield chunked(seen)
 
-    total = gathered(texts.mapInArrow(count, "chunk int, data binary"), "add")
+    with small_batches(texts.sparkSession):
+        total = gathered(texts.mapInArrow(count, "chunk int, data binary"), "add")
     if not len(total):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     return np.log2(np.maximum(total, 1)).astype(np.uint8)
@@ -81,7 +84,7 @@ def _sketched(grams: np.ndarray, levels: np.ndarray, t: Fraction) -> tuple[np.nd
     return prefix, np.packbits(bits).view(np.int64)
 
 
-_KEYS = "doc_id {}, tk long, n long, f1 long, f2 long, prefix array<long>, bits array<long>"
+_KEYS = "doc_id {}, tk long, n long, f1 long, f2 long, p1 long, prefix array<long>, bits array<long>"
 
 
 def _keys(docs: DataFrame, n: int, t: Fraction) -> DataFrame:
@@ -89,28 +92,31 @@ def _keys(docs: DataFrame, n: int, t: Fraction) -> DataFrame:
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs.select("text"), n))  # 1 MB, whatever the input
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, first, second, prefixes, bitmaps = [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                grams = shingles(text, n)
+        for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
+            sizes, first, second, third, prefixes, bitmaps = [], [], [], [], [], []
+            for text in batch.column(2):
+                grams = shingles(text.as_py(), n)
                 sizes.append(len(grams))
                 with np.errstate(over="ignore"):
                     first.append(int(mix(grams).sum().view(np.int64)) if len(grams) else 0)
                     second.append(int(np.bitwise_xor.reduce(mix(~grams)).view(np.int64)) if len(grams) else 0)
                 prefix, bits = _sketched(grams, levels.value, t) if len(grams) else (grams, np.zeros(0, np.int64))
+                with np.errstate(over="ignore"):
+                    third.append(int(mix(prefix).sum().view(np.int64)) if len(grams) else 0)
                 prefixes.append(prefix.view(np.int64))
                 bitmaps.append(bits)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                    pa.array(second, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bitmaps, pa.list_(pa.int64())),
+                    pa.array(second, pa.int64()), pa.array(third, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bitmaps, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "tk", "n", "f1", "f2", "prefix", "bits"],
+                names=["doc_id", "tk", "n", "f1", "f2", "p1", "prefix", "bits"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "tk", "text").mapInArrow(key, _KEYS.format(kind))
-    return written(keyed.withColumn("row", F.monotonically_increasing_id()), "jaccard-keys")
+    with small_batches(docs.sparkSession):
+        return written(keyed.withColumn("row", F.monotonically_increasing_id()), "jaccard-keys")
 
 
 # ---- candidate pairs ------------------------------------------------------------------------------------------------
@@ -134,28 +140,51 @@ def _few_differences(a: Column, b: Column, n_a: Column, n_b: Column, t: Fraction
     return differ <= n_a + n_b - 2 * _need(n_a, n_b, t)
 
 
-def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (list, id, n, pos, prev, members) of all lists with two classes or more, and (id, group) of all classes.
+def _postings(keys: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (list, id, n, pos, prev, size) of all lists with two classes or more, and (id, n, group) of classes that share a group.
 
     A list is that of a prefix n-gram, in which a group stands under its smallest
-    member, or that of a group's members.
+    member, or that of a group's members; size is its number of classes.
     """
-    grouped = classes.groupBy("n", "prefix").agg(F.min("id").alias("group"), F.count("*").alias("members"))
-    grouped = written(grouped, "jaccard-groups")
-    several = written(grouped.filter("members > 1").select("n", "prefix", "group"), "jaccard-shared")
-    shared = written(classes.select("id", "n", "prefix").join(several, ["n", "prefix"]).select("id", "n", "group"), "jaccard-members")
-    of_grams = grouped.select("group", "n", "members", "prefix", F.posexplode("prefix").alias("pos", "list")).select(
-        "list", F.col("group").alias("id"), "n", F.col("pos").cast("long").alias("pos"),
-        F.get("prefix", F.col("pos") - 1).alias("prev"), "members",
+    groups = written(
+        classes.groupBy("n", "p1").agg(F.min("id").alias("group"), F.count("*").alias("members")), "jaccard-groups"
+    )
+    several = written(groups.filter("members > 1"), "jaccard-shared")
+    shared = written(classes.select("id", "n", "p1").join(several, ["n", "p1"]).select("id", "n", "group"), "jaccard-members")
+    # prefixes of the groups' smallest members
+    prefixes = written(
+        keys.select(F.col("row").alias("group"), "prefix").join(groups.select("group", "n", "members"), "group"), "jaccard-prefixes"
     )
+    counts = prefixes.select(F.explode("prefix").alias("list")).groupBy("list").agg(F.count("*").alias("rows")).filter("rows > 1")
+    more = prefixes.filter("members > 1").select(F.explode("prefix").alias("list"), (F.col("members") - 1).alias("more"))
+    counts = counts.join(more.groupBy("list").agg(F.sum("more").alias("more")), "list", "left")
+    lists = written(counts.select("list", (F.col("rows") + F.coalesce("more", F.lit(0))).alias("size")), "jaccard-lists")
+    bits = _marks(lists.withColumnRenamed("list", "tk"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Postings of n-grams that other groups may have too."""
+        for batch in batches:
+            prefix = batch.column("prefix")
+            length = pc.list_value_length(prefix).to_numpy(zero_copy_only=False).astype(np.int64)
+            grams = prefix.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), length)
+            pos = np.arange(len(grams)) - np.repeat(np.cumsum(length) - length, length)
+            keep = np.flatnonzero(_marked(grams, bits.value))
+            before = pa.array(grams[np.maximum(keep - 1, 0)], mask=pos[keep] == 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams[keep]), batch.column("group").take(pa.array(owner[keep])), batch.column("n").take(pa.array(owner[keep])), pa.array(pos[keep]), before],
+                names=["list", "id", "n", "pos", "prev"],
+            )
+
+    of_grams = prefixes.select("group", "n", "prefix").mapInArrow(rows, "list long, id long, n long, pos long, prev long")
     of_groups = shared.select(
         F.xxhash64("group", F.lit("group")).alias("list"), "id", "n", F.lit(0).cast("long").alias("pos"),
-        F.lit(None).cast("long").alias("prev"), F.lit(1).cast("long").alias("members"),
+        F.lit(None).cast("long").alias("prev"),
     )
-    lists = of_grams.groupBy("list").agg(F.count("*").alias("rows"), F.sum("members").alias("size")).filter("rows > 1")
-    lists = lists.unionByName(of_groups.groupBy("list").agg(F.count("*").alias("rows"), F.sum("members").alias("size")))
-    lists = written(lists.select("list", "size"), "jaccard-lists")
-    return written(of_grams.unionByName(of_groups).join(lists, "list"), "jaccard-postings"), shared
+    lists = lists.unionByName(of_groups.groupBy("list").agg(F.count("*").alias("size")))
+    postings = written(of_grams.unionByName(of_groups).join(lists, "list"), "jaccard-postings")
+    discard(groups, several, prefixes)
+    return postings, shared
 
 
 def _short_pairs(postings: DataFrame, shared: DataFrame, t: Fraction) -> DataFrame:
@@ -185,7 +214,7 @@ def _block_pairs(postings: DataFrame, shared: DataFrame, nodes: DataFrame, label
     """In long lists, all pairs of different components that pass the bounds, found block against block."""
     long = postings.filter(F.col("size") > SHORT)
     member = shared.select(F.col("group").alias("id"), F.col("id").alias("member"))
-    long = long.join(member, "id", "left").withColumn("id", F.coalesce("member", "id")).drop("member", "members")
+    long = long.join(member, "id", "left").withColumn("id", F.coalesce("member", "id")).drop("member")
     long = long.join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
     long = written(long.withColumn("component", F.coalesce("component", "id")), "jaccard-long")
     open_lists = long.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("list")
@@ -242,13 +271,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     A filter of fixed size lets tasks skip most other texts before any shuffle.
     """
-    listed = _filter(wanted)
+    bits = _marks(wanted)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = set()
         for batch in batches:
             keys, fresh = batch.column(0).to_numpy(), []
-            for k in range(batch.num_rows):
+            for k in np.flatnonzero(_marked(keys, bits.value)).tolist():
                 if keys[k] not in done:  # copies have one set
                     done.add(keys[k])
                     fresh.append(k)
@@ -256,8 +285,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             sets = [shingles(texts[k].as_py(), n).tobytes() for k in fresh]
             yield pa.RecordBatch.from_arrays([pa.array(keys[fresh], pa.int64()), pa.array(sets, pa.binary())], names=["tk", "grams"])
 
-    found = docs.filter("text is not null").filter(listed(F.col("tk"))).select("tk", "text").mapInArrow(grams, "tk long, grams binary")
-    return written(found.join(wanted, "tk", "left_semi").dropDuplicates(["tk"]), "jaccard-sets")
+    found = docs.filter("text is not null").select("tk", "text").mapInArrow(grams, "tk long, grams binary")
+    with small_batches(docs.sparkSession):
+        return written(found.join(wanted, "tk", "left_semi").dropDuplicates(["tk"]), "jaccard-sets")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: Fraction) -> DataFrame:
@@ -286,7 +316,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: Fr
                 keep.append(common * t.denominator >= t.numerator * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return written(joined.mapInArrow(verify, "a long, b long"), "jaccard-verified")
+    with small_batches(docs.sparkSession):
+        links = written(joined.mapInArrow(verify, "a long, b long"), "jaccard-verified")
+    discard(sets, likely)
+    return links
 
 
 def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
@@ -295,12 +328,12 @@ def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     keys = _keys(docs, n, threshold)
     classes = written(
         keys.filter("n > 0").groupBy("f1", "f2", "n").agg(
-            F.min_by(F.struct("tk", "prefix", "bits"), "row").alias("first"), F.min("row").alias("id")
+            F.min_by(F.struct("tk", "p1", "bits"), "row").alias("first"), F.min("row").alias("id")
         ).select("id", "f1", "f2", "n", "first.*"),
         "jaccard-classes",
     )
     nodes = classes.select("id", "tk", "n", "bits")
-    postings, shared = _postings(classes)
+    postings, shared = _postings(keys, classes)
     candidates = _short_pairs(postings, shared, threshold).union(_leader_pairs(postings, threshold)).distinct()
     links = _verified(candidates, docs, nodes, n, threshold)
     labels = written(components(links), "jaccard-labels")
@@ -310,10 +343,12 @@ def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
         labels = written(components(links.union(late)), "jaccard-labels")
     named = classes.select("id", "f1", "f2", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = written(named.select("f1", "f2", "n", F.coalesce("component", "id").alias("component")), "jaccard-named")
-    return written(
+    found = written(
         keys.select("doc_id", "tk", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select("doc_id", "tk", "n", "component"),
         "jaccard-labelled",
     )
+    discard(keys, classes, postings, named)
+    return found
 
 
 def jaccard_components(
@@ -355,7 +390,12 @@ def keep_first(
     # rows to drop, and keys that stay but stand in several rows
     keys = judged.groupBy("doc_id", "tk", "stays").agg(F.count("*").alias("rows")).filter("not stays or rows > 1")
     keys = written(keys.select(F.xxhash64("doc_id", "tk").alias("tk"), "stays"), "jaccard-drop")
-    listed = _filter(keys)
+    bits = _marks(keys)
+
+    @F.pandas_udf("boolean")
+    def listed(hashes: pd.Series) -> pd.Series:
+        return pd.Series(_marked(hashes.to_numpy(), bits.value))
+
     docs = docs.withColumn("_key", F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col).cast("binary"))))
     suspect = docs.filter(listed(F.col("_key"))).join(keys.withColumnRenamed("tk", "_key"), "_key", "left")
     single = suspect.filter("stays").dropDuplicates(["_key"])
@@ -365,8 +405,8 @@ def keep_first(
     ).unionByName(single.select(*names))
 
 
-def _filter(wanted: DataFrame):
-    """A test of a 64-bit key column that is true for all keys `tk` of `wanted`, and for few others."""
+def _marks(wanted: DataFrame) -> Broadcast:
+    """A filter of fixed size that holds all 64-bit keys `tk` of `wanted`."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, dtype=bool)
@@ -377,11 +417,10 @@ def _filter(wanted: DataFrame):
 
     marks = gathered(wanted.select("tk").mapInArrow(mark, "chunk int, data binary"), "or")
     marks = marks if len(marks) else np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    bits = wanted.sparkSession.sparkContext.broadcast(marks)  # 1 MB, whatever the input
+    return wanted.sparkSession.sparkContext.broadcast(marks)  # 1 MB, whatever the input
 
-    @F.pandas_udf("boolean")
-    def listed(keys: pd.Series) -> pd.Series:
-        at = mix(keys.to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
-        return pd.Series((bits.value[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0)
 
-    return listed
+def _marked(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """True for all keys that the filter holds, and for few others."""
+    at = mix(keys.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
