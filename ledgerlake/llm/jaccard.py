@@ -28,8 +28,8 @@ from ledgerlake.llm.components import components
 
 #: Places of the sketch of n-gram frequencies, as a power of two.
 SKETCH_BITS = 20
-#: 64-bit words of a set's bitmap.
-BITMAP = 32
+#: 64-bit words of the bitmap of a set of up to 1024 n-grams; each doubling of the set doubles it.
+BITMAP, BITMAP_SET = 32, 1024
 #: Classes in a list that is paired as a whole; classes in a block of a longer one; leaders of such a list.
 SHORT, BLOCK, LEADERS = 64, 512, 3
 #: Bits of the filter that finds again the documents whose sets are needed, as a power of two.
@@ -79,8 +79,9 @@ def _sketched(grams: np.ndarray, levels: np.ndarray, t: Fraction) -> tuple[np.nd
     ordered = np.sort(level << np.uint64(58) | grams >> np.uint64(6))
     n = len(grams)
     prefix = ordered[: n - -(-n * t.numerator // t.denominator) + 1]
-    bits = np.zeros(BITMAP * 64, dtype=np.uint8)
-    bits[(mix(grams) >> np.uint64(64 - 11)).astype(np.int64)] = 1
+    words = BITMAP << (-(-n // BITMAP_SET) - 1).bit_length()
+    bits = np.zeros(words * 64, dtype=np.uint8)
+    bits[(mix(grams) & np.uint64(words * 64 - 1)).astype(np.int64)] = 1
     return prefix, np.packbits(bits).view(np.int64)
 
 
@@ -135,9 +136,21 @@ def _may_link(a: str, b: str, t: Fraction) -> Column:
 
 
 def _few_differences(a: Column, b: Column, n_a: Column, n_b: Column, t: Fraction) -> Column:
-    """Sets differ in at least the places in which their bitmaps do."""
-    differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return differ <= n_a + n_b - 2 * _need(n_a, n_b, t)
+    """Sets differ in at least the places in which their bitmaps do; a bitmap twice as long is folded first."""
+    def folded(bits: Column) -> Column:
+        half = (F.size(bits) / 2).cast("int")
+        return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseOR(y))
+
+    def differences(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, k: total + k)
+
+    found = (
+        F.when(F.size(a) == F.size(b), differences(a, b))
+        .when(F.size(a) == 2 * F.size(b), differences(folded(a), b))
+        .when(2 * F.size(a) == F.size(b), differences(a, folded(b)))
+        .otherwise(0)  # sizes this different link at low thresholds only
+    )
+    return found <= n_a + n_b - 2 * _need(n_a, n_b, t)
 
 
 def _postings(keys: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -237,27 +250,39 @@ def _block_pairs(postings: DataFrame, shared: DataFrame, nodes: DataFrame, label
     return found.groupBy("list", "i", "j").applyInPandas(pair, "a long, b long")
 
 
+def _fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps of a power-of-two length, in rows, folded to `words`."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
 def _block_matches(left, right, same: bool, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
     get = lambda f, c: f[c].to_numpy()
     if not len(left) or not len(right):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    bits = np.stack(right["bits"].to_list()).view(np.uint64)
+    width = np.array([len(b) for b in right["bits"]])
+    n, ids, component, prev, pos = (get(right, c) for c in ("n", "id", "component", "prev", "pos"))
+    maps = {w: np.stack(right["bits"][width == w].to_list()).view(np.uint64) for w in np.unique(width).tolist()}
+    place = np.zeros(len(right), dtype=np.int64)
+    for w in maps:
+        place[width == w] = np.arange((width == w).sum())
     found_a, found_b = [], []
-    for k in range(len(left)):
-        row = left.iloc[k]
-        n = get(right, "n")
-        need = -(-(n + row["n"]) * t.numerator // (t.numerator + t.denominator))
-        ok = np.minimum(n, row["n"]) * t.denominator >= np.maximum(n, row["n"]) * t.numerator
-        ok &= (get(right, "component") != row["component"]) & (get(right, "prev") != row["prev"])
-        ok &= np.minimum(n - get(right, "pos"), row["n"] - row["pos"]) >= need
+    for row in left.itertuples():
+        need = -(-(n + row.n) * t.numerator // (t.numerator + t.denominator))
+        ok = np.minimum(n, row.n) * t.denominator >= np.maximum(n, row.n) * t.numerator
+        ok &= (component != row.component) & (prev != row.prev)
+        ok &= np.minimum(n - pos, row.n - row.pos) >= need
         if same:
-            ok &= get(right, "id") > row["id"]
-        at = np.flatnonzero(ok)
-        if len(at):
-            differ = np.bitwise_count(bits[at] ^ np.asarray(row["bits"]).view(np.uint64)).sum(axis=1)
-            at = at[differ <= (n + row["n"] - 2 * need)[at]]
-            found_a.append(np.full(len(at), row["id"]))
-            found_b.append(get(right, "id")[at])
+            ok &= ids > row.id
+        if not ok.any():
+            continue
+        own = np.asarray(row.bits).view(np.uint64)[None, :]
+        for w, bits in maps.items():
+            at = np.flatnonzero(ok & (width == w))
+            words = min(w, own.shape[1])
+            differ = np.bitwise_count(_fold(bits[place[at]], words) ^ _fold(own, words)).sum(axis=1)
+            at = at[differ <= (n + row.n - 2 * need)[at]]
+            found_a.append(np.full(len(at), row.id))
+            found_b.append(ids[at])
     if not found_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(found_a), np.concatenate(found_b)
