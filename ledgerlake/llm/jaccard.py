@@ -5,9 +5,9 @@ good one, so n-grams are ordered by a sketch of how many documents hold them. Eq
 equal size and prefix are one group. Groups are paired over the lists of groups that share a prefix n-gram; pairs must
 pass the size, position and bitmap bounds, and what is left is expanded to members and verified on the whole sets.
 
-A short list is paired as a whole. In a long one, first each group is paired with a few leaders; pairs that these links
-already connect need no check for the components, and the rest is compared block by block inside tasks, so no list is
-expanded into all its pairs. No pair that may be a link is left out.
+A short list is paired as a whole. In a long one, first each group is paired with a few leaders, then each class with its
+nearest of another component; pairs that these links already connect need no check for the components, and the rest is
+compared block by block inside tasks, so no list is expanded into all its pairs. No pair that may be a link is left out.
 """
 
 from __future__ import annotations
@@ -223,8 +223,13 @@ def _leader_pairs(postings: DataFrame, t: Fraction) -> DataFrame:
     ).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
 
 
-def _block_pairs(postings: DataFrame, shared: DataFrame, nodes: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
-    """In long lists, all pairs of different components that pass the bounds, found block against block."""
+def _block_pairs(
+    postings: DataFrame, shared: DataFrame, nodes: DataFrame, labels: DataFrame, t: Fraction, nearest: bool
+) -> DataFrame:
+    """In long lists, pairs of different components that pass the bounds, found block against block.
+
+    All of them, or with `nearest` for each class and block the one whose bitmap is nearest.
+    """
     long = postings.filter(F.col("size") > SHORT)
     member = shared.select(F.col("group").alias("id"), F.col("id").alias("member"))
     long = long.join(member, "id", "left").withColumn("id", F.coalesce("member", "id")).drop("member")
@@ -243,7 +248,7 @@ def _block_pairs(postings: DataFrame, shared: DataFrame, nodes: DataFrame, label
         same = int(frame["i"].iloc[0]) == int(frame["j"].iloc[0])
         left = frame if same else frame[frame["own"] == frame["i"]]
         right = frame if same else frame[frame["own"] == frame["j"]]
-        a, b = _block_matches(left, right, same, t)
+        a, b = _block_matches(left, right, same, t, nearest)
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     found = rows.select("list", "i", "j", "own", "id", "n", "pos", F.coalesce("prev", "id").alias("prev"), "component", "bits")
@@ -255,7 +260,7 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
 
 
-def _block_matches(left, right, same: bool, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def _block_matches(left, right, same: bool, t: Fraction, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
     get = lambda f, c: f[c].to_numpy()
     if not len(left) or not len(right):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -271,18 +276,26 @@ def _block_matches(left, right, same: bool, t: Fraction) -> tuple[np.ndarray, np
         ok = np.minimum(n, row.n) * t.denominator >= np.maximum(n, row.n) * t.numerator
         ok &= (component != row.component) & (prev != row.prev)
         ok &= np.minimum(n - pos, row.n - row.pos) >= need
-        if same:
+        if same and not nearest:
             ok &= ids > row.id
         if not ok.any():
             continue
-        own = np.asarray(row.bits).view(np.uint64)[None, :]
+        own, best = np.asarray(row.bits).view(np.uint64)[None, :], None
         for w, bits in maps.items():
             at = np.flatnonzero(ok & (width == w))
             words = min(w, own.shape[1])
             differ = np.bitwise_count(_fold(bits[place[at]], words) ^ _fold(own, words)).sum(axis=1)
-            at = at[differ <= (n + row.n - 2 * need)[at]]
-            found_a.append(np.full(len(at), row.id))
-            found_b.append(ids[at])
+            near = differ <= (n + row.n - 2 * need)[at]
+            at, differ = at[near], differ[near]
+            if nearest:
+                least = min(zip(differ.tolist(), ids[at].tolist()), default=None)
+                best = least if best is None or (least is not None and least < best) else best
+            else:
+                found_a.append(np.full(len(at), row.id))
+                found_b.append(ids[at])
+        if best is not None:
+            found_a.append(np.array([row.id]))
+            found_b.append(np.array([best[1]]))
     if not found_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(found_a), np.concatenate(found_b)
@@ -362,10 +375,14 @@ def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     candidates = _short_pairs(postings, shared, threshold).union(_leader_pairs(postings, threshold)).distinct()
     links = _verified(candidates, docs, nodes, n, threshold)
     labels = written(components(links), "jaccard-labels")
-    more = written(_block_pairs(postings, shared, nodes, labels, threshold).distinct(), "jaccard-blocks")
-    if not more.isEmpty():
-        late = _verified(more, docs, nodes, n, threshold)
-        labels = written(components(links.union(late)), "jaccard-labels")
+    # what is left in long lists: first each class with its nearest of another component, which joins most
+    # components with few pairs, and in the end every pair of components still apart
+    for nearest in (True, True, False):
+        more = written(_block_pairs(postings, shared, nodes, labels, threshold, nearest).distinct(), "jaccard-blocks")
+        if more.isEmpty():
+            break
+        links = links.union(_verified(more, docs, nodes, n, threshold))
+        labels = written(components(links), "jaccard-labels")
     named = classes.select("id", "f1", "f2", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = written(named.select("f1", "f2", "n", F.coalesce("component", "id").alias("component")), "jaccard-named")
     found = written(
