@@ -25,14 +25,17 @@ class LineRules:
 
     #: Punctuation: share of a line's words that may end in, or be, marks of emphasis or symbols.
     max_marked: float = 0.3
-    #: Navigation: share of words that may be bare separators, and words up to which a line with one counts as a menu.
+    #: Navigation: share of words that may be bare separators; a menu also has at least `least_separators` between its words
+    #: (one more if all are dashes, as two enclose an aside), and items of at most `longest_item` words.
     max_separators: float = 0.15
+    least_separators: int = 2
+    longest_item: int = 4
     #: Boilerplate: share of a line's words that may be its single most frequent word, in lines of at least `long_line`.
     max_one_word: float = 0.3
     long_line: int = 10
     #: Share of the words that must remain.
     min_kept: float = 0.5
-    #: Phrases of notices and menus; a line of at most `short_line` words that has one fails.
+    #: Phrases of notices and menus; a line of at most `short_line` words that has one, as whole words, fails.
     phrases: tuple[str, ...] = (
         "javascript", "cookie policy", "cookies policy", "use of cookies", "privacy policy", "terms of use",
         "terms of service", "all rights reserved", "lorem ipsum", "sign in", "log in", "click here", "read more",
@@ -42,11 +45,21 @@ class LineRules:
 
 
 _SEPARATORS = frozenset({"|", "»", "›", "·", "•", "/", ">", ">>", "::", "–", "—"})
+_DASHES = frozenset({"–", "—"})
 _MARKED = re.compile(r"(?:[!?]{2,}|[#*$%&|<>^~=_+\\]+)[.,;:]?$")
 _ODD = re.compile(r"[|»›·•/>:–—#*$%&<^~=_+\\]|[!?]{2}")  # without one of these, no word is a separator or marked
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def _is_menu(words: list[str], rules: LineRules) -> bool:
+    """Short items with separators between them; a bullet or dash at either end separates nothing."""
+    at = [k for k, w in enumerate(words) if w in _SEPARATORS and 0 < k < len(words) - 1]
+    least = rules.least_separators + all(words[k] in _DASHES for k in at)
+    if len(at) < least or len(at) <= rules.max_separators * len(words):
+        return False
+    return max(b - a - 1 for a, b in zip([-1, *at], [*at, len(words)])) <= rules.longest_item
+
+
 def line_fails(line: str, rules: LineRules) -> str | None:
     """The first rule that a line fails: punctuation, navigation or boilerplate; lines without words pass."""
     words = _WORD.findall(line)
@@ -54,7 +67,7 @@ def line_fails(line: str, rules: LineRules) -> str | None:
     if not n:
         return None
     if _ODD.search(line):
-        if sum(w in _SEPARATORS for w in words) > rules.max_separators * n:
+        if _is_menu(words, rules):
             return "navigation"
         if sum(_MARKED.search(w) is not None for w in words) > rules.max_marked * n:
             return "punctuation"
@@ -64,7 +77,7 @@ def line_fails(line: str, rules: LineRules) -> str | None:
             return "boilerplate"
     if n <= rules.short_line:
         low = line.lower()
-        if any(p in low for p in rules.phrases):
+        if any(p in low and re.search(rf"(?<!\w){re.escape(p)}(?!\w)", low) for p in rules.phrases):
             return "boilerplate"
     return None
 

@@ -13,6 +13,24 @@ def test_lines():
     assert line_fails("spam " * 20, rules) == "boilerplate"
 
 
+def test_prose_is_no_menu():
+    rules = LineRules()
+    for line in (
+        "– Who is there?", "— Yes – I think so.", "• buy two apples", "· a short item", "Chapter 1 – The Beginning", "yes / no", "She – at last – said so",
+        "A new design in the old town", "She kept a blog in French", "The catalog in question is a dialog in parts", "He pulled the thread more firmly",
+    ):
+        assert line_fails(line, rules) is None, line
+    assert line_fails("Home » News » Sport", rules) == "navigation"
+    assert line_fails("| Home | News | About |", rules) == "navigation"
+    assert line_fails("Sign in or read more...", rules) == "boilerplate"
+
+
+def test_dialogue_stays(spark):
+    text = "\n".join(f"– Words{k} of{k} talk{k} go{k} on{k}" for k in range(12))
+    row = judge_documents(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert row.kept and row.clean_text == text
+
+
 def test_counts():
     text = "a b c\na b c\n\n \nx # <y>\na b c"
     assert base_counts(text.encode()) == {"n_words": 12, "word_chars": 14, "n_symbols": 3, "n_dup_lines": 2, "n_repeat_words": 9}
