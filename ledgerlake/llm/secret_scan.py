@@ -24,6 +24,8 @@ LONG = 12
 KEY = r"(?:AKIA|ASIA)[A-Z0-9]{16}|(?:gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|sk-|npm_|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_\-./+=]{16,}"
 NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)"
 ASSIGNED = NAME + r"[\"']?(?:=|:)[\"']?[^\x20\x09-\x0D\"']{6,}"
+#: A URL's user and password; the last group is the password.
+LOGIN = r"[A-Za-z][A-Za-z0-9+.\-]*://[^\x20\x09-\x0D/?#:@]*:([^\x20\x09-\x0D/]+)@"
 STAND_IN = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?|xxx|\*\*\*|<.*>|\$\{|1234567|abcdef"
 DICTIONARY = (
     "the and for with that this from have not are was you all can has will one about out use new more page home file data "
@@ -44,7 +46,7 @@ def _ratio(word: Column, pattern: str) -> Column:
 
 def may_hold(text: Column) -> Column:
     """A cheap test that every text with a candidate passes."""
-    return F.coalesce(text.rlike(rf"[0-9=:]|{KEY}"), F.lit(False))
+    return F.coalesce(text.rlike(rf"[0-9=:]|{NAME}|{KEY}"), F.lit(False))
 
 
 def candidates(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
@@ -52,9 +54,10 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
     words = F.col("_words")
 
     def hit(w: Column, i: Column) -> Column:
-        is_one = ((F.length(w) >= LONG) & w.rlike("[0-9]")) | w.rlike(KEY) | w.rlike(ASSIGNED)
-        near = [F.coalesce(F.get(words, i + k), F.lit("")).alias(n) for k, n in ((-2, "before2"), (-1, "before"))]
-        return F.when(is_one, F.struct(i.cast("long").alias("word"), w.alias("token"), *near))
+        near = [F.coalesce(F.get(words, i + k), F.lit("")) for k in (-2, -1)]
+        behind_name = w.rlike(r"[\p{L}\p{N}]") & (near[0].rlike(NAME) | near[1].rlike(NAME))
+        is_one = ((F.length(w) >= LONG) & w.rlike("[0-9]")) | w.rlike(f"{KEY}|{ASSIGNED}|{LOGIN}") | behind_name
+        return F.when(is_one, F.struct(i.cast("long").alias("word"), w.alias("token"), near[0].alias("before2"), near[1].alias("before")))
 
     keep = [c for c in docs.columns if c not in (text, "_words", "_hit")]
     found = (
@@ -65,9 +68,10 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
     )
     core = F.regexp_replace("token", r"^[\"'(<\[{]+|[^A-Za-z0-9=+/_\-]+$", "")
     behind = F.regexp_extract(core, NAME + r"[\"']?(?:=|:)[\"']?(.+)$", 1)
-    value = F.when(core.rlike(ASSIGNED), behind).otherwise(core)
+    login = F.col("token").rlike(LOGIN)
+    value = F.when(login, F.regexp_extract("token", LOGIN, 1)).when(core.rlike(ASSIGNED), behind).otherwise(core)
     before = F.concat_ws(" ", "before2", "before")
-    named = F.col("token").rlike(ASSIGNED) | before.rlike(NAME)
+    named = F.col("token").rlike(ASSIGNED) | before.rlike(NAME) | login
     covered = F.aggregate(
         F.regexp_extract_all(F.lower("secret"), F.lit("|".join(sorted(DICTIONARY, key=len, reverse=True))), F.lit(0)),
         F.lit(0), lambda n, x: n + F.length(x),
@@ -91,7 +95,7 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
         "at_sign": flags(F.contains(secret, F.lit("@"))),
         "path_hint": flags(secret.rlike(hint) | where.rlike(hint)),
         "named": flags(named),
-        "assigned": flags(F.col("token").rlike(ASSIGNED) | F.col("before").rlike(r"^[=:]|[=:]$")),
+        "assigned": flags(F.col("token").rlike(ASSIGNED) | F.col("before").rlike(r"^[=:]|[=:]$") | login),
         "stand_in_near": flags(F.regexp_replace(before, r"[^ ]*@[^ ]*", "").rlike(STAND_IN)),
         "kind": F.when(F.col("token").rlike(KEY), "issued_key").when(named, "named_value").otherwise("long_word"),
     })
@@ -152,6 +156,14 @@ def scan(
     return scored(found, forest).filter(F.col("score") >= THRESHOLD).select("doc_id", "word", "kind", "secret", "score")
 
 
+def _masked(text: Column, m: Column) -> Column:
+    """Long secrets go wherever they stand, shorter ones where no letter or digit is beside them."""
+    kind = F.concat(F.lit("["), m["kind"], F.lit("]"))
+    quoted = F.concat(F.lit("\\Q"), F.replace(m["secret"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    alone = F.concat(F.lit(r"(?<![\p{L}\p{N}])"), quoted, F.lit(r"(?![\p{L}\p{N}])"))
+    return F.when(F.length(m["secret"]) >= LONG, F.replace(text, m["secret"], kind)).otherwise(F.regexp_replace(text, alone, kind))
+
+
 def redact(docs: DataFrame, labelled: DataFrame | None = None, path_col: str | None = "source", text_col: str = "text") -> DataFrame:
     """docs with every secret in the text replaced by its kind in brackets; all rows and columns stay.
 
@@ -170,9 +182,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, path_col: str | N
     # longest first, so that no secret is cut by one that it holds
     item = F.struct((-F.length("secret")).alias("n"), "secret", "kind")
     masks = written(real.groupBy("_key").agg(F.sort_array(F.collect_set(item)).alias("_masks")), "secret-masks")
-    clean = F.aggregate(
-        "_masks", F.col(text_col), lambda t, m: F.replace(t, m["secret"], F.concat(F.lit("["), m["kind"], F.lit("]")))
-    )
+    clean = F.aggregate("_masks", F.col(text_col), _masked)
     hidden = F.when(F.col("_masks").isNull(), F.col(text_col)).otherwise(clean)
     with_key = docs.filter(suspect).withColumn("_key", key)
     changed = with_key.join(masks, "_key", "left").withColumn(text_col, hidden).select(*docs.columns)

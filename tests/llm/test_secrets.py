@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from ledgerlake.llm import secret_scan
 from ledgerlake.llm.queries import QUERIES
 
@@ -55,3 +57,25 @@ def test_edges(edge_docs, no_docs):
     assert clean.columns == edge_docs.columns and clean.count() == 12
     assert sorted((r.doc_id or -1, r.text or "") for r in clean.collect()) == sorted((r.doc_id or -1, r.text or "") for r in edge_docs.collect())
     assert secret_scan.scan(no_docs).count() == 0 and secret_scan.redact(no_docs).count() == 0
+
+
+def texts(spark, lines):
+    return spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+
+
+def labels(spark, lines):
+    found = secret_scan.candidates(texts(spark, lines))
+    return {r.secret: r.label for r in found.withColumn("label", secret_scan.certain_label(found)).collect()}
+
+
+def test_any_word_behind_a_name_is_a_candidate(spark):
+    lines = ["my password: hunter2", '{ "password": "s3cr3t!9" }', "password = correcthorsebattery", "at postgres://user:hunter@db.host.com", "see token"]
+    rows = secret_scan.candidates(texts(spark, lines)).collect()
+    assert {(r.doc_id, r.secret) for r in rows} == {(0, "hunter2"), (1, "s3cr3t!9"), (2, "correcthorsebattery"), (3, "hunter")}
+    assert {(r.named, r.assigned) for r in rows} == {(1.0, 1.0)}
+
+
+def test_short_secrets_go_as_whole_words(spark):
+    rows = spark.createDataFrame([("an ant: \\Ea, 'ant' (ant) ants", "ant", "k"), (r"x a\E.b y a\Ecb", r"a\E.b", "k")], "text string, secret string, kind string")
+    found = rows.select(secret_scan._masked(F.col("text"), F.struct("secret", "kind")).alias("t")).collect()
+    assert [r.t for r in found] == ["an [k]: \\Ea, '[k]' ([k]) ants", r"x [k] y a\Ecb"]
