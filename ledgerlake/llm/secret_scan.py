@@ -106,6 +106,8 @@ def certain_label(found: DataFrame) -> Column:
     """1 for forms that are secrets without doubt, 0 for those that are none, null for all others."""
     secret = F.col("secret")
     plain = secret.rlike(r"^[0-9.,:/+()\-]+$|^[^@]+@[^@]+\.[A-Za-z]+$|^(?:https?|ftp)://|^[A-Za-z]+[0-9]{1,4}$")
+    # behind a name or a sign of assignment, and as a URL's user, the same forms are secrets as well
+    plain = plain & (F.col("named") == 0) & (F.col("assigned") == 0) & ~secret.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*@")
     random = secret.rlike(r"^[A-Za-z0-9_\-./+=]{12,}$") & secret.rlike("[0-9]") & secret.rlike("[A-Za-z]")
     stand_in = secret.rlike(STAND_IN) | (F.col("stand_in_near") > 0)
     return (

@@ -79,3 +79,10 @@ def test_short_secrets_go_as_whole_words(spark):
     rows = spark.createDataFrame([("an ant: \\Ea, 'ant' (ant) ants", "ant", "k"), (r"x a\E.b y a\Ecb", r"a\E.b", "k")], "text string, secret string, kind string")
     found = rows.select(secret_scan._masked(F.col("text"), F.struct("secret", "kind")).alias("t")).collect()
     assert [r.t for r in found] == ["an [k]: \\Ea, '[k]' ([k]) ants", r"x [k] y a\Ecb"]
+
+
+def test_no_form_is_certainly_none_behind_a_name(spark):
+    found = labels(spark, ["password=Summer2024", "postgres://user:hunter22@db.host.com", "token: https://joe:kx82@host.org/a1", "https://k3yk3yk3y@host.org/a"])
+    assert found == {"Summer2024": None, "hunter22": None, "kx82": None, "https://k3yk3yk3y@host.org/a": None}
+    found = labels(spark, ["see https://host.org/a/2024", "first.last2024@host.org", "internationalisation2024"])
+    assert set(found.values()) == {0} and len(found) == 3
