@@ -21,7 +21,12 @@ SAMPLE, TREES, DEPTH, THRESHOLD = 3000, 24, 6, 0.5
 LONG = 12
 
 # fixed values: prefixes of issued keys, names of secrets, marks of stand-ins
-KEY = r"(?:AKIA|ASIA)[A-Z0-9]{16}|(?:gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|sk-|npm_|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_\-./+=]{16,}"
+KEY = (
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}"
+    r"|(?:gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|sk-|npm_|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_\-./+=]{16,})"
+)
+#: A hyphenated part that reads like a word; issuers' own parts do not count.
+WORDY = r"-(?!(?:proj|ant|live|test|admin|svcacct)-)[A-Za-z][a-z]{2,}(?=-|$)"
 NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)"
 ASSIGNED = NAME + r"[\"']?(?:=|:)[\"']?[^\x20\x09-\x0D\"']{6,}"
 #: A URL's user and password; the last group is the password.
@@ -112,7 +117,7 @@ def certain_label(found: DataFrame) -> Column:
     stand_in = secret.rlike(STAND_IN) | (F.col("stand_in_near") > 0)
     return (
         F.when(stand_in | plain, 0)
-        .when(F.col("kind") == "issued_key", 1)
+        .when((F.col("kind") == "issued_key") & secret.rlike("[0-9]") & ~secret.rlike(WORDY), 1)
         .when((F.col("kind") == "named_value") & (F.col("assigned") > 0) & random & (F.col("coverage") < 0.3), 1)
     )
 
