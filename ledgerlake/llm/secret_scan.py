@@ -2,7 +2,8 @@
 
 All of it is DataFrame functions and Spark's own forest. Features are the candidate's length, its character transitions,
 how much of it a dictionary covers, path-like parts of it and of the document's path, and the neighbouring
-words. The forest is trained from labelled findings: given ones, or those of the corpus whose form leaves no doubt.
+words. The forest is trained from labelled findings: those of `secret_examples`, and given ones or those of the corpus
+whose form leaves no doubt.
 """
 
 from __future__ import annotations
@@ -10,13 +11,16 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import WORD, written
+from ledgerlake.llm.secret_examples import FALSE, REAL
 
 #: Labelled findings of each label that the forest is trained on, its trees and their depth, and the score of a finding.
 SAMPLE, TREES, DEPTH, THRESHOLD = 3000, 24, 6, 0.5
+#: Findings of the corpus that one of the examples weighs as much as.
+EXAMPLE_WEIGHT = 10.0
 #: Characters of a word with a digit from which it is a candidate.
 LONG = 12
 
@@ -101,7 +105,7 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
         "path_hint": flags(secret.rlike(hint) | where.rlike(hint)),
         "named": flags(named),
         "assigned": flags(F.col("token").rlike(ASSIGNED) | F.col("before").rlike(r"^[=:]|[=:]$") | login),
-        "stand_in_near": flags(F.regexp_replace(before, r"[^ ]*@[^ ]*", "").rlike(STAND_IN)),
+        "stand_in_near": flags(secret.rlike(STAND_IN) | F.regexp_replace(before, r"[^ ]*@[^ ]*", "").rlike(STAND_IN)),
         "kind": F.when(F.col("token").rlike(KEY), "issued_key").when(named, "named_value").otherwise("long_word"),
     })
     return found.drop("before2", "before")
@@ -122,8 +126,15 @@ def certain_label(found: DataFrame) -> Column:
     )
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 7) -> RandomForestClassificationModel | None:
-    """A forest from candidates with a `label`, at most `sample` of each; None without both labels.
+def examples(spark: SparkSession) -> DataFrame:
+    """The candidates of the examples, with `label`."""
+    lines = [F.struct(F.lit(line).alias("text"), F.lit(secret).alias("real")) for line, secret in (*REAL, *((line, "") for line in FALSE))]
+    found = candidates(spark.range(1).select(F.explode(F.array(*lines)).alias("line")).select("line.*"))
+    return found.withColumn("label", (F.col("secret") == F.col("real")).cast("int")).drop("real")
+
+
+def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 7) -> RandomForestClassificationModel:
+    """A forest from candidates with a `label`, at most `sample` of each, and the examples.
 
     Those of the smallest hashes of token and features are taken, so reruns agree. Equal
     findings count once.
@@ -131,16 +142,14 @@ def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 7) -> RandomFor
     known = labelled.filter("label is not null").select("token", *FEATURES, F.col("label").cast("double").alias("label"))
     known = known.withColumn("at", F.xxhash64("token", *FEATURES)).dropDuplicates(["at", "label"])
     parts = [written(known.filter(F.col("label") == k).orderBy("at").limit(sample), "secret-labels") for k in (0.0, 1.0)]
-    if any(p.isEmpty() for p in parts):
-        return None
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(parts[0].union(parts[1]))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.8).fit(rows)
+    stored = examples(labelled.sparkSession).select(*FEATURES, F.col("label").cast("double").alias("label"), F.lit(EXAMPLE_WEIGHT).alias("weight"))
+    rows = parts[0].union(parts[1]).select(*FEATURES, "label", F.lit(1.0).alias("weight")).union(written(stored, "secret-labels"))
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.8, weightCol="weight").fit(rows)
 
 
-def scored(found: DataFrame, forest: RandomForestClassificationModel | None) -> DataFrame:
-    """found with `score`; without a forest, 1 for issued keys and named values and 0 for the rest."""
-    if forest is None:
-        return found.withColumn("score", (F.col("kind") != "long_word").cast("double"))
+def scored(found: DataFrame, forest: RandomForestClassificationModel) -> DataFrame:
+    """found with `score`."""
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     return forest.transform(rows).withColumn("score", F.get(vector_to_array("probability"), F.lit(1))).drop(
         "features", "rawPrediction", "probability", "prediction"
