@@ -8,6 +8,7 @@ pass the size, position and bitmap bounds, and what is left is expanded to membe
 A short list is paired as a whole. In a long one, first each group is paired with a few leaders, then each class with its
 nearest of another component; pairs that these links already connect need no check for the components, and the rest is
 compared block by block inside tasks, so no list is expanded into all its pairs. No pair that may be a link is left out.
+Where links are counted, the pairs within components are compared block by block and verified as well.
 """
 
 from __future__ import annotations
@@ -360,8 +361,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: Fr
     return links
 
 
-def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
-    """doc_id, tk (a hash of the text), n and component (a number; null without n-grams) of every (doc_id, text) row."""
+def _link_counts(keys: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, links) of every class: how many other rows each of its rows is linked with, its copies among them."""
+    rows = keys.filter("n > 0").groupBy("f1", "f2", "n").agg(F.count("*").alias("rows"))
+    rows = written(classes.select("id", "f1", "f2", "n").join(rows, ["f1", "f2", "n"]).select("id", "rows"), "jaccard-rows")
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(rows.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("rows").alias("others"))
+    counted = rows.join(others.withColumnRenamed("a", "id"), "id", "left")
+    return counted.select("id", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+
+
+def _labelled(docs: DataFrame, n: int, threshold: Fraction, count: bool = False) -> DataFrame:
+    """doc_id, tk (a hash of the text), n and component (a number; null without n-grams) of every (doc_id, text) row.
+
+    With `count` also links, the number of other rows that the row is linked with.
+    """
     docs = docs.withColumn("tk", F.xxhash64("text"))
     keys = _keys(docs, n, threshold)
     classes = written(
@@ -384,9 +398,16 @@ def _labelled(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
         links = links.union(_verified(more, docs, nodes, n, threshold))
         labels = written(components(links), "jaccard-labels")
     named = classes.select("id", "f1", "f2", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    named = written(named.select("f1", "f2", "n", F.coalesce("component", "id").alias("component")), "jaccard-named")
+    more = []
+    if count:
+        # without labels each class is a component of its own, so that the blocks give all pairs of long lists
+        rest = _block_pairs(postings, shared, nodes, labels.limit(0), threshold, False).distinct()
+        rest = written(rest.join(links, ["a", "b"], "left_anti"), "jaccard-blocks")
+        links = links.union(_verified(rest, docs, nodes, n, threshold)).distinct()
+        named, more = named.join(_link_counts(keys, classes, links), "id"), ["links"]
+    named = written(named.select("f1", "f2", "n", F.coalesce("component", "id").alias("component"), *more), "jaccard-named")
     found = written(
-        keys.select("doc_id", "tk", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select("doc_id", "tk", "n", "component"),
+        keys.select("doc_id", "tk", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select("doc_id", "tk", "n", "component", *more),
         "jaccard-labelled",
     )
     discard(keys, classes, postings, named)
@@ -405,13 +426,30 @@ def jaccard_components(
     nothing. Repeated ids are rows of their own; a component of null ids has a null
     component_id. N-grams are compared by 64-bit hashes. Only the two named columns are read.
     """
+    return _components(docs, n, threshold, id_col, text_col, False)
+
+
+def jaccard_links(
+    docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every row, as `jaccard_components` has them.
+
+    n_links is the number of other rows that reach the threshold with this one, equal
+    ones among them; the sum over all rows is twice the number of links. Verified pairs
+    of different sets are listed, so work grows with the links of a group of near copies.
+    """
+    return _components(docs, n, threshold, id_col, text_col, True)
+
+
+def _components(docs: DataFrame, n: int, threshold: Fraction, id_col: str, text_col: str, count: bool) -> DataFrame:
     ship(docs.sparkSession)
-    found = _labelled(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")), n, threshold)
+    found = _labelled(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")), n, threshold, count)
     # a second grouping column leaves the join its own exchange, so that a component's many rows can be split
     least = found.filter("n > 0").groupBy("component", F.xxhash64("component")).agg(F.min("doc_id").alias("component_id"))
     found = found.join(least.select("component", "component_id"), "component", "left")
+    links = [F.coalesce("links", F.lit(0)).alias("n_links")] if count else []
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *links
     )
 
 

@@ -44,6 +44,11 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(9, 10))
 
 
+def op4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the number of other documents that each is linked with."""
+    return jaccard.jaccard_links(table(spark, sf_dir, "documents"), 3, Fraction(9, 10))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every url of pages, judged."""
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -90,7 +95,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_sharding, op2_neighbours, op3_secrets, op4_jaccard, op5_urls, op6_warc, op7_language, op8_mixing,
+        op1_sharding, op2_neighbours, op3_secrets, op4_jaccard, op4_links, op5_urls, op6_warc, op7_language, op8_mixing,
             op9_packing, op10_quality,
     )
 }

@@ -61,6 +61,22 @@ def test_components_equal_brute_force(spark, monkeypatch, n, t, short):
     assert sorted((tuple(r) for r in found.collect()), key=str) == by_hand(rows, n, t)
 
 
+@pytest.mark.parametrize("n, t, short", [(5, Fraction(4, 5), 16), (3, Fraction(9, 10), 4), (2, Fraction(1, 2), 8)])
+def test_links_equal_brute_force(spark, monkeypatch, n, t, short):
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = near_copies(n, 4, 40, 4) + [(1000 + k, x) for k, x in enumerate([None, "", "one", "One", "one two"])]
+    found = {r.doc_id: r for r in jaccard.jaccard_links(spark.createDataFrame(rows, "doc_id long, text string"), n, t).collect()}
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in found.values()} == set(by_hand(rows, n, t))
+    links = dict.fromkeys(found, 0)
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            if by_hand([(0, a[1]), (1, b[1])], n, t)[1][2] == 0:
+                links[a[0]] += 1
+                links[b[0]] += 1
+    assert max(links.values()) > short // 2 and {k: r.n_links for k, r in found.items()} == links
+
+
 def test_keep_first(spark):
     rows = near_copies(9, 5, 8, 3) + [(900, None), (901, ""), (901, ""), (3, None)]
     rows.append(rows[2])
