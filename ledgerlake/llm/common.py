@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
-from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -39,8 +38,18 @@ def put(spark: SparkSession, label: str, name: str, data: bytes) -> str:
 _SHIPPED: set[str] = set()
 
 
+#: Rows and bytes that a Python worker is handed at once; a row may hold a whole text or set.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+
+
 def ship(spark: SparkSession) -> None:
-    """Hands this package to the executors' Python workers, once in an application."""
+    """Hands this package to the executors' Python workers, once in an application, and bounds their batches.
+
+    The limits are the session's from then on: a plan made here runs when its caller asks for rows.
+    """
+    for name, value in _BATCH.items():
+        spark.conf.set(name, value)
     application = spark.sparkContext.applicationId
     if application in _SHIPPED:
         return
@@ -52,18 +61,6 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(application)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """For jobs run inside: Python workers get at most so many rows at once, as each may hold a whole text or set."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """df as a table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
@@ -164,8 +161,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = np.uint64(0xD1342543DE82EF95)  # odd, so it has an inverse modulo 2**64
 _ODD_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -178,28 +175,52 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out[:n]
 
 
+#: Bytes of a text that are hashed at a time; the tables of powers have as many places, however long a text is.
+SLICE = 1 << 16
+
+
 class Words:
-    """The words of a UTF-8 text: where each begins and ends, and a 64-bit hash of each."""
+    """The words of a UTF-8 text: where each begins and ends, and a 64-bit hash of each.
+
+    A word's hash is a sum over its bytes, weighted by their place, so it is the
+    difference of two running totals. Totals are made slice by slice, with the last one
+    and the power of the first place carried over.
+    """
 
-    _up = _powers(_ODD, 1 << 12)
-    _down = _powers(_ODD_INVERSE, 1 << 12)
+    _up = _powers(_ODD, SLICE)
+    _down = _powers(_ODD_INVERSE, SLICE)
 
     def __init__(self, text: bytes, lower: bool = False):
         data = np.frombuffer(text, dtype=np.uint8)
         if lower:
             data = _LOWER[data]
         self.data = data
-        edge = np.empty(len(data) + 2, dtype=np.int8)
-        edge[0] = edge[-1] = 0
-        np.logical_not(_SPACE[data], out=edge[1:-1].view(bool))
+        edge = np.zeros(len(data) + 2, dtype=np.int8)
+        np.logical_not(SPACE[data], out=edge[1:-1].view(bool))
         change = np.flatnonzero(np.diff(edge))
         self.begin, self.end = change[::2], change[1::2]
-        n = len(data)
-        if n > len(Words._up):
-            Words._up, Words._down = _powers(_ODD, 2 * n), _powers(_ODD_INVERSE, 2 * n)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * Words._up[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.begin]) * Words._down[self.begin])
+        self.hash = mix(self._weighted())
+
+    def _weighted(self) -> np.ndarray:
+        out = np.empty(len(self.begin), dtype=np.uint64)
+        carried, up, down = np.uint64(0), np.uint64(1), np.uint64(1)
+        step_up, step_down = np.uint64(pow(int(_ODD), SLICE, 1 << 64)), np.uint64(pow(int(_ODD_INVERSE), SLICE, 1 << 64))
+        started = np.zeros(len(self.begin), dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for at in range(0, len(self.data), SLICE):
+                part = self.data[at : at + SLICE]
+                total = np.empty(len(part) + 1, dtype=np.uint64)
+                total[0] = 0
+                np.cumsum(_BYTE[part] * Words._up[: len(part)], out=total[1:])
+                total = total * up + carried
+                # a begin lies before its slice's bytes, an end behind them
+                i, j = np.searchsorted(self.begin, [at, at + len(part)])
+                started[i:j] = total[self.begin[i:j] - at]
+                out[i:j] = Words._down[self.begin[i:j] - at] * down
+                i, j = np.searchsorted(self.end, [at + 1, at + len(part) + 1])
+                out[i:j] *= total[self.end[i:j] - at] - started[i:j]
+                carried, up, down = total[-1], up * step_up, down * step_down
+        return out
 
     def __len__(self) -> int:
         return len(self.begin)
@@ -218,4 +239,4 @@ class Words:
     def whole(self) -> np.ndarray:
         """One hash of all words together."""
         with np.errstate(over="ignore"):
-            return mix(np.array([(self.hash * Words._up[: len(self.hash)]).sum() + np.uint64(len(self.hash))]))
+            return mix(np.array([(self.hash * _powers(_ODD, len(self.hash))).sum() + np.uint64(len(self.hash))]))

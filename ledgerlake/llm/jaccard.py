@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Words, chunked, discard, gathered, mix, ship, small_batches, written
+from ledgerlake.llm.common import Words, chunked, discard, gathered, mix, ship, written
 from ledgerlake.llm.components import components
 
 #: Places of the sketch of n-gram frequencies, as a power of two.
@@ -59,8 +59,7 @@ def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
                 seen += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen))
         yield chunked(seen)
 
-    with small_batches(texts.sparkSession):
-        total = gathered(texts.mapInArrow(count, "chunk int, data binary"), "add")
+    total = gathered(texts.mapInArrow(count, "chunk int, data binary"), "add")
     if not len(total):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     return np.log2(np.maximum(total, 1)).astype(np.uint8)
@@ -117,8 +116,7 @@ def _keys(docs: DataFrame, n: int, t: Fraction) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "tk", "text").mapInArrow(key, _KEYS.format(kind))
-    with small_batches(docs.sparkSession):
-        return written(keyed.withColumn("row", F.monotonically_increasing_id()), "jaccard-keys")
+    return written(keyed.withColumn("row", F.monotonically_increasing_id()), "jaccard-keys")
 
 
 # ---- candidate pairs ------------------------------------------------------------------------------------------------
@@ -325,8 +323,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[fresh], pa.int64()), pa.array(sets, pa.binary())], names=["tk", "grams"])
 
     found = docs.filter("text is not null").select("tk", "text").mapInArrow(grams, "tk long, grams binary")
-    with small_batches(docs.sparkSession):
-        return written(found.join(wanted, "tk", "left_semi").dropDuplicates(["tk"]), "jaccard-sets")
+    return written(found.join(wanted, "tk", "left_semi").dropDuplicates(["tk"]), "jaccard-sets")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: Fraction) -> DataFrame:
@@ -355,8 +352,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: Fr
                 keep.append(common * t.denominator >= t.numerator * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with small_batches(docs.sparkSession):
-        links = written(joined.mapInArrow(verify, "a long, b long"), "jaccard-verified")
+    links = written(joined.mapInArrow(verify, "a long, b long"), "jaccard-verified")
     discard(sets, likely)
     return links
 
@@ -476,13 +472,12 @@ def keep_first(
     def listed(hashes: pd.Series) -> pd.Series:
         return pd.Series(_marked(hashes.to_numpy(), bits.value))
 
-    docs = docs.withColumn("_key", F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col).cast("binary"))))
+    names = docs.columns
+    docs = docs.withColumns({"_key": F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col).cast("binary"))), "_row": F.monotonically_increasing_id()})
     suspect = docs.filter(listed(F.col("_key"))).join(keys.withColumnRenamed("tk", "_key"), "_key", "left")
-    single = suspect.filter("stays").dropDuplicates(["_key"])
-    names = [c for c in docs.columns if c != "_key"]
-    return docs.filter(~listed(F.col("_key"))).select(*names).unionByName(
-        suspect.filter("stays is null").select(*names)
-    ).unionByName(single.select(*names))
+    # of rows that stay under one key one is taken; those that the filter caught by chance all stay
+    suspect = suspect.filter("stays is null or stays").withColumn("_copy", F.when(F.col("stays"), 0).otherwise(F.col("_row")))
+    return docs.filter(~listed(F.col("_key"))).select(*names).unionByName(suspect.dropDuplicates(["_key", "_copy"]).select(*names))
 
 
 def _marks(wanted: DataFrame) -> Broadcast:
