@@ -164,4 +164,93 @@ drawn as (
 select doc_id, size, source_size, target, cast(least(whole + more::int, 3) * size as bigint) as taken from third
 """
 
-ORACLES = {"op4_jaccard": JACCARD, "op5_urls": URLS, "op6_warc": WARC, "op8_mixing": MIXING, "op10_quality": QUALITY}
+def _levels(table: str, most: int) -> tuple[str, str]:
+    """CTEs that build trees of runs of three over `table` (tree, pos, d), and the name of the last: (tree, k, d, sides) of every
+    row, with the siblings from the bottom up. A tree that has one node stays as it is; `most` levels are enough for 3 ** most rows."""
+    steps = [f"{table}_0 as (select tree, pos, pos as place, d as node, [] as sides, count(*) over (partition by tree) as n from {table})"]
+    for k in range(most):
+        steps.append(f"""{table}_n{k} as (select distinct tree, place, node, n from {table}_{k}),
+{table}_r{k} as (
+  select tree, place // 3 as run, list(node order by place) as nodes, any_value(n) as n from {table}_n{k} group by all
+),
+{table}_{k + 1} as (
+  select x.tree, pos, case when x.n = 1 then place else run end as place,
+    case when x.n = 1 then node else sha256(array_to_string(nodes, '')) end as node,
+    case when x.n = 1 then sides else list_append(sides, {{'l': array_to_string(nodes[: place % 3], ''), 'r': array_to_string(nodes[place % 3 + 2 :], '')}}) end as sides,
+    (x.n + 2) // 3 as n
+  from {table}_{k} x join {table}_r{k} y on x.tree = y.tree and place // 3 = run
+)""")
+    return ",\n".join(steps), f"{table}_{most}"
+
+
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+) + ")"
+
+_ROWS, _LAST_ROWS = _levels("leaves", 13)
+_TOPS, _LAST_TOPS = _levels("roots", 5)
+
+# CRC-32 by a table of the remainders of all bytes
+MERKLE = rf"""
+with crc_table as (
+  select list(list_reduce(list_concat([n::ubigint], [0::ubigint for i in range(8)]),
+    lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end) order by n) as t
+  from range(256) r(n)
+),
+numbered as (
+  select *, row_number() over () as k,
+    xor(list_reduce(list_concat([4294967295::ubigint], [ascii(x)::ubigint for x in string_split(doc_id::varchar, '')]),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::int + 1])), 4294967295::ubigint) % 2 = 0 as hit
+  from documents, crc_table
+),
+digests as (
+  select k, doc_id, coalesce('=' || source, '') as tree, {_LEAF.format(text='text')} as d,
+    {_LEAF.format(text="(case when hit then replace(text, chr(10), '') else text end)")} as today
+  from numbered
+),
+leaves as (select *, row_number() over (partition by tree order by doc_id nulls first, d) - 1 as pos from digests),
+{_ROWS},
+sub as (select tree, any_value(node) as d from {_LAST_ROWS} group by tree),
+roots as (select '' as tree, tree as source, d, row_number() over (order by encode(tree)) - 1 as pos from sub),
+{_TOPS},
+whole as (
+  select doc_id, l.d as leaf, today, roots.d as subroot, t.node as root, list_concat(a.sides, t.sides) as sides
+  from leaves l join {_LAST_ROWS} a on l.tree = a.tree and l.pos = a.pos join roots on roots.source = l.tree
+  join {_LAST_TOPS} t on t.pos = roots.pos
+),
+folded as (
+  select *, list_reduce(list_concat([{{'l': '', 'r': today}}], sides),
+    lambda x, s: {{'l': '', 'r': sha256(s.l || x.r || s.r)}}).r as folded_root from whole
+)
+select doc_id, leaf, subroot, root, sha256(array_to_string([s.l || s.r for s in sides], '')) as proof_sha256, folded_root,
+  folded_root = root as verified
+from folded
+"""
+
+_LEAK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LEAK_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '" + _LEAK_WORD + "')"
+
+LEAKS = rf"""
+with items as (select item_id::varchar as item, {_LEAK_WORDS} as w from benchmark where item_id is not null),
+runs as (
+  select distinct item, array_to_string(w[i : i + 9], ' ') as run, least(len(w), 10) as n
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)
+),
+d as (select doc_id, {_LEAK_WORDS} as w from documents),
+found as (
+  select doc_id, i, n, item from (
+    select doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') as run
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from runs) where len(w) >= n)
+  ) join runs using (run, n)
+),
+hit as (select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + n)) as k from found) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by encode(item)) as items from (select distinct doc_id, item from found) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (doc_id) left join named using (doc_id)
+"""
+
+ORACLES = {
+    "op4_jaccard": JACCARD, "op5_urls": URLS, "op6_warc": WARC, "op8_mixing": MIXING, "op10_quality": QUALITY, "op11_merkle": MERKLE,
+    "op13_leaks": LEAKS,
+}

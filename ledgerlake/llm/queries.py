@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, jaccard, language, mixing, packing, quality, secret_scan, sharding, urls, warc
+from ledgerlake.llm import ann, jaccard, language, leaks, merkle, mixing, packing, quality, secret_scan, sharding, urls, warc, whitening
 from ledgerlake.llm.common import table
 from ledgerlake.session import scratch_dir
 
@@ -92,10 +92,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A leaf and witness of every document in a manifest by source, checked against texts of which half have lost their line ends."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"), now={"text": text})
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 leading components, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 16).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words inside passages of ten words of the benchmark."""
+    return leaks.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_neighbours, op3_secrets, op4_jaccard, op4_links, op5_urls, op6_warc, op7_language, op8_mixing,
-            op9_packing, op10_quality,
+        op9_packing, op10_quality, op11_merkle, op12_whitening, op13_leaks,
     )
 }
