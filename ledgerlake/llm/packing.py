@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import Words, rank_in_group, ship, written
 
 #: Words (as a power of two) and ids that a Python worker keeps, and bytes of text that it takes at once.
-KEPT_BITS, KEPT_IDS, AT_ONCE = 23, 20_000_000, 2_000_000
+KEPT_BITS, KEPT_IDS, AT_ONCE = 20, 4_000_000, 2_000_000
 
 
 class _Bins:

@@ -24,7 +24,9 @@ from ledgerlake.llm.common import ship, written
 #: Steps of the grid to a unit, and its shift.
 SCALE, SHIFT = 64, 1_000_000
 #: Points of the quadrature on the upper half of a contour; rounds of an interval; eigenvalues of an interval; residual.
-POINTS, ROUNDS, INTERVAL, TOLERANCE = 8, 40, 8, 1e-13
+POINTS, ROUNDS, INTERVAL, TOLERANCE = 8, 60, 8, 1e-13
+#: Counts of eigenvalues among which a cut takes the one at the widest gap.
+CHOICE = 4
 #: Rows that are multiplied at a time.
 ROWS = 1024
 
@@ -32,50 +34,63 @@ ROWS = 1024
 # ---- eigenvectors of one matrix -------------------------------------------------------------------------------------
 
 
-def above(matrix: np.ndarray, shift: float) -> int:
-    """How many eigenvalues of a symmetric matrix are greater than `shift`: the positive part of its inertia.
+class Inertia:
+    """Counts the eigenvalues of a symmetric matrix above a shift, the positive part of the shifted matrix's inertia.
 
-    The shifted matrix is reduced by pivots of one or two rows (Bunch and Parlett), which keep the signs.
+    Reflections make the matrix tridiagonal once; a shifted one is then reduced by
+    pivots of one row, whose signs are counted.
     """
-    a = matrix - shift * np.eye(len(matrix))
-    positive = 0
-    while len(a):
-        diagonal = np.abs(np.diag(a))
-        off = np.abs(a - np.diag(np.diag(a)))
-        k, (i, j) = int(diagonal.argmax()), np.unravel_index(off.argmax(), off.shape)
-        if diagonal[k] == 0 and off[i, j] == 0:
-            break  # the rest is zero: eigenvalues equal to the shift
-        one = diagonal[k] >= (1 + math.sqrt(17)) / 8 * off[i, j]
-        pivot = [k] if one else [int(i), int(j)]
-        rest = np.setdiff1d(np.arange(len(a)), pivot)
-        block, side = a[np.ix_(pivot, pivot)], a[np.ix_(rest, pivot)]
-        # a pivot of two rows has one eigenvalue on either side
-        positive += int(block[0, 0] > 0) if one else 1
-        a = a[np.ix_(rest, rest)] - side @ np.linalg.solve(block, side.T)
-        a = (a + a.T) / 2
-    return positive
-
-
-def _cut(matrix: np.ndarray, low: float, high: float, wanted: int) -> float:
-    """A place in (low, high) with `wanted` eigenvalues above it, or more if those next to it are equal, amid a gap."""
+
+    def __init__(self, matrix: np.ndarray):
+        a = np.array(matrix, dtype=float)
+        for k in range(len(a) - 2):
+            v = a[k + 1 :, k].copy()
+            v[0] += math.copysign(np.linalg.norm(v), v[0])
+            if size := np.linalg.norm(v):
+                v /= size
+                a[k + 1 :] -= 2 * np.outer(v, v @ a[k + 1 :])
+                a[:, k + 1 :] -= 2 * np.outer(a[:, k + 1 :] @ v, v)
+        self.diagonal, beside = np.diag(a).tolist(), np.diag(a, 1)
+        self.squares = [0.0, *(beside * beside).tolist()]
+        self.tiny = np.finfo(float).eps * (max(map(abs, self.diagonal), default=0.0) + float(np.abs(beside).max(initial=0.0))) ** 2 * 1e-16
+
+    def above(self, shift: float) -> int:
+        positive, pivot = 0, 1.0
+        for d, square in zip(self.diagonal, self.squares):
+            pivot = d - shift - square / pivot
+            if abs(pivot) <= self.tiny:
+                pivot = -(self.tiny or 1e-300)  # an eigenvalue equal to the shift is not above it
+            positive += pivot > 0
+        return positive
+
+
+def _gap(inertia: Inertia, low: float, high: float, wanted: int) -> tuple[float, float]:
+    """Ends of a gap in (low, high) with `wanted` eigenvalues above it, or more if those next to it are equal."""
     narrow = 1e-13 * max(abs(high), abs(low))
     a, b = low, high  # above(a) >= wanted > above(b)
     while b - a > narrow:
         middle = (a + b) / 2
-        n = above(matrix, middle)
+        n = inertia.above(middle)
         a, b = (middle, b) if n >= wanted else (a, middle)
         if n == wanted:
             break
-    n = above(matrix, a)
+    n = inertia.above(a)
 
     def end(inside: float, outside: float) -> float:
         """The end of the gap between a place in it and one beyond it."""
-        for _ in range(12):
+        for _ in range(10):
             middle = (inside + outside) / 2
-            inside, outside = (middle, outside) if above(matrix, middle) == n else (inside, middle)
+            inside, outside = (middle, outside) if inertia.above(middle) == n else (inside, middle)
         return inside
 
-    return (end(a, low) + end(a, high)) / 2
+    return end(a, low), end(a, high)
+
+
+def _cut(inertia: Inertia, low: float, high: float, least: int, most: int) -> float:
+    """The middle of the widest gap with `least` to `most` eigenvalues above it."""
+    gaps = [_gap(inertia, low, high, n) for n in range(least, most + 1)]
+    a, b = max(gaps, key=lambda gap: gap[1] - gap[0])
+    return (a + b) / 2
 
 
 @dataclass
@@ -111,9 +126,9 @@ def feast(matrix: np.ndarray, low: float, high: float, count: int, seed: int = 0
         if small and settled:  # one round more brings vectors to rounding
             return found
         settled = small
-        if turn_no % 8 == 0 and basis.shape[1] < d:  # slow, as eigenvalues lie close outside: more directions take them in
+        if turn_no % 4 == 0 and basis.shape[1] < d:  # slow, as eigenvalues lie close outside: more directions take them in
             fresh = rng.standard_normal((d, min(more, d - basis.shape[1])))
-            basis = np.linalg.qr(np.hstack([basis, fresh]))[0]
+            basis, more = np.linalg.qr(np.hstack([basis, fresh]))[0], 2 * more
     raise ArithmeticError(f"{len(found.values)} of {count} eigenvalues between {low} and {high} found in {ROUNDS} rounds")
 
 
@@ -126,21 +141,28 @@ def leading(matrix: np.ndarray, most: int) -> Pairs:
     if scale <= 0:
         return Pairs(np.zeros(0), np.zeros((len(matrix), 0)))
     matrix = matrix / scale
+    inertia = Inertia(matrix)
     high, zero = 1.0 + 1e-9, len(matrix) * 1e-14
-    rank = above(matrix, zero)
+    rank = inertia.above(zero)
     if not rank:
         return Pairs(np.zeros(0), np.zeros((len(matrix), 0)))
-    low = _cut(matrix, zero, high, min(rank, most))
-    cuts, left = [high], above(matrix, low)
+    # bounds close to the greatest eigenvalue and amid a gap below the last one wanted keep the contours small
+    top, over = 0.0, high
+    while over - top > 0.01 * top:
+        middle = (top + over) / 2
+        top, over = (top, middle) if inertia.above(middle) == 0 else (middle, over)
+    low = _cut(inertia, zero, over, min(rank, most), min(rank, most + CHOICE))
+    cuts, left = [over], inertia.above(low)
     done = 0
     while done < left:
-        wanted = min(done + INTERVAL, left)
-        at = low if wanted == left else _cut(matrix, low, cuts[-1], wanted)
-        at = low if above(matrix, at) > left else at
+        if left - done <= INTERVAL:
+            at = low
+        else:
+            at = _cut(inertia, low, cuts[-1], done + INTERVAL - CHOICE, done + INTERVAL)
         cuts.append(at)
-        done = above(matrix, at)
+        done = inertia.above(at)
     vectors = [
-        feast(matrix, a, b, above(matrix, a) - above(matrix, b), seed=k).vectors for k, (b, a) in enumerate(zip(cuts, cuts[1:]))
+        feast(matrix, a, b, inertia.above(a) - inertia.above(b), seed=k).vectors for k, (b, a) in enumerate(zip(cuts, cuts[1:]))
     ]
     # one last Rayleigh-Ritz over all intervals makes vectors of neighbouring ones orthogonal to rounding
     basis = np.linalg.qr(np.hstack(vectors))[0]

@@ -16,4 +16,4 @@ def test_registered():
     import __spark_entry__
 
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
