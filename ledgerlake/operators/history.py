@@ -26,6 +26,9 @@ def newest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str
 def next_customer_versions(previous: DataFrame, today: DataFrame, dt: str, close_missing: bool = True) -> DataFrame:
     """Version rows of day ``dt``: carried, closed and opened.
 
+    A version goes on while its tracked attributes are the same; all others are
+    those of today, as is the source, and only the load date is the old one.
+
     ``previous`` is the satellite of the day before (its closed rows are
     ignored), ``today`` the freshly built satellite. Both sides have one row per
     customer before the join, so the full join cannot fan out or skew. Nothing
@@ -46,9 +49,10 @@ def next_customer_versions(previous: DataFrame, today: DataFrame, dt: str, close
         F.col("new").withField("load_date", day)
         .withField("load_end_date", F.lit(OPEN_END).cast("date")).withField("is_current", F.lit(True))
     )
+    carried = opened.withField("load_date", F.col("old.load_date"))
     gone = closed if close_missing else F.col("old")
     rows = (
-        F.when(has_old & has_new & same, F.array("old"))
+        F.when(has_old & has_new & same, F.array(carried))
         .when(has_old & has_new, F.array(closed, opened))
         .when(has_old, F.array(gone))
         .otherwise(F.array(opened))
@@ -102,14 +106,6 @@ def new_hub_rows(today: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return today.join(known.select(key), key, "left_anti")
 
 
-def keep_first_seen(today: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Hub rows of today; those whose key is known keep the load date and source with which they were first seen."""
-    kept = ["load_date", "record_source"]
-    first = known.groupBy(key, F.xxhash64(key)).agg(F.min(F.struct(*kept)).alias("first")).select(key, "first")
-    joined = today.join(first, key, "left")
-    return joined.select(*[F.coalesce(F.col(f"first.{c}"), F.col(c)).alias(c) if c in kept else F.col(c) for c in today.columns])
-
-
 def first_seen(hub_days: DataFrame, key: str, business_id: str) -> DataFrame:
     """First load date and its source per key over several days of a hub."""
     first = F.min(F.struct("load_date", "record_source", business_id)).alias("first")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.display import auto_text, card_text, in_wan, masked_name
 from ledgerlake.functions.predicates import HIGH_AMOUNT, LARGE_AMOUNT, is_large, is_night, risk_level
 from ledgerlake.operators.vault import CUSTOMER, TRANSACTION
+from ledgerlake.session import scratch_dir
 
 MONEY = "decimal(18,2)"
 
@@ -204,6 +205,59 @@ def risk_overview(
     )
 
 
+def transaction_cube(
+    transactions: DataFrame, large: Decimal = LARGE_AMOUNT, path: str | None = None
+) -> DataFrame:
+    """What the hourly, channel, total and risk views need, from one pass over a day's transactions.
+
+    Rows by hour, by channel and in all, told apart by ``part``; a few dozen, so they
+    are written to ``path`` (a scratch folder by default) and the views read those.
+    """
+    amount, spark = F.col("trans_amt"), transactions.sparkSession
+    is_large_one = is_large(amount, large)
+    rows = transactions.withColumn("hour", F.hour("trans_time"))
+    cube = rows.groupingSets([["hour"], ["channel"], []], "hour", "channel").agg(
+        F.grouping_id().alias("part"),
+        F.count(F.lit(1)).alias("cnt"),
+        F.sum(amount).alias("amt"),
+        F.avg(amount).alias("avg_amt"),
+        F.count_if(F.col("trans_status") == "SUCCESS").alias("success_cnt"),
+        F.count_if(is_large_one).alias("large_cnt"),
+        F.sum(F.when(is_large_one, amount)).alias("large_amt"),
+        F.count_if(is_night(F.col("trans_time"))).alias("night_cnt"),
+    )
+    path = path or scratch_dir(spark, "cube")
+    cube.coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema(cube.schema).parquet(path)
+
+
+#: grouping_id of the parts: the bit of a column is set where it is summed over.
+_BY_HOUR, _BY_CHANNEL, _ALL = 1, 2, 3
+
+
+def cube_views(cube: DataFrame, computed_rates: bool = False, amount_type: str = MONEY) -> dict[str, DataFrame]:
+    """hourly_trend, channel_distribution, transaction_summary and risk_overview from ``transaction_cube``."""
+    amt = F.col("amt").cast(amount_type).alias("amt")
+    # one row, also of an empty day
+    total = F.coalesce(F.max("cnt"), F.lit(0))
+    large_amt = F.when(total > 0, F.coalesce(F.max("large_amt"), F.lit(0)))
+    abnormal = F.round(F.try_divide(F.max("large_cnt") * 100.0, total), 4) if computed_rates else F.lit(ABNORMAL_RATE)
+    pass_rate = F.round(100.0 - abnormal, 4) if computed_rates else F.lit(PASS_RATE)
+    whole = cube.where(F.col("part") == _ALL)
+    return {
+        "hourly_trend": cube.where(F.col("part") == _BY_HOUR).select("hour", "cnt", amt).orderBy("hour"),
+        "channel_distribution": cube.where(F.col("part") == _BY_CHANNEL).select("channel", "cnt", amt).orderBy(F.desc("cnt"), "channel"),
+        "transaction_summary": whole.agg(
+            total.alias("total_cnt"), F.max("amt").cast(amount_type).alias("total_amt"),
+            F.max("avg_amt").cast(amount_type).alias("avg_amt"), F.max("success_cnt").alias("success_cnt"),
+        ),
+        "risk_overview": whole.agg(
+            total.alias("total_txn"), F.max("large_cnt").alias("large_txn_cnt"), large_amt.cast(amount_type).alias("large_txn_amt"),
+            F.max("night_cnt").alias("night_txn_cnt"), pass_rate.cast("double").alias("pass_rate"), abnormal.cast("double").alias("abnormal_rate"),
+        ),
+    }
+
+
 def risk_alerts(
     transactions: DataFrame, large: Decimal = LARGE_AMOUNT, high: Decimal = HIGH_AMOUNT, top: int = 10
 ) -> DataFrame:

@@ -196,3 +196,32 @@ def with_kpi_changes(kpis: DataFrame, history: DataFrame, change_type: str = "de
     return rows.select(
         "dt", "kpi_code", "kpi_name", "kpi_category", "kpi_value", "kpi_unit", change("yoy"), change("mom"), "etl_time"
     )
+
+
+def with_kpi_changes_asof(
+    kpis: DataFrame, history: DataFrame, most_days: int = 10, change_type: str = "decimal(5,2)"
+) -> DataFrame:
+    """``with_kpi_changes`` where days may be missing: each value is held against the newest one at or before the shifted day.
+
+    A value more than ``most_days`` older than that day counts as missing. yoy_dt and
+    mom_dt tell the days compared with. Each row asks for the few days that may answer it, so the join is one of
+    equal keys, and the newest answer is a grouped maximum.
+    """
+
+    def change(name: str) -> Column:
+        before = F.nullif(F.col(f"{name}.value"), F.lit(0))
+        percent = (F.col("kpi_value") - before).cast("double") / before.cast("double") * 100
+        return percent.cast(change_type).alias(f"{name}_change")
+
+    rows = kpis.drop("yoy_change", "mom_change")
+    known = history.where(F.col("kpi_value").isNotNull()).select("kpi_code", F.col("dt").alias("day"), F.col("kpi_value").alias("value"))
+    for name, months in (("yoy", 12), ("mom", 1)):
+        shifted = F.add_months(F.to_date("dt"), -months)
+        days = F.sequence(shifted - most_days, shifted).cast("array<string>")
+        asked = rows.select("kpi_code", "dt", F.explode(days).alias("day")).distinct()
+        answers = asked.join(known, ["kpi_code", "day"]).groupBy("kpi_code", "dt").agg(F.max(F.struct("day", "value")).alias(name))
+        rows = rows.join(answers, ["kpi_code", "dt"], "left")
+    return rows.select(
+        "dt", "kpi_code", "kpi_name", "kpi_category", "kpi_value", "kpi_unit", change("yoy"), change("mom"),
+        F.col("yoy.day").alias("yoy_dt"), F.col("mom.day").alias("mom_dt"), "etl_time",
+    )

@@ -174,10 +174,12 @@ def build_link_txn_acct(transactions: DataFrame, dt: str) -> DataFrame:
     )
 
 
-def build_vault(sources: dict[str, DataFrame], dt: str) -> dict[str, DataFrame]:
+def build_vault(
+    sources: dict[str, DataFrame], dt: str, tracked: Iterable[str] = keys.TRACKED_ATTRIBUTES
+) -> dict[str, DataFrame]:
     """All hubs, satellites and the customer-account link of one day, by table name."""
     tables = {name: build_hub(sources[hub.source], hub, dt) for name, hub in HUBS.items()}
-    tables["sat_customer"] = build_sat_customer(sources["customer"], dt)
+    tables["sat_customer"] = build_sat_customer(sources["customer"], dt, tracked)
     tables["sat_balance"] = build_sat_balance(sources["balance"], sources["account"], dt)
     tables["sat_transaction"] = build_sat_transaction(sources["transaction"], dt)
     tables["link_cust_acct"] = build_link_cust_acct(sources["account"], dt)

@@ -6,15 +6,22 @@ failed step costs that step only, and every step can be rerun for its day.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.functions import keys
 from ledgerlake.operators import checks, history, insights, marts, vault
 from ledgerlake.schemas import SOURCES, TABLES
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources import feed
+from ledgerlake.sources.changes import ChangeTable
 from ledgerlake.sources.delimited import read_text, split_rejects, type_rows, with_rejects
+from ledgerlake.sources.known_keys import KnownKeys
 from ledgerlake.sources.lake import Lake, export_json
+from ledgerlake.sources.snapshots import SnapshotLog
 
 
 def load_day(lake: Lake, stage_root: str, dt: str, quarantine: str | None = None) -> None:
@@ -23,8 +30,10 @@ def load_day(lake: Lake, stage_root: str, dt: str, quarantine: str | None = None
     With ``quarantine``, rows that lost a cell in the cast are also written
     there, as text, below their source and day, and lines with too few or too many
     cells go there only. Without, such a line fails the load. An extract is
-    parsed once either way.
+    parsed once either way. What the quality rules need of single rows is
+    counted while they are written, and kept for ``check_day``.
     """
+    counted = {}
     for name, source in SOURCES.items():
         raw = read_text(lake.spark, source.stage_path(stage_root, dt))
         if quarantine:
@@ -33,19 +42,46 @@ def load_day(lake: Lake, stage_root: str, dt: str, quarantine: str | None = None
             marked.write.parquet(parsed)
             raw, aside = split_rejects(lake.spark.read.schema(marked.schema).parquet(parsed))
             export_json(aside, f"{quarantine.rstrip('/')}/{name}/dt={dt}")
+        raw, seen = checks.observed(raw, name)
         lake.write_day(f"ods_{name}", type_rows(raw, name, dt), dt)
+        counted[name] = seen.get
+    log = _counts(lake)
+    folder = log.fresh()
+    checks.observed_rules(lake.spark, counted).coalesce(1).write.parquet(f"{log.root}/{folder}")
+    log.commit(lambda days: {dt: folder})
+
+
+def _counts(lake: Lake) -> SnapshotLog:
+    return SnapshotLog(lake.spark, f"{lake.root}/_load_counts")
+
+
+def load_report(lake: Lake, dt: str) -> DataFrame | None:
+    """What was counted while a day was loaded: rules of single rows and row counts; None for a day loaded by other means."""
+    log = _counts(lake)
+    folder = log.state().get(dt)
+    if not folder:
+        return None
+    return lake.spark.read.schema("rule string, table_name string, failed long, total long").parquet(f"{log.root}/{folder}")
 
 
 def day_sources(lake: Lake, dt: str) -> dict[str, DataFrame]:
     return {name: lake.read_day(f"ods_{name}", dt) for name in SOURCES}
 
 
-def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
+def known_keys(lake: Lake, name: str) -> KnownKeys:
+    """The keys of a hub that any day has seen."""
+    return KnownKeys(lake.spark, f"{lake.path(name)}_known", vault.HUBS[name].key)
+
+
+def build_vault_day(
+    lake: Lake, dt: str, previous: str | None = None, tracked: Iterable[str] = keys.TRACKED_ATTRIBUTES
+) -> None:
     """Source tables to vault tables. With ``previous``, customers and links keep their history from that day.
 
     It must be the newest day written before ``dt``: from an older one, and from
-    one never written, versions and links would be lost. Hub rows of keys seen on
-    that day keep their first load date and source.
+    one never written, versions and links would be lost. Hub rows have the load
+    date and source with which any day written before has first seen their key. ``tracked`` are the attributes whose
+    change makes a new version; it should be the same on every day.
     """
     if previous:
         for name in ("sat_customer", "link_cust_acct"):
@@ -54,7 +90,7 @@ def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
                 raise ValueError(
                     f"{name}: the newest day written before {dt} is {earlier[-1] if earlier else 'none'}, not {previous}"
                 )
-    tables = vault.build_vault(day_sources(lake, dt), dt)
+    tables = vault.build_vault(day_sources(lake, dt), dt, tracked)
     if previous:
         tables["sat_customer"] = history.next_customer_versions(
             lake.read_day("sat_customer", previous).drop("dt"), tables["sat_customer"], dt
@@ -62,11 +98,17 @@ def build_vault_day(lake: Lake, dt: str, previous: str | None = None) -> None:
         tables["link_cust_acct"] = history.next_links(
             lake.read_day("link_cust_acct", previous).drop("dt"), tables["link_cust_acct"], dt
         )
-        for name, hub in vault.HUBS.items():
-            known = lake.read_day(name, previous, missing_ok=True).drop("dt")
-            tables[name] = history.keep_first_seen(tables[name], known, hub.key)
+        for name in vault.HUBS:
+            known = known_keys(lake, name)
+            for day in sorted(set(lake.days(name)) - set(known.days())):
+                if day < dt:  # written without a history
+                    known.add(lake.read_day(name, day), day)
+            tables[name] = known.first_seen(tables[name], dt)
     for name, df in tables.items():
         lake.write_day(name, df, dt)
+    if previous:
+        for name in vault.HUBS:
+            known_keys(lake, name).add(lake.read_day(name, dt), dt)
 
 
 def vault_day(lake: Lake, dt: str) -> dict[str, DataFrame]:
@@ -98,21 +140,22 @@ def build_marts_day(lake: Lake, dt: str, extended: bool = False) -> None:
 
 
 def dashboard(lake: Lake, dt: str) -> dict[str, DataFrame]:
-    """The ten dashboard queries of one day, by name."""
+    """The ten dashboard queries of one day, by name; four of them share one pass over the transactions."""
     kpis = lake.read_day("mgmt_kpi", dt)
     summary = lake.read_day("cust_daily_summary", dt)
     customers = lake.read_day("sat_customer", dt)
     transactions = lake.read_day("sat_transaction", dt)
+    shared = insights.cube_views(insights.transaction_cube(transactions))
     return {
         "kpi": insights.kpi_list(kpis),
         "aum_distribution": insights.aum_distribution(summary),
-        "hourly_trend": insights.hourly_trend(transactions),
-        "channel_distribution": insights.channel_distribution(transactions),
+        "hourly_trend": shared["hourly_trend"],
+        "channel_distribution": shared["channel_distribution"],
         "account_types": insights.account_types(lake.read_day("ods_account", dt)),
         "top_customers": insights.top_customers(summary, customers),
-        "transaction_summary": insights.transaction_summary(transactions),
+        "transaction_summary": shared["transaction_summary"],
         "transactions": insights.recent_transactions(transactions),
-        "risk_overview": insights.risk_overview(transactions),
+        "risk_overview": shared["risk_overview"],
         "risk_alerts": insights.risk_alerts(transactions),
     }
 
@@ -129,20 +172,43 @@ def reconcile_day(lake: Lake, dt: str) -> DataFrame:
 
 
 def check_day(lake: Lake, dt: str, before: str | None = None) -> DataFrame:
-    """The quality rules over one day's sources; with ``before``, row counts are held against that day."""
-    earlier = day_sources(lake, before) if before else None
-    return checks.quality_report(day_sources(lake, dt), earlier)
+    """The quality rules over one day's sources; with ``before``, row counts are held against that day.
+
+    Rules that the loads of the days have counted are taken from there.
+    """
+    now, then = load_report(lake, dt), load_report(lake, before) if before else None
+    earlier = day_sources(lake, before) if before and (now is None or then is None) else None
+    return checks.quality_report(day_sources(lake, dt), earlier, counted=now, counted_before=then)
+
+
+def change_table(lake: Lake) -> ChangeTable:
+    """The transactions as change feeds leave them."""
+    table = TABLES["ods_transaction"]
+    return ChangeTable(lake.spark, f"{lake.root}/{table.database}/{table.physical}_changes", table.schema)
 
 
 def apply_changes_day(lake: Lake, feed_rows: DataFrame, before: str, dt: str) -> None:
-    """The transactions of day ``before`` with a change feed applied, written as day ``dt``."""
-    base = lake.read_day("ods_transaction", before).drop("dt")
-    changed = feed.decode_changes(feed_rows)
-    stamped = changed.select(
-        "op", "es", "batch", "pos",
-        *[F.col(c) if c in changed.columns else F.lit(None).cast(base.schema[c].dataType).alias(c) for c in base.columns],
-    )
-    lake.write_day("ods_transaction", history.apply_changes(base, stamped), dt)
+    """A change feed merged into the transactions, and what they are then written as day ``dt``.
+
+    The first feed finds the rows of day ``before``. Later ones find the change
+    table, whatever day they come from: an older change that comes late does not undo a newer one.
+    """
+    changes = change_table(lake)
+    if not changes.has_base():
+        changes.load(lake.read_day("ods_transaction", before).drop("dt"))
+    changes.apply(feed.decode_changes(feed_rows), dt)
+    lake.write_day("ods_transaction", changes.read(), dt)
+
+
+def start_changes(lake: Lake, feed_rows: DataFrame, checkpoint: str, finite: bool = False) -> StreamingQuery:
+    """Merges a live feed into the change table, a batch at a time; a retried batch replaces itself."""
+    changes = change_table(lake)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        changes.apply(feed.decode_changes(batch), f"stream-{number}")
+
+    writer = feed_rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
+    return (writer.trigger(availableNow=True) if finite else writer).start()
 
 
 def run_day(
@@ -152,8 +218,9 @@ def run_day(
     previous: str | None = None,
     extended: bool = False,
     quarantine: str | None = None,
+    tracked: Iterable[str] = keys.TRACKED_ATTRIBUTES,
 ) -> None:
     """Load, vault and marts of one day."""
     load_day(lake, stage_root, dt, quarantine)
-    build_vault_day(lake, dt, previous)
+    build_vault_day(lake, dt, previous, tracked)
     build_marts_day(lake, dt, extended)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerlake.plans.fixtures import DAY, OPENED
-from ledgerlake.plans.registry import AFTER, BEFORE, HIGH, LARGE
+from ledgerlake.plans.registry import AFTER, BEFORE, HIGH, LARGE, LAST
 
 _CTES = {
     "f_customer": """
@@ -256,6 +256,13 @@ def _fast(time: str) -> str:
         having sum(d.trans_amt) >= c.trans_amt * 0.5""")
 
 
+# block and key of each source
+_LOADED = {
+    "customer": ("f_customer", "customer_id"), "account": ("f_account", "account_no"), "balance": ("f_balance", "account_no"),
+    "transaction": ("f_txn", "trans_id"), "payment": ("f_pay", "pay_id"), "loan": ("f_loan", "contract_no"),
+    "card": ("f_card", "card_no"), "ebank": ("f_ebank", "trans_id"),
+}
+
 ORACLES: dict[str, str] = {
     "hub_customer": _hub("f_customer", "CORE", "customer_id", "HUB_CUSTOMER", "customer_hash_key", "customer_id"),
     "hub_account": _hub("f_account", "CORE", "account_no", "HUB_ACCOUNT", "account_hash_key", "account_no"),
@@ -549,4 +556,79 @@ ORACLES: dict[str, str] = {
     "channel_success": _with("f_event", _windows(300) + """
                count(*) as total_cnt, count(*) filter (trans_type <> 'error') as success_cnt
         from f_event group by 1, 2"""),
+    "day_versions": _with("f_account", f"""
+        select cast(version as integer) as version, dt, status, count(*) as row_cnt
+        from f_account, (values (1, 1, '{BEFORE}'), (2, 2, '{BEFORE}'), (3, 2, '{BEFORE}'), (3, 3, '{AFTER}'), (4, 3, '{AFTER}')) s(version, kind, dt)
+        where kind = 1 or (kind = 2) = (status = 'NORMAL') group by 1, 2, 3"""),
+    "lake_latest_day": """
+        select cast(cast(l_shipdate as date) as varchar) as dt, count(*) as row_cnt from lineitem
+        where cast(l_shipdate as date) = (select max(cast(l_shipdate as date)) from lineitem) group by 1""",
+    "catalog_tables": _with("f_account", f"""
+        select 'dwd_hub_account' as table_name, '{DAY}' as dt, count(distinct account_no) as row_cnt, count(distinct account_no) as keys from f_account
+        union all select 'dwd_hub_org', '{DAY}', count(distinct branch_id), count(distinct branch_id) from f_account"""),
+    "load_report": _with(f"{_ALL_SOURCES}", " union all ".join([
+        *(f"""select '{rule}' as rule, '{name}' as table_name,
+                     count(*) filter ({'coalesce(trim(' + key + "), '') = ''" if rule == 'null_key' else 'false'}) as failed, count(*) as total
+              from {block} t"""
+          for name, (block, key) in _LOADED.items() for rule in ("null_key", "rejected_cells")),
+        """select 'balance_identity', 'balance', count(*) filter (balance <> avail_balance + frozen_amt), count(*) from f_balance""",
+    ])),
+    "hub_known_keys": f"""
+        select md5('CORE|' || customer_id || '|HUB_CUSTOMER') as customer_hash_key, customer_id,
+               min(load_date) as load_date, 'CORE' as record_source
+        from (select concat('CUST', lpad(cast(o_custkey as varchar), 8, '0')) as customer_id, '{BEFORE}' as load_date
+              from orders join customer on o_custkey = c_custkey where {_live(BEFORE)}
+              union all
+              select concat('CUST', lpad(cast(o_custkey as varchar), 8, '0')), '{AFTER}'
+              from orders join customer on o_custkey = c_custkey where {_live(AFTER)}
+              union all
+              select concat('CUST', lpad(cast(c_custkey as varchar), 8, '0')), '{LAST}' from customer join nation on c_nationkey = n_nationkey) x
+        where customer_id in (select concat('CUST', lpad(cast(c_custkey as varchar), 8, '0')) from customer join nation on c_nationkey = n_nationkey)
+        group by customer_id""",
+    "fast_in_out_split": _fast("trans_time"),
+    "stream_fast_in_out_state": _fast("date_trunc('second', trans_time)"),
+    "channel_sketches": _with("f_event", " union all ".join(
+        f"""select '{text}' as width, cast(date_trunc('{unit}', trans_time) as varchar) as window_start, channel, count(*) as txn_cnt,
+                   cast(sum(trans_amt) as double) as txn_amt, count(distinct account_no) as active_accounts, true as within_bound
+            from f_event group by 2, 3""" for text, unit in (("1 hour", "hour"), ("1 day", "day"))
+    )),
+    "dashboard_cube": _with("f_event", f"""
+        , h as (select cast(hour(trans_time) as varchar) as k, count(*) as cnt, sum(trans_amt) as amt from f_event group by 1),
+        c as (select channel as k, count(*) as cnt, sum(trans_amt) as amt from f_event group by 1),
+        t as (select count(*) as total_cnt, sum(trans_amt) as total_amt, cast(sum(trans_amt) / count(*) as decimal(18,2)) as avg_amt,
+                     count(*) filter (trans_amt > {LARGE}) as large_txn_cnt, sum(case when trans_amt > {LARGE} then trans_amt else 0 end) as large_txn_amt,
+                     count(*) filter ({_NIGHT}) as night_txn_cnt from f_event)
+        select 'hourly_trend' as view, k as key, 'cnt' as measure, cast(cnt as double) as value from h
+        union all select 'hourly_trend', k, 'amt', cast(amt as double) from h
+        union all select 'channel_distribution', k, 'cnt', cast(cnt as double) from c
+        union all select 'channel_distribution', k, 'amt', cast(amt as double) from c
+        union all select 'transaction_summary', '', 'total_cnt', cast(total_cnt as double) from t
+        union all select 'transaction_summary', '', 'total_amt', cast(total_amt as double) from t
+        union all select 'transaction_summary', '', 'avg_amt', cast(avg_amt as double) from t
+        union all select 'transaction_summary', '', 'success_cnt', cast(total_cnt as double) from t
+        union all select 'risk_overview', '', 'total_txn', cast(total_cnt as double) from t
+        union all select 'risk_overview', '', 'large_txn_cnt', cast(large_txn_cnt as double) from t
+        union all select 'risk_overview', '', 'large_txn_amt', cast(large_txn_amt as double) from t
+        union all select 'risk_overview', '', 'night_txn_cnt', cast(night_txn_cnt as double) from t
+        union all select 'risk_overview', '', 'pass_rate', 99.85
+        union all select 'risk_overview', '', 'abnormal_rate', 0.15"""),
+    "kpi_change_asof": _with("d_kpi", """
+        , w as (select * from d_kpi where isodow(cast(dt as date)) < 6),
+        a as (select k.*, cast(cast(cast(k.dt as date) - interval 12 month as date) as varchar) as y_dt,
+                     cast(cast(cast(k.dt as date) - interval 1 month as date) as varchar) as m_dt from w k),
+        f as (select a.*,
+                (select max(dt) from w where w.kpi_code = a.kpi_code and w.dt <= y_dt and cast(w.dt as date) >= cast(y_dt as date) - 10) as yoy_dt,
+                (select max(dt) from w where w.kpi_code = a.kpi_code and w.dt <= m_dt and cast(w.dt as date) >= cast(m_dt as date) - 10) as mom_dt
+              from a)
+        select f.dt, f.kpi_code,
+               case f.kpi_code when 'DAILY_TXN_CNT' then '当日交易笔数' else '当日交易金额' end as kpi_name,
+               'PAYMENT' as kpi_category, f.kpi_value,
+               case f.kpi_code when 'DAILY_TXN_CNT' then 'COUNT' else 'YUAN' end as kpi_unit,
+               cast(cast((f.kpi_value - y.kpi_value) / nullif(y.kpi_value, 0) * 100 as decimal(18,2)) as double) as yoy_change,
+               cast(cast((f.kpi_value - m.kpi_value) / nullif(m.kpi_value, 0) * 100 as decimal(18,2)) as double) as mom_change,
+               yoy_dt, mom_dt
+        from f left join w y on y.kpi_code = f.kpi_code and y.dt = f.yoy_dt left join w m on m.kpi_code = f.kpi_code and m.dt = f.mom_dt"""),
 }
+
+# a merge of the feed, in whatever order its parts come, is the feed applied at once
+ORACLES["cdc_merge"] = ORACLES["cdc_apply"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,13 @@ from ledgerlake.functions.display import auto_text
 from ledgerlake.operators import checks, history, insights, marts, patterns, vault
 from ledgerlake.plans import daily, fixtures
 from ledgerlake.plans.fixtures import DAY
-from ledgerlake.schemas import SOURCES
-from ledgerlake.session import configure, scratch_dir
+from ledgerlake.schemas import SOURCES, TABLES, struct
+from ledgerlake.session import STREAM_CONF, configure, scratch_dir
 from ledgerlake.sources import delimited, feed
-from ledgerlake.sources.lake import Lake, export_json, latest_day
-from ledgerlake.streaming import monitor
+from ledgerlake.sources.changes import ChangeTable
+from ledgerlake.sources.known_keys import KnownKeys
+from ledgerlake.sources.lake import Lake, create_tables, export_json, insert_day, latest_day
+from ledgerlake.streaming import detect, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LARGE, HIGH = Decimal("300"), Decimal("400")
 
 # Days compared by the history queries.
-BEFORE, AFTER = "1998-06-30", "1999-03-31"
+BEFORE, AFTER, LAST = "1998-06-30", "1999-03-31", "1999-12-31"
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -131,6 +134,27 @@ def summary_texts(spark, sf):
     )
 
 
+def dashboard_cube(spark, sf):
+    """Four views of the dashboard from one pass, their values in one column."""
+    views = insights.cube_views(insights.transaction_cube(event_facts(spark, sf), LARGE))
+    tall = None
+    for name, df in views.items():
+        keys = [c for c in ("hour", "channel") if c in df.columns]
+        values = [c for c in df.columns if c not in keys]
+        rows = df.select(
+            F.lit(name).alias("view"), (F.col(keys[0]).cast("string") if keys else F.lit("")).alias("key"),
+            F.explode(F.create_map(*[x for c in values for x in (F.lit(c), F.col(c).cast("double"))])).alias("measure", "value"),
+        )
+        tall = rows if tall is None else tall.unionByName(rows)
+    return tall
+
+
+def kpi_change_asof(spark, sf):
+    """Changes of every working day; at weekends there are no figures."""
+    days = daily_kpis(spark, sf).where(F.weekday(F.to_date("dt")) < 5)
+    return marts.with_kpi_changes_asof(marts.as_kpi_rows(days, "dt"), days, change_type="decimal(18,2)")
+
+
 # --- loads and storage ------------------------------------------------------------------
 
 
@@ -172,6 +196,22 @@ def day_overwrite(spark, sf):
     return lake.read("ods_account", BEFORE, AFTER).groupBy("dt", "status").agg(F.count(F.lit(1)).alias("row_cnt"))
 
 
+def day_versions(spark, sf):
+    """A day written, written anew and dropped: what readers of each step of the log see."""
+    lake = Lake(spark, scratch_dir(spark, "lake"))
+    accounts = delimited.type_rows(fixtures.accounts(spark, sf), "account", BEFORE)
+    lake.write_day("ods_account", accounts, BEFORE)
+    lake.write_day("ods_account", accounts.where("status = 'NORMAL'"), BEFORE)
+    lake.write_day("ods_account", accounts.where("status <> 'NORMAL'"), AFTER)
+    lake.drop_day("ods_account", BEFORE)
+    steps = None
+    for version in lake.log("ods_account").versions():
+        rows = lake.read("ods_account", version=version).groupBy("dt", "status").agg(F.count(F.lit(1)).alias("row_cnt"))
+        rows = rows.withColumn("version", F.lit(version))
+        steps = rows if steps is None else steps.unionByName(rows)
+    return steps
+
+
 def day_drop(spark, sf):
     """Two days written, the second dropped: the first is all there is."""
     lake = Lake(spark, scratch_dir(spark, "lake"))
@@ -187,6 +227,36 @@ def newest_day(spark, sf):
     return latest_day(days, DAY)
 
 
+def lake_latest_day(spark, sf):
+    """The newest day written, found in the log: days of the first and last shipping date."""
+    lake = Lake(spark, scratch_dir(spark, "lake"))
+    facts = sat_transaction(spark, sf)
+    ends = facts.agg(F.min("trans_date").cast("string"), F.max("trans_date").cast("string")).first()
+    for dt in ends[::-1]:
+        lake.write_day("sat_transaction", facts.where(F.col("trans_date") == F.lit(dt).cast("date")), dt)
+    return lake.latest_day("sat_transaction").join(
+        lake.read_day("sat_transaction", ends[1]).groupBy("dt").agg(F.count(F.lit(1)).alias("row_cnt")), "dt"
+    )
+
+
+def catalog_tables(spark, sf):
+    """Declared tables below a scratch folder, a day of hub keys inserted and read by SQL, then dropped again."""
+    tables = [TABLES[n] for n in ("hub_account", "hub_org")]
+    at = scratch_dir(spark, "catalog")
+    named = [replace(t, database=f"scratch_{at[-8:]}") for t in tables]
+    create_tables(spark, named, at)
+    for table, name in zip(named, ("hub_account", "hub_org")):
+        insert_day(spark, table, _hub(name)(spark, sf), DAY)
+    counts = " UNION ALL ".join(
+        f"SELECT '{t.physical}' AS table_name, dt, COUNT(1) AS row_cnt, COUNT(DISTINCT {t.bucket_by}) AS keys FROM {t.qualified} GROUP BY dt"
+        for t in named
+    )
+    path = f"{at}/counts"
+    spark.sql(counts).write.parquet(path)
+    spark.sql(f"DROP DATABASE {named[0].database} CASCADE")
+    return spark.read.parquet(path)
+
+
 def json_export(spark, sf):
     path = scratch_dir(spark, "json")
     export_json(insights.channel_distribution(sat_transaction(spark, sf)), path)
@@ -206,6 +276,15 @@ def reconcile(spark, sf):
     return daily.reconcile_day(lake, DAY)
 
 
+def load_report(spark, sf):
+    """What a day's loads count of their rows while they write them."""
+    lake, stages = Lake(spark, scratch_dir(spark, "lake"), "parquet"), scratch_dir(spark, "stage")
+    for name, build in fixtures.BUILDERS.items():
+        delimited.write_text(build(spark, sf), SOURCES[name].stage_path(stages, DAY))
+    daily.load_day(lake, stages, DAY)
+    return daily.load_report(lake, DAY)
+
+
 def dq_checks(spark, sf):
     sources = fixtures.sources(spark, sf)
     # count drift: personal against all customers stands for two days
@@ -251,6 +330,19 @@ def hub_new_rows(spark, sf):
     return history.new_hub_rows(_hub_day(spark, sf, AFTER), _hub_day(spark, sf, BEFORE), "customer_hash_key")
 
 
+def hub_known_keys(spark, sf):
+    """Three days of a hub: keys absent on the second keep their first day on the third, whichever day saw them first."""
+    known = KnownKeys(spark, scratch_dir(spark, "known"), vault.CUSTOMER.key)
+    days = {
+        BEFORE: _hub_day(spark, sf, BEFORE), AFTER: _hub_day(spark, sf, AFTER),
+        LAST: vault.build_hub(fixtures.customers(spark, sf), vault.CUSTOMER, LAST),
+    }
+    for dt, rows in days.items():
+        seen = known.first_seen(rows, dt)
+        known.add(rows, dt)
+    return seen
+
+
 def link_end_dating(spark, sf):
     before, after = (
         vault.build_link_cust_acct(fixtures.account_snapshot(spark, sf, dt == BEFORE), dt) for dt in (BEFORE, AFTER)
@@ -277,6 +369,25 @@ def cdc_apply(spark, sf):
     return history.apply_changes(base, _changes(spark, sf))
 
 
+def cdc_merge(spark, sf):
+    """The feed in three batches that come in the wrong order, one of them twice, merged into the base when read."""
+    table = ChangeTable(spark, scratch_dir(spark, "changes"), _CDC_BASE)
+    table.load(fixtures.table(spark, sf, "customer").select(
+        F.concat(F.lit("ACCT"), F.col("c_custkey").cast("string")).alias("trans_id"),
+        F.col("c_acctbal").cast("decimal(18,2)").alias("trans_amt"),
+        F.col("c_mktsegment").alias("channel"),
+    ))
+    changes = _changes(spark, sf).withColumn("part", F.pmod(F.xxhash64("batch"), F.lit(3)))
+    for part in (2, 0, 2, 1):
+        table.apply(changes.where(F.col("part") == part), str(part))
+        if part == 0:
+            table.compact()
+    return table.read()
+
+
+_CDC_BASE = struct("trans_id string, trans_amt decimal(18,2), channel string")
+
+
 # --- patterns and streams -----------------------------------------------------------------------------
 
 
@@ -284,6 +395,10 @@ def fast_in_out(spark, sf):
     return patterns.fast_in_out(fixtures.event_transactions(spark, sf), "1 day", min_in=Decimal("20"), ratio=0.5)
 
 
+def fast_in_out_split(spark, sf):
+    return patterns.fast_in_out_split(fixtures.event_transactions(spark, sf), "1 day", min_in=Decimal("20"), ratio=0.5)
+
+
 def night_activity(spark, sf):
     return patterns.night_activity(fixtures.event_transactions(spark, sf), min_count=2)
 
@@ -350,6 +465,34 @@ def stream_fast_in_out(spark, sf):
     return _appended(spark, sf, lambda rows: patterns.fast_in_out_stream(rows, "1 day", Decimal("20"), 0.5))
 
 
+def stream_fast_in_out_state(spark, sf):
+    """The same alerts from each account's state, with timers."""
+    before = {name: spark.conf.get(name, None) for name in STREAM_CONF}
+    for name, value in STREAM_CONF.items():
+        spark.conf.set(name, value)
+    try:
+        return _appended(spark, sf, lambda rows: detect.fast_in_out_alerts(rows, "1 day", Decimal("20"), 0.5))
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def channel_sketches(spark, sf):
+    """Hours and days of accounts from ten-second sketches, held against the exact counts."""
+    rows = monitor.with_event_time(feed.decode_rows(fixtures.feed(spark, sf)))
+    small = monitor.sketch_windows(rows)
+    parts = None
+    for width in ("1 hour", "1 day"):
+        rolled = monitor.estimated(monitor.roll_up_sketches(small, width)).withColumnRenamed("active_accounts", "estimate")
+        exact = monitor.channel_windows(rows, width).select("window_start", "channel", "active_accounts")
+        both = rolled.join(exact, ["window_start", "channel"]).select(
+            F.lit(width).alias("width"), "window_start", "channel", "txn_cnt", "txn_amt", "active_accounts",
+            (F.abs(F.col("estimate") - F.col("active_accounts")) <= monitor.error_bound(F.col("active_accounts"))).alias("within_bound"),
+        )
+        parts = both if parts is None else parts.unionByName(both)
+    return parts
+
+
 def channel_window(spark, sf):
     """Ten-second windows of the whole feed as one batch."""
     return monitor.channel_windows(monitor.with_event_time(feed.decode_rows(fixtures.feed(spark, sf))))
@@ -385,6 +528,7 @@ QUERIES: dict[str, Query] = {
         "kpi_text": lambda spark, sf: insights.kpi_text(mgmt_kpi(spark, sf)),
         "kpi_cards": lambda spark, sf: insights.kpi_cards(mgmt_kpi(spark, sf)),
         "kpi_change": kpi_change,
+        "kpi_change_asof": kpi_change_asof,
         "aum_distribution": lambda spark, sf: insights.aum_distribution(cust_daily_summary(spark, sf)),
         "hourly_trend": _facts(insights.hourly_trend),
         "hourly_counts": _facts(insights.hourly_counts),
@@ -401,23 +545,31 @@ QUERIES: dict[str, Query] = {
         "risk_overview_computed": risk_overview_computed,
         "risk_alerts": _facts(insights.risk_alerts, LARGE, HIGH),
         "summary_texts": summary_texts,
+        "dashboard_cube": dashboard_cube,
         **{f"ods_load_{name}": _load(name) for name in SOURCES},
         "ods_rejects": ods_rejects,
         "day_overwrite": day_overwrite,
+        "day_versions": day_versions,
         "day_drop": day_drop,
+        "lake_latest_day": lake_latest_day,
+        "catalog_tables": catalog_tables,
         "latest_day": newest_day,
         "json_export": json_export,
         "reconcile": reconcile,
+        "load_report": load_report,
         "dq_checks": dq_checks,
         "scd2_customer": scd2_customer,
         "customer_history": customer_history,
         "version_checks": version_checks,
         "hub_first_seen": hub_first_seen,
         "hub_new_rows": hub_new_rows,
+        "hub_known_keys": hub_known_keys,
         "link_end_dating": link_end_dating,
         "cdc_latest": cdc_latest,
         "cdc_apply": cdc_apply,
+        "cdc_merge": cdc_merge,
         "fast_in_out": fast_in_out,
+        "fast_in_out_split": fast_in_out_split,
         "night_activity": night_activity,
         "stream_decode": stream_decode,
         "stream_large_amount": stream_large_amount,
@@ -425,6 +577,8 @@ QUERIES: dict[str, Query] = {
         "stream_channel_window_10s": stream_channel_window_10s,
         "stream_channel_success": stream_channel_success,
         "stream_fast_in_out": stream_fast_in_out,
+        "stream_fast_in_out_state": stream_fast_in_out_state,
+        "channel_sketches": channel_sketches,
         "channel_window": channel_window,
         "channel_success": channel_success,
     }.items()

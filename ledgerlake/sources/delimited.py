@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,34 +22,31 @@ BAD_LINE = "_bad_line"
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their header line. Only the first line of each file is read."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    """Files by their header line, found by the tasks that read the files' first blocks.
+
+    The driver opens no file; it gets the names of the files, which it lists for the read anyway.
+    """
+    try:
+        lines = spark.read.text(list(paths))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no staged files at {', '.join(paths)}") from error
+        raise
+    # rows of a block are numbered in their order, and the first block holds the header
+    first = (
+        lines.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+        .where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "place").alias("header"))
+    )
     found: dict[str, list[str]] = {}
-    for path in paths:
-        pattern = jvm.org.apache.hadoop.fs.Path(path)
-        files = pattern.getFileSystem(conf)
-        entries = files.globStatus(pattern)
-        if not entries:
-            raise FileNotFoundError(f"no staged files at {path}")
-        for entry in entries:
-            inner = files.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
-            for file in inner:
-                if file.getPath().getName()[:1] in "_." or file.isDirectory():
-                    continue
-                codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file.getPath())
-                stream = files.open(file.getPath())
-                stream = codec.createInputStream(stream) if codec else stream
-                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                header = reader.readLine()
-                reader.close()
-                if header is not None:
-                    found.setdefault(header.lstrip("\ufeff"), []).append(file.getPath().toString())
-    return found
+    for row in first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect():
+        found.setdefault(row.header.lstrip("\ufeff"), []).extend(unquote(file) for file in row.files)
+    return dict(sorted(found.items()))
 
 
 def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All-string rows, each parsed once; columns go by each file's own header, in any order.
+    """All-string rows; columns go by each file's own header, in any order.
 
+    One pass over the text finds the headers, one parses the rows.
     Files are read together with those of the same header, so that no file is
     read by another one's. ``_bad_line`` marks lines with too few or too many cells.
     """

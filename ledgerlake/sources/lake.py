@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -10,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import TABLES, Table
+from ledgerlake.sources.snapshots import SnapshotLog
 
 
 def checked_day(dt: str) -> str:
@@ -24,7 +24,7 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
 
 
 class Lake:
-    """Tables below one root folder, one folder per table and day."""
+    """Tables below one root folder. A table's log names the folder that holds each day."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "orc"):
         self.spark = spark
@@ -35,99 +35,76 @@ class Lake:
         table = TABLES[name]
         return f"{self.root}/{table.database}/{table.physical}"
 
-    def day_path(self, name: str, dt: str) -> str:
-        return f"{self.path(name)}/dt={checked_day(dt)}"
+    def log(self, name: str) -> SnapshotLog:
+        return SnapshotLog(self.spark, self.path(name))
 
     def write_day(self, name: str, df: DataFrame, dt: str) -> None:
         """Replace exactly one day, also by nothing; other days stay as they are.
 
-        The new rows are written beside the old ones and take their place only
-        when the write is complete, so a failed write leaves the day as it was.
+        The new rows go to a folder of their own, and the day is theirs when the
+        log says so: a reader has the old day or the new one, and a failed write
+        leaves the day as it was. The old folder stays for readers at work until ``vacuum``.
         No shuffle of its own: a projection keeps the scan's splits, and what
         comes from a shuffle has the partition sizes that adaptive execution gave it.
         """
-        table = TABLES[name]
-        target = self.day_path(name, dt)
-        fresh, old = (f"{self.path(name)}/_{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-        try:
-            (
-                conform(df, table).write.format(self.fmt)
-                .option("compression", table.compression if self.fmt == "orc" else "snappy")
-                .save(fresh)
-            )
-        except BaseException:
-            self._delete(fresh)
-            raise
-        had = self._exists(target)
-        if had:
-            self._rename(target, old)
-        try:
-            self._rename(fresh, target)
-        except BaseException:
-            if had:
-                self._rename(old, target)
-            raise
-        self._delete(old)
-
-    def read_day(self, name: str, dt: str, missing_ok: bool = False) -> DataFrame:
+        table, log = TABLES[name], self.log(name)
+        folder = log.fresh(f"dt={checked_day(dt)}")
+        (
+            conform(df, table).write.format(self.fmt)
+            .option("compression", table.compression if self.fmt == "orc" else "snappy")
+            .save(f"{log.root}/{folder}")
+        )
+        log.commit(lambda days: {dt: folder})
+
+    def read_day(self, name: str, dt: str, missing_ok: bool = False, version: int | None = None) -> DataFrame:
         """One day. Lists that day's folder only. A day never written is an error, or empty with ``missing_ok``."""
-        return self._load(name, self.day_path(name, dt), missing_ok)
-
-    def read(self, name: str, start: str | None = None, end: str | None = None, missing_ok: bool = False) -> DataFrame:
-        """All days, or those from ``start`` to ``end``; pruned by folder."""
-        df = self._load(name, self.path(name), missing_ok)
-        if start:
-            df = df.where(F.col("dt") >= checked_day(start))
-        if end:
-            df = df.where(F.col("dt") <= checked_day(end))
-        return df
+        folder = self.log(name).state(version).get(checked_day(dt))
+        return self._load(name, [folder] if folder else None, missing_ok, f"day {dt} of {name}")
+
+    def read(
+        self, name: str, start: str | None = None, end: str | None = None, missing_ok: bool = False, version: int | None = None
+    ) -> DataFrame:
+        """All days, or those from ``start`` to ``end``; other days' folders are not listed. ``version`` reads an older state of the log."""
+        log = self.log(name)
+        known = log.versions()
+        days = log.state(version) if known else {}
+        first, last = checked_day(start) if start else "", checked_day(end) if end else "9999-12-31"
+        folders = [folder for dt, folder in sorted(days.items()) if first <= dt <= last]
+        df = self._load(name, folders if known else None, missing_ok, name)
+        return df.where(F.col("dt").between(first, last)) if start or end else df
 
     def days(self, name: str) -> list[str]:
-        """The days written, in order; from the folder names, no file is opened."""
-        files, folder = self._folder(self.path(name))
-        if not files.exists(folder):
-            return []
-        names = (entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory())
-        return sorted(n.removeprefix("dt=") for n in names if n.startswith("dt="))
+        """The days written, in order; no folder of a day is listed."""
+        return sorted(self.log(name).state())
 
     def drop_day(self, name: str, dt: str) -> bool:
         """Remove one day if it is there."""
-        return self._delete(self.day_path(name, dt))
+        there = checked_day(dt) in self.log(name).state()
+        if there:
+            self.log(name).commit(lambda days: {dt: None})
+        return there
 
     def has(self, name: str) -> bool:
         """Whether any day was ever written."""
-        return self._exists(self.path(name))
+        return bool(self.log(name).versions())
 
     def latest_day(self, name: str = "mgmt_kpi", default: str | None = None) -> DataFrame:
         """One row with the newest day, or the default when there is none."""
         days = self.days(name)
         return self.spark.createDataFrame([(days[-1] if days else default,)], "dt string")
 
-    def _load(self, name: str, path: str, missing_ok: bool) -> DataFrame:
+    def vacuum(self, name: str, keep: int = 2, older_than: float = 86_400.0) -> int:
+        """Removes folders of replaced and dropped days and of failed writes; see ``SnapshotLog.vacuum``."""
+        return self.log(name).vacuum("dt=*/s-*", keep, older_than)
+
+    def _load(self, name: str, folders: list[str] | None, missing_ok: bool, what: str) -> DataFrame:
         schema = TABLES[name].schema.add("dt", "string")
-        if not self._exists(path):
-            if not missing_ok:
-                raise FileNotFoundError(f"{name} was never written at {path}")
+        if folders is None and not missing_ok:
+            raise FileNotFoundError(f"{what} was never written below {self.path(name)}")
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.format(self.fmt).schema(schema).option("basePath", self.path(name)).load(path)
-
-    def _exists(self, path: str) -> bool:
-        files, folder = self._folder(path)
-        return bool(files.exists(folder))
-
-    def _delete(self, path: str) -> bool:
-        files, folder = self._folder(path)
-        return bool(files.delete(folder, True))
-
-    def _rename(self, path: str, to: str) -> None:
-        files, folder = self._folder(path)
-        if not files.rename(folder, self._folder(to)[1]):
-            raise OSError(f"cannot move {path} to {to}")
-
-    def _folder(self, path: str):
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
+        paths = [f"{self.path(name)}/{folder}" for folder in folders]
+        return self.spark.read.format(self.fmt).schema(schema).option("basePath", self.path(name)).load(paths)
 
 
 def latest_day(df: DataFrame, default: str | None = None, column: str = "dt") -> DataFrame:
@@ -188,19 +165,25 @@ def insert_day(spark: SparkSession, table: Table, df: DataFrame, dt: str) -> Non
 
 
 def publish_tables(lake: Lake, names: Iterable[str] = tuple(TABLES)) -> None:
-    """Make the lake's folders readable by SQL under the tables' own names, with all days written so far.
+    """Make the lake's days readable by SQL under the tables' own names, as the logs have them now.
 
-    Days are added by name; the catalog does not list the table's folders itself.
+    Each day is a partition at the folder that the log names; days dropped since go. The
+    catalog does not list the table's folders itself.
     """
     names = list(names)
     plain = [TABLES[name].with_buckets(0) for name in names]
     create_tables(lake.spark, plain, lake.root, lake.fmt)
     for name, table in zip(names, plain):
         known = {row[0].removeprefix("dt=") for row in lake.spark.sql(f"SHOW PARTITIONS {table.qualified}").collect()}
-        new = [dt for dt in lake.days(name) if dt not in known]
-        if new:
-            parts = " ".join(f"PARTITION (dt = '{dt}')" for dt in new)
-            lake.spark.sql(f"ALTER TABLE {table.qualified} ADD IF NOT EXISTS {parts}")
+        days = {dt: f"{lake.path(name)}/{folder}" for dt, folder in lake.log(name).state().items()}
+        part = "PARTITION (dt = '{}')".format
+        if new := [f"{part(dt)} LOCATION '{days[dt]}'" for dt in sorted(days) if dt not in known]:
+            lake.spark.sql(f"ALTER TABLE {table.qualified} ADD IF NOT EXISTS {' '.join(new)}")
+        for dt in sorted(known):
+            if dt in days:
+                lake.spark.sql(f"ALTER TABLE {table.qualified} {part(dt)} SET LOCATION '{days[dt]}'")
+        if gone := [part(dt) for dt in sorted(known - set(days))]:
+            lake.spark.sql(f"ALTER TABLE {table.qualified} DROP IF EXISTS {', '.join(gone)}")
         lake.spark.catalog.refreshTable(table.qualified)
 
 

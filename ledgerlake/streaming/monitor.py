@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.functions.predicates import HIGH_AMOUNT, LARGE_AMOUNT, is_large
+from ledgerlake.sources.snapshots import Edits, SnapshotLog
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 WATERMARK = "10 seconds"
@@ -98,13 +99,20 @@ def start_append(
     return (writer.trigger(availableNow=True) if finite else writer).start(path)
 
 
+_UPDATES = (
+    "window struct<start: timestamp, end: timestamp>, channel string, account_no string, txn_cnt long, txn_amt decimal(28,2), "
+    "batch_id long, dt date"
+)
+
+
 def start_account_windows(
     rows: DataFrame, path: str, checkpoint: str, width: str = WINDOW, finite: bool = False, files: int = 16
 ) -> StreamingQuery:
     """Keep account windows up to date in files, open windows included.
 
     Update mode: each batch writes the new totals of the windows it touched to
-    a folder per day and batch, replacing it if the batch is retried. A day whose
+    folders of its own, one for each day, and then publishes them in the path's log, all at once: a reader has a
+    batch wholly or not at all, and a retried batch takes the place of its first try. A day whose
     windows are closed is rolled up by ``compact_days``. ``files`` is the
     number of files per day and batch; without it every state partition would
     write one for every day.
@@ -113,17 +121,24 @@ def start_account_windows(
     path that already holds batches is refused unless the checkpoint has them too.
     """
     spark = rows.sparkSession
-    if _has_batches(spark, path) and not _has_batches(spark, f"{checkpoint.rstrip('/')}/commits", "*"):
+    if SnapshotLog(spark, path).versions() and not _children(spark, f"{checkpoint.rstrip('/')}/commits", "*"):
         raise ValueError(f"{path} holds batches that the checkpoint {checkpoint} does not know; take a new path")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        piece = F.pmod(F.xxhash64("channel", "account_no", "window.start"), F.lit(files))
+        log = SnapshotLog(batch.sparkSession, path)
+        folder, piece = log.fresh(), F.pmod(F.xxhash64("channel", "account_no", "window.start"), F.lit(files))
         (
-            batch.withColumns({"dt": F.to_date("window.start"), "batch_id": F.lit(batch_id)})
-            .repartition("dt", piece)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt", "batch_id").parquet(path)
+            batch.withColumns({"dt": F.to_date("window.start"), "batch_id": F.lit(batch_id).cast("long")})
+            .repartition("dt", piece).write.partitionBy("dt").parquet(f"{log.root}/{folder}")
         )
+        days = _children(batch.sparkSession, f"{log.root}/{folder}", "dt=*")
+        new = {f"{day.removeprefix('dt=')}/{batch_id}": f"{folder}/{day}" for day in days}
+
+        def edit(now: dict[str, str]) -> Edits:
+            again = {name: None for name in now if name.endswith(f"/{batch_id}")}
+            return {**again, **new}
+
+        log.commit(edit)
 
     writer = (
         account_windows(rows, width).writeStream.outputMode("update")
@@ -132,32 +147,42 @@ def start_account_windows(
     return (writer.trigger(availableNow=True) if finite else writer).start()
 
 
-def _has_batches(spark: SparkSession, path: str, pattern: str = "dt=*") -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
-    return bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder))
+def _children(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder) or []
+    return [entry.getPath().getName() for entry in found]
+
+
+def _read(log: SnapshotLog, folders: list[str]) -> DataFrame:
+    reader = log.spark.read.schema(_UPDATES).option("basePath", log.root)
+    return reader.parquet(*log.located(folders))
 
 
 def compact_days(spark: SparkSession, path: str, compacted: str, before: str) -> list[str]:
     """Rolls up each day earlier than ``before``, whose windows must be closed; returns the days.
 
-    A day's newest totals go to ``compacted``, one folder a day, and then its
-    folders per batch are removed. A day is read from ``compacted`` as soon as it is
-    whole there, so this can be repeated after a failure.
+    A day's newest totals go to ``compacted``, and then the path's log forgets its
+    batches. A day is read from ``compacted`` as soon as its log has it, so this can
+    be repeated after a failure. ``vacuum_windows`` removes the folders.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    days = sorted(e.getPath().getName().removeprefix("dt=") for e in files.listStatus(root) if e.getPath().getName().startswith("dt="))
-    done = [dt for dt in days if dt < before]
+    source, target = SnapshotLog(spark, path), SnapshotLog(spark, compacted)
+    state = source.state()
+    done = sorted({name.partition("/")[0] for name in state if name < before})
     for dt in done:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={dt}")
-        target = f"{compacted.rstrip('/')}/dt={dt}"
-        if not _has_batches(spark, target, "_SUCCESS"):
-            newest = _newest(spark.read.option("basePath", path).parquet(f"{path}/dt={dt}"))
-            newest.write.mode("overwrite").parquet(target)
-        files.delete(folder, True)
+        batches = {name: folder for name, folder in state.items() if name.startswith(f"{dt}/")}
+        if dt not in target.state():
+            folder = target.fresh(f"dt={dt}")
+            _newest(_read(source, list(batches.values()))).withColumn("batch_id", F.lit(0).cast("long")).write.parquet(f"{target.root}/{folder}")
+            target.commit(lambda now, dt=dt, folder=folder: {dt: folder})
+        source.commit(lambda now, batches=batches: {name: None for name in batches})
     return done
 
 
+def vacuum_windows(spark: SparkSession, path: str, keep: int = 2, older_than: float = 86_400.0) -> int:
+    """Removes folders of retried, failed and compacted batches; see ``SnapshotLog.vacuum``."""
+    return SnapshotLog(spark, path).vacuum("data/s-*/dt=*", keep, older_than)
+
+
 def _newest(updates: DataFrame) -> DataFrame:
     newest = updates.groupBy("window", "channel", "account_no").agg(
         F.max_by(F.struct("txn_cnt", "txn_amt"), "batch_id").alias("newest")
@@ -173,22 +198,65 @@ def read_channel_windows(
     ``since`` is the first day to read; earlier folders are not opened. Days in
     ``compacted`` are read from there.
     """
-    parts = []
-    if compacted and _has_batches(spark, compacted):
-        parts.append(spark.read.parquet(compacted).select("dt", "window", "channel", "account_no", "txn_cnt", "txn_amt"))
-    if _has_batches(spark, path):
-        updates = spark.read.parquet(path)
-        if parts:  # a day that is in both is whole in the first
-            rolled = parts[0].select("dt").distinct()
-            updates = updates.join(rolled, "dt", "left_anti")
-        parts.append(_newest(updates if not since else updates.where(F.col("dt") >= F.lit(since).cast("date"))).withColumn(
-            "dt", F.to_date("window.start")
-        ).select("dt", "window", "channel", "account_no", "txn_cnt", "txn_amt"))
-    if not parts:
+    log = SnapshotLog(spark, path)
+    rolled = SnapshotLog(spark, compacted) if compacted else None
+    days = {dt: folder for dt, folder in (rolled.state() if rolled else {}).items()}
+    if not log.versions() and not days:
         raise FileNotFoundError(f"no batches at {path}")
-    totals = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if since:
-        totals = totals.where(F.col("dt") >= F.lit(since).cast("date"))
+    batches = [
+        folder for name, folder in log.state().items()
+        if (dt := name.partition("/")[0]) not in days and (not since or dt >= since)
+    ]
+    closed = [folder for dt, folder in days.items() if not since or dt >= since]
+    totals = _newest(_read(log, batches) if batches else spark.createDataFrame([], _UPDATES))
+    if closed:
+        totals = totals.unionByName(_read(rolled, closed).select(*totals.columns))
     return roll_up_accounts(totals, "window", "channel").select(
         F.col("window.start").alias("window_start"), "channel", "txn_cnt", "txn_amt", "active_accounts"
     )
+
+
+# --- sketches ---------------------------------------------------------------------
+
+#: Registers of a sketch, as a power of two: its relative standard error is about 1.04 / sqrt(2 ** SKETCH).
+SKETCH = 12
+
+
+def sketch_windows(rows: DataFrame, width: str = WINDOW, precision: int = SKETCH) -> DataFrame:
+    """Count, amount and a sketch of the accounts per window and channel.
+
+    State is one sketch for each window and channel, of a few kilobytes however many
+    accounts there are; sketches of a busy channel are merged before the shuffle.
+    """
+    return (
+        rows.groupBy(F.window("txn_ts", width), "channel")
+        .agg(
+            F.count(F.lit(1)).alias("txn_cnt"), F.sum("trans_amt").alias("txn_amt"),
+            F.hll_sketch_agg("account_no", F.lit(precision)).alias("accounts"),
+        )
+        .select(F.col("window.start").alias("window_start"), "channel", "txn_cnt", "txn_amt", "accounts")
+    )
+
+
+def roll_up_sketches(windows: DataFrame, width: str, *group: str) -> DataFrame:
+    """Sketch windows of a smaller width to ``width``, by ``group`` ("channel" by default); accounts of several are counted once.
+
+    Nothing but the windows is read: an hour or a day needs no transactions. ``width`` must be a
+    multiple of theirs.
+    """
+    keys = group or ("channel",)
+    return (
+        windows.groupBy(F.window("window_start", width), *keys)
+        .agg(F.sum("txn_cnt").alias("txn_cnt"), F.sum("txn_amt").alias("txn_amt"), F.hll_union_agg("accounts").alias("accounts"))
+        .select(F.col("window.start").alias("window_start"), *keys, "txn_cnt", "txn_amt", "accounts")
+    )
+
+
+def estimated(windows: DataFrame) -> DataFrame:
+    """Sketch windows with ``active_accounts``, the estimated number of accounts, in the sketch's place."""
+    return windows.withColumn("active_accounts", F.hll_sketch_estimate("accounts")).drop("accounts")
+
+
+def error_bound(exact: Column, precision: int = SKETCH, deviations: float = 4.0) -> Column:
+    """How far an estimate may lie from the exact count: ``deviations`` standard errors, and one for rounding."""
+    return exact * F.lit(deviations * 1.04 / 2 ** (precision / 2)) + 1
