@@ -25,6 +25,8 @@ from ledgerlake.llm.common import ship, written
 SCALE, SHIFT = 64, 1_000_000
 #: Points of the quadrature on the upper half of a contour; rounds of an interval; eigenvalues of an interval; residual.
 POINTS, ROUNDS, INTERVAL, TOLERANCE = 8, 60, 8, 1e-13
+#: Share of the matrix's norm up to which an eigenvalue is none.
+ZERO = 1e-12
 #: Counts of eigenvalues among which a cut takes the one at the widest gap.
 CHOICE = 4
 #: Rows that are multiplied at a time.
@@ -135,14 +137,14 @@ def feast(matrix: np.ndarray, low: float, high: float, count: int, seed: int = 0
 def leading(matrix: np.ndarray, most: int) -> Pairs:
     """The eigenpairs of the `most` greatest positive eigenvalues of a covariance, falling; fewer if its rank is less.
 
-    Eigenvalues within rounding of zero are none.
+    Eigenvalues of up to ZERO times the matrix's norm are none: rounding leaves nothing certain there.
     """
     scale = float(np.abs(matrix).sum(axis=1).max()) if len(matrix) else 0.0
     if scale <= 0:
         return Pairs(np.zeros(0), np.zeros((len(matrix), 0)))
     matrix = matrix / scale
     inertia = Inertia(matrix)
-    high, zero = 1.0 + 1e-9, len(matrix) * 1e-14
+    high, zero = 1.0 + 1e-9, ZERO
     rank = inertia.above(zero)
     if not rank:
         return Pairs(np.zeros(0), np.zeros((len(matrix), 0)))
