@@ -128,11 +128,11 @@ def start_account_windows(
         log = SnapshotLog(batch.sparkSession, path)
         folder, piece = log.fresh(), F.pmod(F.xxhash64("channel", "account_no", "window.start"), F.lit(files))
         (
-            batch.withColumns({"dt": F.to_date("window.start"), "batch_id": F.lit(batch_id).cast("long")})
-            .repartition("dt", piece).write.partitionBy("dt").parquet(f"{log.root}/{folder}")
+            batch.withColumns({"dt": F.to_date("window.start"), "batch_id": F.lit(batch_id).cast("long"), "day": F.to_date("window.start")})
+            .repartition("dt", piece).write.partitionBy("day").parquet(f"{log.root}/{folder}")
         )
-        days = _children(batch.sparkSession, f"{log.root}/{folder}", "dt=*")
-        new = {f"{day.removeprefix('dt=')}/{batch_id}": f"{folder}/{day}" for day in days}
+        days = _children(batch.sparkSession, f"{log.root}/{folder}", "day=*")
+        new = {f"{day.removeprefix('day=')}/{batch_id}": f"{folder}/{day}" for day in days}
 
         def edit(now: dict[str, str]) -> Edits:
             again = {name: None for name in now if name.endswith(f"/{batch_id}")}
@@ -154,8 +154,8 @@ def _children(spark: SparkSession, path: str, pattern: str) -> list[str]:
 
 
 def _read(log: SnapshotLog, folders: list[str]) -> DataFrame:
-    reader = log.spark.read.schema(_UPDATES).option("basePath", log.root)
-    return reader.parquet(*log.located(folders))
+    # folders' names say nothing that the rows don't
+    return log.spark.read.schema(_UPDATES).option("recursiveFileLookup", True).parquet(*log.located(folders))
 
 
 def compact_days(spark: SparkSession, path: str, compacted: str, before: str) -> list[str]:
@@ -172,7 +172,8 @@ def compact_days(spark: SparkSession, path: str, compacted: str, before: str) ->
         batches = {name: folder for name, folder in state.items() if name.startswith(f"{dt}/")}
         if dt not in target.state():
             folder = target.fresh(f"dt={dt}")
-            _newest(_read(source, list(batches.values()))).withColumn("batch_id", F.lit(0).cast("long")).write.parquet(f"{target.root}/{folder}")
+            totals = _newest(_read(source, list(batches.values())))
+            totals.withColumns({"batch_id": F.lit(0).cast("long"), "dt": F.to_date("window.start")}).write.parquet(f"{target.root}/{folder}")
             target.commit(lambda now, dt=dt, folder=folder: {dt: folder})
         source.commit(lambda now, batches=batches: {name: None for name in batches})
     return done
@@ -180,7 +181,7 @@ def compact_days(spark: SparkSession, path: str, compacted: str, before: str) ->
 
 def vacuum_windows(spark: SparkSession, path: str, keep: int = 2, older_than: float = 86_400.0) -> int:
     """Removes folders of retried, failed and compacted batches; see ``SnapshotLog.vacuum``."""
-    return SnapshotLog(spark, path).vacuum("data/s-*/dt=*", keep, older_than)
+    return SnapshotLog(spark, path).vacuum("data/s-*/day=*", keep, older_than)
 
 
 def _newest(updates: DataFrame) -> DataFrame:

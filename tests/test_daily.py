@@ -169,3 +169,30 @@ def test_quality_of_a_day(run):
     lake, _ = run
     assert {r.rule for r in daily.check_day(lake, D1).collect()} >= {"null_key", "duplicate_key", "orphan_account"}
     assert "row_count_drift" in {r.rule for r in daily.check_day(lake, D2, D1).collect()}
+
+
+def test_loads_count_what_the_rules_need(spark, run):
+    lake, _ = run
+    counted = {(r.rule, r.table_name): (r.failed, r.total) for r in daily.load_report(lake, D1).collect()}
+    from ledgerlake.operators import checks
+
+    for r in checks.quality_report(daily.day_sources(lake, D1)).collect():
+        if (r.rule, r.table_name) in counted:
+            assert counted[r.rule, r.table_name] == (r.failed, r.total)
+    assert ("balance_identity", "balance") in counted and len(counted) == 17
+    report = {(r.rule, r.table_name): r.failed for r in daily.check_day(lake, D2, D1).collect()}
+    assert {t for rule, t in report if rule == "row_count_drift"} == set(SOURCES)
+
+
+def test_one_pass_gives_the_four_views(run):
+    lake, _ = run
+    rows = lake.read_day("sat_transaction", D1)
+    for data in (rows, rows.limit(0)):
+        for computed in (False, True):
+            views = insights.cube_views(insights.transaction_cube(data), computed)
+            known = {
+                "hourly_trend": insights.hourly_trend(data), "channel_distribution": insights.channel_distribution(data),
+                "transaction_summary": insights.transaction_summary(data), "risk_overview": insights.risk_overview(data, computed_rates=computed),
+            }
+            for name, df in known.items():
+                assert [tuple(r) for r in views[name].collect()] == [tuple(r) for r in df.collect()], name

@@ -2,6 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 from ledgerlake.operators import checks, history, patterns, vault
+from ledgerlake.schemas import SOURCES
 from ledgerlake.sources import feed
 
 D1, D2, D3 = "2026-06-13", "2026-06-14", "2026-06-15"
@@ -39,6 +40,24 @@ def test_versions_carry_close_open_and_end(spark):
     assert ("D", D1, OPEN, True) in shape(kept)
 
 
+def test_untracked_attributes_are_those_of_today(spark):
+    first = day(spark, D1, ("a", "A", "old street"), ("b", "B", "x"))
+    second = history.next_customer_versions(first, day(spark, D2, ("a", "A", "new street"), ("b", "B2", "y")), D2)
+    rows = sorted((r.cust_level, r.address, str(r.load_date), r.is_current) for r in second.collect())
+    assert rows == [("A", "new street", D1, True), ("B", "x", D1, False), ("B2", "y", D2, True)]
+    third = history.next_customer_versions(second, day(spark, D3, ("a", "A", None), ("b", "B2", "y")), D3)
+    assert sorted((r.cust_level, r.address, str(r.load_date)) for r in third.collect()) == [("A", None, D1), ("B2", "y", D2)]
+
+
+def test_tracked_attributes_are_a_parameter(spark):
+    def tracked(dt, *rows):
+        sources = {n: spark.createDataFrame([], s.schema) for n, s in SOURCES.items()}
+        return vault.build_vault({**sources, "customer": customers(spark, *rows)}, dt, ("cust_level", "address"))["sat_customer"]
+
+    moved = history.next_customer_versions(tracked(D1, ("a", "A", "x")), tracked(D2, ("a", "A", "y")), D2)
+    assert shape(moved) == [("A", D1, D2, False), ("A", D2, OPEN, True)]
+
+
 def test_third_day_ignores_closed_rows_and_a_return_opens_anew(spark):
     first = day(spark, D1, ("a", "A", "x"), ("b", "B", "x"))
     second = history.next_customer_versions(first, day(spark, D2, ("a", "A2", "x")), D2)
@@ -152,6 +171,39 @@ def test_fast_in_out(spark):
     assert sorted(found) == ["edge", "late", "limit", "quick", "twice", "twice"]
 
 
+def in_out_rows(spark, rows):
+    made = spark.createDataFrame([(a, f, Decimal(v), "2026-06-14 " + t) for a, f, v, t in rows], "account_no string, dr_cr_flag string, trans_amt decimal(18,2), t string")
+    return made.selectExpr("*", "cast(t as timestamp) as trans_time")
+
+
+def test_split_sums_find_the_same(spark):
+    rows = in_out_rows(spark, [*IN_OUT, (None, "C", 200000, "10:00:00")])
+    assert sorted(map(str, patterns.fast_in_out_split(rows).collect())) == sorted(map(str, patterns.fast_in_out(rows).collect()))
+
+
+def test_a_hot_account_is_cut_into_ranges(spark):
+    import random
+
+    rng = random.Random(4)
+    # one account has most rows, many of them in the same second
+    rows = [
+        ("hot" if rng.random() < 0.7 else rng.choice("abc"), rng.choice("CDD"), rng.randint(1, 300), f"10:{rng.choice([5, rng.randint(0, 59)]):02d}:{rng.randint(0, 9):02d}")
+        for _ in range(4000)
+    ]
+    frame = in_out_rows(spark, rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = patterns.fast_in_out_split(frame, "1 minute", Decimal("100"), 0.5)
+        assert sorted(map(str, found.collect())) == sorted(map(str, patterns.fast_in_out(frame, "1 minute", Decimal("100"), 0.5).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "[account_no" in plan and plan.count("Window") == 2
+    stored = spark.read.parquet(next(f for f in found.inputFiles()).rsplit("/", 1)[0])
+    parts = stored.where("account_no = 'hot'").selectExpr("shiftright(place, 33) as part").distinct().count()
+    assert parts >= 4
+
+
 def test_night_activity(spark):
     rows = spark.createDataFrame([("a", f"2026-06-14 {h}:00:00") for h in ("01", "02", "23", "12")] + [("b", "2026-06-14 01:00:00")],
                                  "account_no string, t string").selectExpr("account_no", "cast(t as timestamp) as trans_time", "1.5 as trans_amt")

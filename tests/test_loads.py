@@ -110,3 +110,27 @@ def test_short_and_long_lines_are_set_aside(spark, tmp_path):
     assert [r.account_no for r in delimited.type_rows(load, "account", "2026-06-14").collect()] == ["A1"]
     assert sorted(r[delimited.BAD_LINE] for r in aside.collect()) == sorted(lines[2:])
     assert {tuple(r.rejected) for r in aside.collect()} == {(delimited.BAD_LINE,)}
+
+
+def test_headers_of_many_files_are_found_by_tasks(spark, tmp_path, monkeypatch):
+    names = SOURCES["account"].schema.names
+    folder = tmp_path / "many files, named oddly"
+    folder.mkdir()
+    for k in range(300):
+        order = names if k % 3 else names[::-1]
+        lines = ["\t".join(order), "\t".join(f"{k}-{n}" for n in order), ""] if k % 10 else ["\ufeff" + "\t".join(order)]
+        (folder / f"p{k:03d} a.tsv").write_text("\n".join(lines))
+    (folder / "empty.tsv").write_text("")
+    (folder / "_hidden.tsv").write_text("x\ty\n1\t2\n")
+    opened = []
+    monkeypatch.setattr(type(spark._jvm.org.apache.hadoop.fs.Path("/")), "__call__", lambda *a: opened.append(a), raising=False)
+    found = delimited._headers(spark, [str(folder)])
+    assert len(found) == 2 and sum(map(len, found.values())) == 300 and not opened
+    rows = type_rows(read_text(spark, str(folder)), "account", DT).collect()
+    assert sorted(r.account_no for r in rows) == sorted(f"{k}-account_no" for k in range(300) if k % 10)
+    assert all(r.customer_id == r.account_no.replace("account_no", "customer_id") for r in rows)
+
+
+def test_no_files(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_text(spark, str(tmp_path / "nothing"))

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 import pytest
 
 from ledgerlake.operators import patterns
+from ledgerlake.session import STREAM_CONF
 from ledgerlake.sources import feed
-from ledgerlake.streaming import monitor
+from ledgerlake.sources.snapshots import SnapshotLog
+from ledgerlake.streaming import detect, monitor
 
 
 def row(time, account="a", amount=1, channel="ATM", **more):
@@ -150,6 +152,80 @@ def test_fast_in_out_as_a_stream(spark, tmp_path):
     assert [(str(r.in_time)[11:], str(r.last_out)[11:]) for r in got] == [("10:01:00", "10:03:00")]
 
 
+@pytest.fixture
+def rocksdb(spark):
+    for name, value in STREAM_CONF.items():
+        spark.conf.set(name, value)
+    yield
+    for name in STREAM_CONF:
+        spark.conf.unset(name)
+
+
+def alerts_of(spark, topic, tmp_path, **options):
+    found = detect.fast_in_out_alerts(timed(spark, topic), **options)
+    finish(monitor.start_append(found, str(tmp_path / "alerts"), str(tmp_path / "state"), finite=True))
+    rows = spark.read.schema(found.schema).parquet(str(tmp_path / "alerts")).collect()
+    return sorted((r.account_no, str(r.in_time)[11:], int(r.in_amt), int(r.out_amt), str(r.last_out)[11:]) for r in rows)
+
+
+def test_open_credits_meet_debits_of_later_batches(spark, tmp_path, rocksdb):
+    topic = Topic(tmp_path / "in")
+    topic.send(row("10:01:00", "quick", 200000, dr_cr_flag="C"), row("10:01:00", "slow", 200000, dr_cr_flag="C"), row("10:01:00", "small", 20, dr_cr_flag="C"))
+    topic.send(row("10:03:00", "quick", 100000, dr_cr_flag="D"), row("10:02:55", "quick", 90000, dr_cr_flag="D"))
+    topic.send(row("10:11:00", "quick", 5, dr_cr_flag="D"), row("11:00:00", "slow", 190000, dr_cr_flag="D"))
+    topic.send(row("13:00:00", "none", 1, dr_cr_flag="D"), row("13:00:00", None, 200000, dr_cr_flag="C"))
+    assert alerts_of(spark, topic, tmp_path) == [("quick", "10:01:00", 200000, 190005, "10:11:00")]
+
+
+def test_a_debit_may_come_before_its_credit(spark, tmp_path, rocksdb):
+    topic = Topic(tmp_path / "in")
+    topic.send(row("10:00:08", "a", 150000, dr_cr_flag="D"))
+    # the credit comes later than its debit, and twice in one second
+    topic.send(row("10:00:05", "a", 160000, dr_cr_flag="C"), row("10:00:05", "a", 150000, dr_cr_flag="C"), row("10:00:08", "a", 150000, dr_cr_flag="C"))
+    topic.send(row("12:00:00", "b", 1, dr_cr_flag="D"))
+    assert alerts_of(spark, topic, tmp_path) == [("a", "10:00:05", 150000, 150000, "10:00:08"), ("a", "10:00:05", 160000, 150000, "10:00:08")]
+
+
+def test_early_alerts_come_once(spark, tmp_path, rocksdb):
+    topic = Topic(tmp_path / "in")
+    topic.send(row("10:01:00", "a", 200000, dr_cr_flag="C"))
+    topic.send(row("10:03:00", "a", 170000, dr_cr_flag="D"))
+    topic.send(row("10:04:00", "a", 30000, dr_cr_flag="D"))
+    assert alerts_of(spark, topic, tmp_path, early=True) == [("a", "10:01:00", 200000, 170000, "10:03:00")]
+
+
+def test_a_half_written_batch_is_not_seen(spark, tmp_path, monkeypatch):
+    topic, out, cp = Topic(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    topic.send(row("10:00:01", "a"))
+    finish(monitor.start_account_windows(timed(spark, topic), out, cp, finite=True))
+    topic.send(row("10:00:02", "b"))
+    commit = SnapshotLog.commit
+
+    def killed(self, edit):
+        raise RuntimeError("killed before it published")
+
+    monkeypatch.setattr(SnapshotLog, "commit", killed)
+    with pytest.raises(Exception, match="killed"):
+        monitor.start_account_windows(timed(spark, topic), out, cp, finite=True).awaitTermination()
+    monkeypatch.setattr(SnapshotLog, "commit", commit)
+    assert [r[2] for r in stats(monitor.read_channel_windows(spark, out))] == [1]
+    finish(monitor.start_account_windows(timed(spark, topic), out, cp, finite=True))  # the batch is tried again
+    assert [(r[2], r[4]) for r in stats(monitor.read_channel_windows(spark, out))] == [(2, 2)]
+    assert monitor.vacuum_windows(spark, out, older_than=0) == 1
+
+
+def test_sketches_roll_up_without_the_accounts(spark):
+    rows = monitor.with_event_time(spark.range(60_000).select(
+        F.concat(F.lit("2026-06-14 1"), (F.col("id") % 3).cast("string"), F.lit(":"), F.lpad((F.col("id") % 7 * 8).cast("string"), 2, "0"), F.lit(":00")).alias("trans_time"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise("ATM").alias("channel"), (F.col("id") % 9001).cast("string").alias("account_no"),
+        F.lit(1).cast("decimal(18,2)").alias("trans_amt")))
+    day = monitor.estimated(monitor.roll_up_sketches(monitor.roll_up_sketches(monitor.sketch_windows(rows), "1 hour"), "1 day"))
+    exact = {r.channel: r.active_accounts for r in monitor.channel_windows(rows, "1 day").collect()}
+    for r in day.collect():
+        assert abs(r.active_accounts - exact[r.channel]) <= exact[r.channel] * 4 * 1.04 / 64 + 1
+    assert {r.channel: r.txn_cnt for r in day.collect()} == {"HOT": 20_000, "ATM": 40_000}
+
+
 def test_live_windows_read_from_a_day_on(spark, tmp_path):
     topic = Topic(tmp_path / "in")
     topic.send(row("23:59:59"), {**row("00:00:01"), "trans_time": "2026-06-15 00:00:01"})
