@@ -58,17 +58,25 @@ twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, g
 covered as (
   select doc_id, count(distinct i + k) as n_repeat_words from twice, (select unnest([0, 1, 2]) as k) group by doc_id
 ),
-marks as (
-  select doc_id, len(w) as n,
-    len(list_filter(w, lambda x: list_contains(['|', '»', '›', '·', '•', '/', '>', '>>', '::', '–', '—'], x))) as separators,
-    len(list_filter(w, lambda x: regexp_matches(x, '(?:[!?]{{2,}}|[#*$%&|<>^~=_+\\]+)[.,;:]?$'))) as marked,
+marked as (
+  select doc_id, line, w, len(w) as n, len(w) <= 30 as is_short,
+    -- separators between words; a bullet or dash at either end separates nothing
+    list_filter(range(1, len(w) - 1), lambda k: list_contains(['|', '»', '›', '·', '•', '/', '>', '>>', '::', '–', '—'], w[k + 1])) as places,
+    len(list_filter(w, lambda x: regexp_matches(x, '(?:[!?]{{2,}}|[#*$%&|<>^~=_+\\]+)[.,;:]?$'))) as marks,
     list_max(map_values(list_aggregate(w, 'histogram'))) as most,
-    regexp_matches(lower(line), 'javascript|cookie policy|cookies policy|use of cookies|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|sign in|log in|click here|read more|subscribe to our newsletter|skip to content') as phrase
+    regexp_matches(lower(line), '(^|[^\p{{L}}\p{{N}}_])(javascript|cookie policy|cookies policy|use of cookies|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|sign in|log in|click here|read more|subscribe to our newsletter|skip to content)($|[^\p{{L}}\p{{N}}_])') as phrase
   from l where len(w) > 0
 ),
+judged as (
+  select doc_id, n, marks, most, is_short, phrase, len(places) as separators,
+    -- two dashes enclose an aside, so a menu of dashes has three
+    2 + (len(list_filter(places, lambda k: not list_contains(['–', '—'], w[k + 1]))) = 0)::int as least,
+    list_max(list_transform(list_zip(list_concat([-1], places), list_concat(places, [n])), lambda x: x[2] - x[1] - 1)) as longest
+  from marked
+),
 kept as (
-  select doc_id, sum(n) as kept_words from marks
-  where not (separators > 0.15 * n or marked > 0.3 * n or (n >= 10 and most > 0.3 * n) or (n <= 30 and phrase))
+  select doc_id, sum(n) as kept_words from judged
+  where not ((separators >= least and separators > 0.15 * n and longest <= 4) or marks > 0.3 * n or (n >= 10 and most > 0.3 * n) or (is_short and phrase))
   group by doc_id
 ),
 counts as (
