@@ -43,6 +43,8 @@ FALSE = (
     "credentials were checked at the door", "the token economy grows", "password managers help people", "his secretary called again",
     "strong passwords matter most", "each token has a number", "secret recipes from home", "auth flow diagrams explain this",
     "the password must have eight letters", "authors and editors met", "secret: be kind to people", "password protection is on",
+    "password: required", "auth: basic", "token: expired", "auth: none", "password: optional", "secret: true", "token: bearer", "credentials: include",
+    "password: the word that opens a door", "auth: see below", "token: a unit of text", "passwords: never shared", "password: hidden from view",
     # stand-ins behind a name
     "password=changeme", "password: changeme", "password = your_password", "api_key=YOUR_API_KEY_HERE_2", "token: <your-token>",
     "password=example123", "secret = dummyvalue12", "password: xxxxxxxx", "password = ${DB_PASSWORD}", "postgres://user:changeme@localhost/db",

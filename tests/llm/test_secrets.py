@@ -45,7 +45,7 @@ def test_forest_tells_false_positives(spark):
     rows = [(k, f"set api_key = {h} now") for k, h in enumerate(f"{(k * 2654435761 + 12345) ** 3:024x}"[-24:] for k in range(1, 60))]
     rows += [(1000 + k, f"see report-version-{k}-final-2024 here") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = secret_scan.candidates(docs)
+    found = covered(spark, docs)
     labelled = found.withColumn("label", (found.doc_id < 1000).cast("int"))
     got = {r.doc_id for r in secret_scan.scan(docs, labelled.filter("doc_id % 2 = 0"), path_col=None).collect()}
     assert len([k for k in got if k < 1000]) >= 55 and len([k for k in got if k >= 1000]) <= 3
@@ -63,8 +63,13 @@ def texts(spark, lines):
     return spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
 
 
+def covered(spark, docs):
+    """The candidates of docs, by a dictionary of their own words."""
+    return secret_scan.with_coverage(secret_scan.candidates(docs), secret_scan.dictionary(docs))
+
+
 def labels(spark, lines):
-    found = secret_scan.candidates(texts(spark, lines))
+    found = covered(spark, texts(spark, lines))
     return {r.secret: r.label for r in found.withColumn("label", secret_scan.certain_label(found)).collect()}
 
 
@@ -75,10 +80,72 @@ def test_any_word_behind_a_name_is_a_candidate(spark):
     assert {(r.named, r.assigned) for r in rows} == {(1.0, 1.0)}
 
 
-def test_short_secrets_go_as_whole_words(spark):
-    rows = spark.createDataFrame([("an ant: \\Ea, 'ant' (ant) ants", "ant", "k"), (r"x a\E.b y a\Ecb", r"a\E.b", "k")], "text string, secret string, kind string")
-    found = rows.select(secret_scan._masked(F.col("text"), F.struct("secret", "kind")).alias("t")).collect()
-    assert [r.t for r in found] == ["an [k]: \\Ea, '[k]' ([k]) ants", r"x [k] y a\Ecb"]
+def test_secrets_go_where_they_were_found(spark):
+    rows = spark.createDataFrame([
+        ("an ant:  'ant'\n(ant) ants ", {3: ("ant", "k")}), ("x a\\E.b\ty", {1: ("a\\E.b", "k")}), ("pw=s3cr3ts3cr3t\n\n", {0: ("s3cr3ts3cr3t", "long")}), ("as it was ", {}),
+    ], "text string, masks map<long, struct<secret: string, kind: string>>")
+    found = rows.select(secret_scan._masked(F.col("text"), F.col("masks")).alias("t")).collect()
+    assert [r.t for r in found] == ["an ant:  'ant'\n([k]) ants ", "x [k]\ty", "pw=[long]\n\n", "as it was "]
+
+
+PROSE = [
+    "author: Hemingway", "Authors: Smith2019, Jones2020", "password: required", "auth: basic", "authority: Rome1234", "tokenise: words5", "secretary: Miller77",
+    "The authentication: done2024", "coauthor=Smith20190101x is named here", "compass: north99", "a passport: P1234567890X", "tokens: 4096", "the password is required by the server",
+]
+
+
+def test_prose_is_no_secret(spark):
+    found = [(r.doc_id, r.secret) for r in secret_scan.scan(texts(spark, PROSE), path_col=None).collect()]
+    assert [f for f in found if f[0] not in (8, 10)] == [], found
+    clean = {r.doc_id: r.text for r in secret_scan.redact(texts(spark, PROSE), path_col=None).collect()}
+    assert all(clean[k] == line for k, line in enumerate(PROSE) if k not in (8, 10))
+
+
+def test_names_stand_free(spark):
+    yes = ["password=", "db_password: ", "DB-PASSWORD=", "dbPassword=", "userToken: ", "api-key=", "apiKey: ", "AUTH_TOKEN=", "x.secret=", "(pwd=", "credentials: ", "password_hash="]
+    no = ["author: ", "Authors=", "authority ", "compass=", "secretary: ", "tokenise ", "mypasswordx=", "coauth=", "passport: ", "authentic "]
+    rows = [(k, line) for k, line in enumerate(yes + no)]
+    found = {r.k: r.hit for r in spark.createDataFrame(rows, "k int, line string").select("k", F.col("line").rlike(secret_scan.NAME).alias("hit")).collect()}
+    assert [found[k] for k in range(len(rows))] == [True] * len(yes) + [False] * len(no)
+
+
+def plain_candidates(text):
+    """Numbers of the candidate words of a text, by the rules as the module states them."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    name = re.compile(
+        r"(?<![A-Za-z0-9])(?i:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)s?(?![A-Za-z])"
+        r"|(?<=[a-z0-9])(?:Password|Passwd|Passphrase|Pwd|Secret|Token|ApiKey|AccessKey|Credential)s?(?![a-z])"
+    )
+    out = []
+    for k, w in enumerate(words):
+        m = name.search(w)
+        assigns = m and re.match(r"(?:[_\-.][A-Za-z0-9_\-.]*)?[\"']?[=:][\"']?[^\"']{6,}", w[m.end() :])
+        near = any(name.search(x) for x in words[max(0, k - 2) : k]) and any(c.isalnum() for c in w)
+        long = len(w) >= 12 and re.search("[0-9]", w)
+        login = re.search(r"[A-Za-z][A-Za-z0-9+.\-]*://[^/?#:@]*:[^/]+@", w)
+        if assigns or near or long or login or re.search(secret_scan.KEY, w):
+            out.append(k)
+    return out
+
+
+def test_candidates_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(texts(spark, PROSE).selectExpr("doc_id + 100000", "text"))
+    known = {r.doc_id: plain_candidates(r.text or "") for r in docs.collect()}
+    found = {}
+    for r in secret_scan.candidates(docs).select("doc_id", "word").collect():
+        found.setdefault(r.doc_id, []).append(r.word)
+    assert {k: sorted(v) for k, v in found.items()} == {k: v for k, v in known.items() if v}
+
+
+def test_dictionary_and_coverage(spark):
+    docs = texts(spark, ["plain lines (stood) here", "plain lines again here", "plain Lines! x1y2", "q" * 30, "password: hushhush", "password = hushhush", "once"])
+    known = {r.part for r in secret_scan.dictionary(docs, size=2).collect()} - set(secret_scan.COMMON)
+    assert known == {"plain", "lines"}
+    known = secret_scan.dictionary(docs)
+    assert {r.part for r in known.collect()} - set(secret_scan.COMMON) == {"plain", "lines", "here"}
+    found = secret_scan.with_coverage(secret_scan.candidates(texts(spark, ["password=plainLines99", "password: here44"])), known)
+    assert {r.secret: round(r.coverage, 3) for r in found.collect()} == {"plainLines99": 0.833, "here44": 0.667}
 
 
 def test_no_form_is_certainly_none_behind_a_name(spark):
