@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ship, written
+from ledgerlake.llm.common import discard, ship, written
 
 MAGIC, CRLF = "WARC/1.1\r\n", "\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -137,22 +137,52 @@ def reach(links: DataFrame) -> DataFrame:
     """Rows (file, at) that the chain from place 0 of each file passes; links: (file, at, next), a written table.
 
     Pointer jumping: each round doubles the length of all jumps and adds what one
-    jump from the reached places hits, so a chain of n records takes log2(n) rounds.
+    jump from the reached places hits, so a chain of n records takes log2(n) rounds. A round's tables
+    go when the next round's are written. Numbers pack so well that a table's size says little of its
+    rows, so joins are by sort, whatever the size.
     """
-    reached = links.filter("at = 0").select("file", "at")
-    jumps, n = links, -1
+    reached = written(links.filter("at = 0").select("file", "at"), "warc-reached")
+    jumps, n, known = links, -1, links.select("file", "at")
     while True:
-        hit = reached.join(jumps, ["file", "at"]).select("file", F.col("next").alias("at"))
-        known = links.select("file", "at")
-        reached = written(reached.union(hit.join(known, ["file", "at"], "left_semi")).distinct(), "warc-reached")
-        now = reached.count()
+        hit = reached.join(jumps.hint("merge"), ["file", "at"]).select("file", F.col("next").alias("at"))
+        more = written(reached.union(hit.join(known.hint("merge"), ["file", "at"], "left_semi")).distinct(), "warc-reached")
+        discard(reached)
+        reached, now = more, more.count()
         if now == n:
-            return reached
+            break
         n = now
         ahead = jumps.select("file", F.col("at").alias("next"), F.col("next").alias("after"))
-        jumps = written(
-            jumps.join(ahead, ["file", "next"]).select("file", "at", F.col("after").alias("next")), "warc-jumps"
+        doubled = written(
+            jumps.join(ahead.hint("merge"), ["file", "next"]).select("file", "at", F.col("after").alias("next")), "warc-jumps"
         )
+        if jumps is not links:
+            discard(jumps)
+        jumps = doubled
+    if jumps is not links:
+        discard(jumps)
+    return reached
+
+
+def _owners(placed: DataFrame, cut: DataFrame) -> DataFrame:
+    """(file, block, local, record): the pieces that lie inside records of `cut`, by their places.
+
+    A piece's record is the last that begins at it or before it: in its own block, or else
+    the last of the blocks before.
+    """
+    begins = placed.select("file", "block", "at", "local").join(
+        cut.select("file", F.col("record").alias("at"), F.struct("record", "next").alias("own")).hint("merge"), ["file", "at"], "left"
+    )
+    begins = written(begins, "warc-begins")
+    in_block = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blocks_before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = begins.groupBy("file", "block").agg(F.max("own").alias("own")).select(
+        "file", "block", F.last("own", ignorenulls=True).over(blocks_before).alias("before")
+    )
+    found = begins.withColumn("own", F.last("own", ignorenulls=True).over(in_block)).join(carried, ["file", "block"])
+    found = found.withColumn("own", F.coalesce("own", "before")).filter(F.col("at") < F.col("own.next"))
+    owners = written(found.select("file", "block", "local", F.col("own.record").alias("record")), "warc-owners")
+    discard(begins)
+    return owners
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -160,41 +190,51 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     Archives may be uncompressed, and then are read in splits, or gzip files as a
     whole. Bytes before the first record make a file unreachable, and it gives
-    no rows; so do records behind a broken length. An empty folder gives no rows.
+    no rows; so do records behind a broken length. An empty folder gives no rows. A payload may be of
+    any length: one that holds the magic is put together from its pieces in one task.
     """
     ship(spark)
     parsed = written(_segments(spark, path).mapInPandas(_candidates, _SEGMENT), "warc-candidates")
+    numbers = written(parsed.select("file").distinct().withColumn("number", F.monotonically_increasing_id()), "warc-files")
+    rows = parsed.withColumnRenamed("file", "name").join(numbers.select(F.col("file").alias("name"), F.col("number").alias("file")), "name").drop("name")
     # a block's first piece begins where those of the blocks before end; the piece ahead of the first magic is empty
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        parsed.groupBy("file", "block").agg(F.sum("size").alias("n"))
+        rows.groupBy("file", "block").agg(F.sum("size").alias("n"))
         .select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     )
-    placed = parsed.join(starts, ["file", "block"]).withColumn("at", F.col("at") + F.col("start") - len(MAGIC))
+    placed = rows.join(written(starts, "warc-starts"), ["file", "block"]).withColumns(
+        {"local": F.col("at"), "at": F.col("at") + F.col("start") - len(MAGIC)}
+    )
     placed = placed.drop("start").filter("at >= 0")
     links = written(placed.filter("span is not null").select("file", "at", (F.col("at") + F.col("span")).alias("next")), "warc-links")
-    real = written(
-        placed.join(reach(links), ["file", "at"]).drop("block", "size").withColumn("next", F.col("at") + F.col("span")), "warc-records"
-    )
+    real = placed.join(reach(links).hint("merge"), ["file", "at"]).drop("size").withColumn("next", F.col("at") + F.col("span"))
+    real = written(real, "warc-records")
+    fields = ["file", "at", "kind", "id", "uri", "refers", "declared", "http_length", "payload_bytes", "payload_digest"]
+
+    def named(records: DataFrame) -> DataFrame:
+        names = numbers.select(F.col("file").alias("name"), F.col("number").alias("file"))
+        return records.select(*fields).join(names, "file").drop("file").withColumnRenamed("name", "file").select(*fields)
+
     whole = real.filter("payload_digest is not null")
     cut = written(real.filter("payload_digest is null").select("file", F.col("at").alias("record"), "next"), "warc-cut")
-    fields = ["file", "at", "kind", "id", "uri", "refers", "declared", "http_length", "payload_bytes", "payload_digest"]
     if cut.isEmpty():
-        return whole.select(*fields)
+        return named(whole)
     # payloads that hold the magic: their pieces, joined again
-    pieces = _segments(spark, path).mapInPandas(_places, "file string, block long, at long, value binary")
-    pieces = pieces.join(starts, ["file", "block"]).withColumn("at", F.col("at") + F.col("start") - len(MAGIC))
-    owned = pieces.alias("p").join(
-        cut.alias("c"), (F.col("p.file") == F.col("c.file")) & (F.col("p.at") >= F.col("c.record")) & (F.col("p.at") < F.col("c.next"))
+    owners = _owners(placed, cut).join(numbers.select(F.col("file").alias("name"), F.col("number").alias("file")), "file")
+    pieces = _segments(spark, path).mapInPandas(_places, "file string, block long, at long, value binary").select(
+        F.col("file").alias("name"), "block", F.col("at").alias("local"), "value"
+    )
+    joined = pieces.join(owners, ["name", "block", "local"]).groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("block", "local", "value"))).alias("parts")
     )
-    joined = owned.groupBy("c.file", "c.record").agg(F.array_sort(F.collect_list(F.struct("p.at", "value"))).alias("parts"))
     magic = F.lit(MAGIC).cast("binary")
     raw = joined.select("file", F.col("record").alias("at"), F.aggregate(
         "parts", F.lit(b""), lambda a, x: F.concat(a, magic, x["value"])
     ).alias("raw"))
-    mended = raw.mapInPandas(_mend, "file string, at long, http_length long, payload_bytes long, payload_digest string")
+    mended = raw.mapInPandas(_mend, "file long, at long, http_length long, payload_bytes long, payload_digest string")
     late = real.filter("payload_digest is null").drop("http_length", "payload_bytes", "payload_digest").join(mended, ["file", "at"])
-    return whole.select(*fields).unionByName(late.select(*fields))
+    return named(whole.select(*fields).unionByName(late.select(*fields)))
 
 
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
