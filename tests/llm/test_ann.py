@@ -1,6 +1,6 @@
 import numpy as np
 
-from ledgerlake.llm.ann import Forest, nearest
+from ledgerlake.llm.ann import ROUTES, Forest, _plan, nearest
 from ledgerlake.llm.queries import QUERIES
 from pyspark.sql import functions as F
 
@@ -46,6 +46,57 @@ def test_clusters_need_few_candidates():
     assert hits >= 450 and np.mean(sizes) < 200
 
 
+def table_of(spark, vectors):
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def recall(vectors, found, k=5):
+    truth = exact(np.arange(len(vectors)), vectors, k)
+    assert set(found.query_id) == set(truth)
+    return sum(len(truth[q] & set(g.vec_id)) for q, g in found.groupby("query_id")) / (k * len(truth))
+
+
+def blocks_met(spark, vectors, block):
+    rows = table_of(spark, vectors).select(F.col("vec_id").alias("row"), F.col("embedding").alias("vec"), F.size("embedding").alias("dim"))
+    (trees, depth, level), = _plan(rows, 5, block).values()
+    return trees << (depth - level), 1 << depth, trees
+
+
+def test_queries_of_clusters_meet_few_blocks_and_fewer_as_the_table_grows(spark):
+    rng = np.random.default_rng(5)
+    shares = []
+    for clusters in (150, 600):
+        centres = rng.standard_normal((clusters, 32))
+        vectors = np.repeat(centres, 20, axis=0) + 0.05 * rng.standard_normal((20 * clusters, 32))
+        met, blocks, trees = blocks_met(spark, vectors, 128)
+        shares.append(met / blocks / trees)
+        found = nearest(table_of(spark, vectors), F.col("vec_id") % 50 == 0, block=128).toPandas()
+        assert recall(vectors, found) >= 0.9
+    assert shares[1] <= shares[0] / 2 and shares[1] <= 0.1
+
+
+def test_without_structure_all_blocks_are_met(spark):
+    vectors = np.random.default_rng(6).standard_normal((1000, 48))
+    met, blocks, trees = blocks_met(spark, vectors, 128)
+    assert met <= blocks and trees <= ROUTES
+    found = nearest(table_of(spark, vectors), F.col("vec_id") % 50 == 0, block=128).toPandas()
+    assert recall(vectors, found) >= 0.9
+
+
+def test_a_third_of_equal_vectors_and_two_lengths(spark):
+    rng = np.random.default_rng(7)
+    same, others, short = np.ones((400, 8)), rng.standard_normal((800, 8)), rng.standard_normal((30, 3))
+    rows = [(i, v.tolist()) for i, v in enumerate([*same, *others, *short])]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, block=100).toPandas()
+    for q in (0, 50, 350):
+        got = found[found.query_id == q].sort_values("rank")
+        assert got.vec_id.tolist() == [i for i in range(6) if i != q][:5] and (abs(got.score - 1) < 1e-12).all()
+    assert (found.groupby("query_id").size() == 5).all() and not found.duplicated(["query_id", "vec_id"]).any()
+    last = found[found.query_id == 1200]
+    assert (last.vec_id >= 1200).all() and not (found[found.query_id < 1200].vec_id >= 1200).any()
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
