@@ -234,37 +234,56 @@ def _block_pairs(
     long = long.join(member, "id", "left").withColumn("id", F.coalesce("member", "id")).drop("member")
     long = long.join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
     long = written(long.withColumn("component", F.coalesce("component", "id")), "jaccard-long")
-    open_lists = long.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("list")
-    rows = long.join(written(open_lists, "jaccard-open"), "list").join(nodes.select("id", "bits"), "id")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    rows = rows.withColumn("own", own).select("*", other.alias("other"))
-    rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    found = _blocks(long, nodes)
 
     def pair(frame):
-        """Pairs within block i if i = j, else of block i with block j."""
-        same = int(frame["i"].iloc[0]) == int(frame["j"].iloc[0])
-        left = frame if same else frame[frame["own"] == frame["i"]]
-        right = frame if same else frame[frame["own"] == frame["j"]]
-        a, b = _block_matches(left, right, same, t, nearest)
+        """Pairs of asking rows with the others."""
+        asks = frame["asks"].to_numpy()
+        a, b = _block_matches(frame[asks], frame[~asks], t, nearest)
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    found = rows.select("list", "i", "j", "own", "id", "n", "pos", F.coalesce("prev", "id").alias("prev"), "component", "bits")
     return found.groupBy("list", "i", "j").applyInPandas(pair, "a long, b long")
 
 
+def _blocks(long: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of lists with several components, with the chunk i and block j in which they meet; `asks` tells the sides.
+
+    Rows of a list's largest component need not meet each other. So only the rest asks, in
+    chunks, and meets all rows, in blocks: copies of a row are as many as chunks of the rest,
+    those of the rest as many as blocks. Two rows that both ask meet in the chunk of the lower number.
+    """
+    size = long.groupBy("list", "component").agg(F.count("*").alias("rows"))
+    size = size.groupBy("list").agg(F.max(F.struct("rows", "component")).alias("most"), F.sum("rows").alias("all"))
+    parts = lambda rows: F.ceil(rows / BLOCK).cast("int")
+    open_lists = size.filter("all > most.rows").select(
+        "list", F.col("most.component").alias("most"), parts(F.col("all") - F.col("most.rows")).alias("chunks"), parts(F.col("all")).alias("blocks")
+    )
+    rows = long.join(written(open_lists, "jaccard-open"), "list").join(nodes.select("id", "bits"), "id").withColumns({
+        "rest": F.col("component") != F.col("most"),
+        "block": F.pmod(F.xxhash64("id"), "blocks").cast("int"),
+        "chunk": F.pmod(F.xxhash64("id", F.lit("chunk")), "chunks").cast("int"),
+    })
+    place = lambda asks, i, j: F.struct(F.lit(asks).alias("asks"), i.alias("i"), j.alias("j"))
+    last = F.when(F.col("rest"), F.col("chunk")).otherwise(F.col("chunks") - 1)
+    met = F.transform(F.sequence(F.lit(0), last), lambda i: place(False, i, F.col("block")))
+    asked = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: place(True, F.col("chunk"), j))
+    rows = rows.withColumn("place", F.explode(F.when(F.col("rest"), F.concat(met, asked)).otherwise(met)))
+    once = F.col("rest") & (F.col("chunk") == F.col("place.i"))
+    return rows.select("list", "place.*", "id", "n", "pos", F.coalesce("prev", "id").alias("prev"), "component", "bits", once.alias("once"))
+
+
 def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     """Bitmaps of a power-of-two length, in rows, folded to `words`."""
     return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
 
 
-def _block_matches(left, right, same: bool, t: Fraction, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+def _block_matches(left, right, t: Fraction, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids; rows marked `once` stand on both sides and are taken from the side of the smaller id."""
     get = lambda f, c: f[c].to_numpy()
     if not len(left) or not len(right):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     width = np.array([len(b) for b in right["bits"]])
-    n, ids, component, prev, pos = (get(right, c) for c in ("n", "id", "component", "prev", "pos"))
+    n, ids, component, prev, pos, once = (get(right, c) for c in ("n", "id", "component", "prev", "pos", "once"))
     maps = {w: np.stack(right["bits"][width == w].to_list()).view(np.uint64) for w in np.unique(width).tolist()}
     place = np.zeros(len(right), dtype=np.int64)
     for w in maps:
@@ -275,8 +294,8 @@ def _block_matches(left, right, same: bool, t: Fraction, nearest: bool) -> tuple
         ok = np.minimum(n, row.n) * t.denominator >= np.maximum(n, row.n) * t.numerator
         ok &= (component != row.component) & (prev != row.prev)
         ok &= np.minimum(n - pos, row.n - row.pos) >= need
-        if same and not nearest:
-            ok &= ids > row.id
+        if not nearest:
+            ok &= ~once | (ids > row.id)
         if not ok.any():
             continue
         own, best = np.asarray(row.bits).view(np.uint64)[None, :], None

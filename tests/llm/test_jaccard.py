@@ -115,3 +115,28 @@ def test_bitmaps_never_drop_a_link():
         words = min(x.shape[1], y.shape[1])
         common = len(np.intersect1d(a, b))
         assert np.bitwise_count(_fold(x, words) ^ _fold(y, words)).sum() <= len(a) + len(b) - 2 * common
+
+
+@pytest.mark.parametrize("foreign", [1, 40])
+def test_rows_of_a_long_list_are_copied_for_its_smaller_components_only(spark, monkeypatch, foreign):
+    monkeypatch.setattr(jaccard, "BLOCK", 50)
+    long = spark.range(4000).selectExpr(
+        "7 as list", "id", "100 as n", "0 as pos", "cast(null as long) as prev", f"if(id < {foreign}, id, 9999) as component"
+    )
+    nodes = spark.range(4000).selectExpr("id", "array(id) as bits")
+    rows = jaccard._blocks(long.union(long.filter(f"id >= {foreign}").selectExpr("8", "id", "n", "pos", "prev", "component")), nodes)
+    # every row once, and the foreign ones for each of 80 blocks; the list of one component not at all
+    assert rows.count() == 4000 + 80 * foreign and rows.filter("list != 7").isEmpty()
+
+
+def test_all_pairs_of_different_components_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    long = spark.range(200).selectExpr("7 as list", "id", "100 as n", "0 as pos", "cast(null as long) as prev", "if(id < 90, 1000, id div 3) as component")
+    met = {}
+    for _, part in jaccard._blocks(long, spark.range(200).selectExpr("id", "array(0L) as bits")).toPandas().groupby(["i", "j"]):
+        a, b = jaccard._block_matches(part[part.asks], part[~part.asks], Fraction(1, 2), False)
+        for x, y in zip(a.tolist(), b.tolist()):
+            pair = min(x, y), max(x, y)
+            met[pair] = met.get(pair, 0) + 1
+    component = lambda k: 1000 if k < 90 else k // 3
+    assert met == {(x, y): 1 for y in range(200) for x in range(y) if component(x) != component(y)}
