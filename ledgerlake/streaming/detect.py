@@ -1,8 +1,10 @@
-"""Fast in-and-out as a stateful stream: each account's open credits and what has left since, no pairs of rows.
+"""Fast in-and-out as a stateful stream: each account's open credits and the debits near them, no pairs of rows.
 
-State of an account is a map of its large credits still open, with the running total of the debits after each, and a map of
-debits by time, kept while a credit from before them may still come. Event-time timers close a credit once the
-watermark has passed its end, so state is bounded by the width and the watermark's delay.
+State of an account is its large credits still open and its debits, in parts as they came: a batch adds one part per frame of
+rows, whatever is there already. One event-time timer per account stands at the end of its first open credit; when the
+watermark has passed it, the parts are read, credits that ended are judged by running sums, and only parts that lose rows are
+written again. Debits stay while an open credit, or one that may still come, lies before them, so state is bounded by the
+width and the watermark's delay.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from collections.abc import Iterator
 from decimal import Decimal
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,56 +32,96 @@ class _InOut(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # a number tells apart credits of one moment
-        self.credits = handle.getMapState("credits", "at long, number long", "cents long, out long, last long, told boolean")
-        self.debits = handle.getMapState("debits", "at long", "out long")
+        self.parts = handle.getMapState("parts", "number long", "at array<long>, cents array<long>, debit array<boolean>")
+        # the number of the next part, and the timer that stands
+        self.head = handle.getValueState("head", "next long, timer long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        news = pd.concat(rows)
-        came = news[news["debit"]].groupby("at")["cents"].sum().to_dict()
-        for at, cents in came.items():
-            known = self.debits.getValue((at,)) if self.debits.containsKey((at,)) else (0,)
-            self.debits.updateValue((at,), (int(known[0]) + int(cents),))
-            self._timer(at)
-        alerts = []
-        # credits known before take the new debits; new credits take all debits kept
-        for (at, number), credit in list(self.credits.iterator()):
-            after = {t: v for t, v in came.items() if at < t <= at + self.length}
-            if after:
-                self._store(key, at, number, credit[0], credit[1] + sum(after.values()), max(credit[2], *after), credit[3], alerts)
-        kept = {d[0]: int(v[0]) for d, v in self.debits.iterator()}
-        for at, cents in news[~news["debit"]][["at", "cents"]].itertuples(index=False):
-            number = 0
-            while self.credits.containsKey((at, number)):
-                number += 1
-            after = {t: v for t, v in kept.items() if at < t <= at + self.length}
-            self._store(key, at, number, cents, sum(after.values()), max(after, default=0), False, alerts)
-            self._timer(at + self.length)
-        if alerts:
-            yield pd.DataFrame(alerts, columns=_NAMES)
-
-    def _store(self, key: Any, at: int, number: int, cents: int, out: int, last: int, told: bool, alerts: list) -> None:
-        if self.early and not told and out and out >= cents * self.ratio:
-            alerts.append((key[0], int(at), int(cents), int(out), int(last)))
-            told = True
-        self.credits.updateValue((int(at), int(number)), (int(cents), int(out), int(last), bool(told)))
-
-    def _timer(self, at: int) -> None:
-        self.handle.registerTimer(int(at) // 1000 + 1)
+        known = self.head.get()
+        number, timer = known if known else (0, None)
+        due = []
+        for news in rows:
+            part = tuple(news[name].to_numpy() for name in ("at", "cents", "debit"))
+            self._write(number, part)
+            number += 1
+            due.append(self._due(part[0], part[2]))
+        if self.early:
+            yield from self._settle(key, None)
+        self.head.update((number, self._timer(timer, min(due))))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        known = self.head.get()
+        if not known or known[1] != expiredTimerInfo.getExpiryTimeInMs():
+            return
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        alerts = []
-        for (at, number), (cents, out, last, _) in list(self.credits.iterator()):
-            if at + self.length < now:
-                self.credits.removeKey((at, number))
-                if not self.early and out and out >= cents * self.ratio:
-                    alerts.append((key[0], int(at), int(cents), int(out), int(last)))
-        for (at,), _ in list(self.debits.iterator()):
-            if at < now:  # credits from before it would be late
-                self.debits.removeKey((at,))
+        left = []
+        yield from self._settle(key, now, left)
+        if left:
+            self.head.update((known[0], self._timer(None, min(left))))
+        else:
+            self.head.clear()
+
+    def _write(self, number: int, part: tuple) -> None:
+        self.parts.updateValue((number,), tuple(column.tolist() for column in part))
+
+    def _due(self, at: np.ndarray, debit: np.ndarray) -> int:
+        """When rows can first go: the end of the first credit; debits alone go together."""
+        return int(at.max() if debit.all() else at[~debit].min() + self.length)
+
+    def _timer(self, stands: int | None, at: int) -> int:
+        """The timer of an account, no later than ``at`` is over."""
+        asked = at // 1000 + 1
+        if stands is not None and stands <= asked:
+            return stands
+        if stands is not None:
+            self.handle.deleteTimer(stands)
+        self.handle.registerTimer(asked)
+        return asked
+
+    def _settle(self, key: Any, now: int | None, left: list | None = None) -> Iterator[pd.DataFrame]:
+        """Judges credits, those that ended before ``now`` or with ``early`` all, and drops rows that are done.
+
+        ``left`` takes when rows of what stays can first go.
+        """
+        numbers = [number for (number,) in self.parts.keys()]
+        kinds = (np.int64, np.int64, bool)
+        parts = [tuple(np.array(c, k) for c, k in zip(self.parts.getValue((n,)), kinds)) for n in numbers]
+        at, cents, debit = (np.concatenate(columns) for columns in zip(*parts))
+        outs, credits = np.flatnonzero(debit), np.flatnonzero(~debit)
+        outs = outs[np.argsort(at[outs], kind="stable")]
+        moments, amounts = at[outs], cents[outs]
+        if len(amounts) and float(np.abs(amounts.astype(float)).max()) * len(amounts) >= 2.0**62:
+            amounts = amounts.astype(object)  # sums beyond a long stay exact
+        upto = np.concatenate([np.zeros(1, amounts.dtype), np.cumsum(amounts)])
+
+        ended = np.zeros(len(credits), bool) if now is None else at[credits] + self.length < now
+        asked = credits if now is None else credits[ended & (not self.early)]
+        first, end = np.searchsorted(moments, at[asked], "right"), np.searchsorted(moments, at[asked] + self.length, "right")
+        gone = (upto[end] - upto[first]).tolist()
+        alerts = [
+            (i, (key[0], int(at[i]), int(cents[i]), out, int(moments[e - 1])))
+            for i, out, e in zip(asked.tolist(), gone, end.tolist()) if out and out >= int(cents[i]) * self.ratio
+        ]
+        keep = np.ones(len(at), bool)
+        keep[credits[ended]] = False
+        if self.early:
+            keep[[i for i, _ in alerts]] = False  # told once
+        if now is not None:
+            # debits from after an open credit, or one that is not late yet
+            open_at = at[credits[keep[credits]]]
+            keep &= ~debit | (at >= now) | (at > (open_at.min() if len(open_at) else now))
+        start = 0
+        for number, part in zip(numbers, parts):
+            kept = keep[start:start + len(part[0])]
+            start += len(kept)
+            if not kept.any():
+                self.parts.removeKey((number,))
+            elif not kept.all():
+                self._write(number, tuple(column[kept] for column in part))
+        if left is not None and keep.any():
+            left.append(self._due(at[keep], debit[keep]))
         if alerts:
-            yield pd.DataFrame(alerts, columns=_NAMES)
+            yield pd.DataFrame([alert for _, alert in alerts], columns=_NAMES)
 
     def close(self) -> None:
         pass
