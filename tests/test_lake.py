@@ -1,12 +1,14 @@
 import glob
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.vault import HUBS, build_hub
-from ledgerlake.schemas import TABLES
+from ledgerlake.schemas import SOURCES, TABLES
 from ledgerlake.session import scratch_dir
+from ledgerlake.sources.delimited import type_rows
 from ledgerlake.sources.lake import (
     Lake, create_table_sql, create_tables, drop_partition, export_json, insert_day,
     latest_day, publish_tables,
@@ -20,6 +22,36 @@ def hub(spark, dt, *ids):
     return build_hub(rows, HUBS["hub_customer"], dt)
 
 
+def _time_types(path):
+    files = glob.glob(path + "/**/*.parquet", recursive=True)
+    schemas = [pq.read_metadata(f).schema for f in files]
+    return {(c.name, c.physical_type) for schema in schemas for c in schema if c.name in ("ingest_time", "create_time", "complete_time")}
+
+
+def test_times_of_a_parquet_day_are_longs(spark, tmp_path):
+    """Days in the older form and in the new one are read together, and the session's own setting stays."""
+    lake = Lake(spark, str(tmp_path), "parquet")
+    times = ["0001-01-01 00:00:00", "1899-12-31 23:59:59.999999", "2026-06-14 10:00:00.000001", "9999-12-31 23:59:59.999999", None]
+    rows = type_rows(spark.createDataFrame([(f"P{i}", t) for i, t in enumerate(times)], "pay_id string, create_time string")
+                     .select("*", *[F.lit(None).cast("string").alias(n) for n in SOURCES["payment"].schema.names
+                                    if n not in ("pay_id", "create_time")]), "payment", D1)
+    own = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    lake.write_day("ods_payment", rows, D2)
+    assert _time_types(lake.path("ods_payment")) == {(n, "INT64") for n in ("ingest_time", "create_time", "complete_time")}
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == own
+    log = lake.log("ods_payment")
+    old = log.fresh(f"dt={D1}")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:
+        rows.write.parquet(f"{log.root}/{old}")
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", own)
+    log.commit(lambda days: {D1: old})
+    for dt in (D1, D2):
+        got = lake.read("ods_payment", dt, dt).orderBy("pay_id").select(F.col("create_time").cast("string")).collect()
+        assert [r[0] for r in got] == times, dt
+
+
 def ids(df):
     return sorted((r.dt, r.customer_id) for r in df.collect())
 
