@@ -43,6 +43,8 @@ NAME = (
 ASSIGNED = NAME + r"(?:[_\-.][A-Za-z0-9_\-.]*)?[\"']?(?:=|:)[\"']?[^\x20\x09-\x0D\"']{6,}"
 #: A URL's user and password; the last group is the password.
 LOGIN = r"[A-Za-z][A-Za-z0-9+.\-]*://[^\x20\x09-\x0D/?#:@]*:([^\x20\x09-\x0D/]+)@"
+#: Forms that make a word a candidate by itself. Neither these nor NAME match white space, so a text has one if a word has.
+FORM = f"{KEY}|{ASSIGNED}|{LOGIN}"
 #: A word of running text.
 PROSE = r"^[a-z]+[.,;!?]?$"
 STAND_IN = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?|xxx|\*\*\*|<.*>|\$\{|1234567|abcdef"
@@ -84,7 +86,8 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_SIZE)
     letters = F.regexp_extract_all(plain, F.lit(r"(?<![^\x20\x09-\x0D(\"'])[A-Za-z]{3,20}(?=[.,;:!?)\"']?(?:[\x20\x09-\x0D]|$))"), F.lit(0))
     words = docs.select(F.explode(F.array_distinct(F.transform(letters, F.lower))).alias("part"))
     most = words.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "part").limit(size).select("part")
-    common = docs.sparkSession.createDataFrame([(w,) for w in COMMON], "part string")
+    # literals: rows of a Python list would start Python workers, which then stay in every executor's memory
+    common = docs.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, COMMON))).alias("part"))
     return written(most.unionByName(common).distinct(), "secret-dictionary")
 
 
@@ -108,14 +111,16 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
 
     def hit(w: Column, i: Column) -> Column:
         near = [F.coalesce(F.get(words, i + k), F.lit("")) for k in (-2, -1, 1)]
-        behind_name = w.rlike(r"[\p{L}\p{N}]") & (near[0].rlike(NAME) | near[1].rlike(NAME))
-        is_one = ((F.length(w) >= LONG) & w.rlike("[0-9]")) | w.rlike(f"{KEY}|{ASSIGNED}|{LOGIN}") | behind_name
+        behind_name = F.col("_named") & w.rlike(r"[\p{L}\p{N}]") & (near[0].rlike(NAME) | near[1].rlike(NAME))
+        is_one = ((F.length(w) >= LONG) & w.rlike("[0-9]")) | (F.col("_formed") & w.rlike(FORM)) | behind_name
         return F.when(is_one, F.struct(i.cast("long").alias("word"), w.alias("token"), near[0].alias("before2"), near[1].alias("before"), near[2].alias("after")))
 
-    keep = [c for c in docs.columns if c not in (text, "_words", "_hit")]
+    keep = [c for c in docs.columns if c not in (text, "_words", "_named", "_formed", "_hit")]
+    # most texts hold no name and no form: their words are spared the patterns, each of which copies every word it tests
+    whole = {"_words": F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), "_named": F.col(text).rlike(NAME), "_formed": F.col(text).rlike(FORM)}
     found = (
         docs.filter(may_hold(F.col(text)))
-        .withColumn("_words", F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
+        .withColumns(whole)
         .select(*keep, F.explode(F.filter(F.transform(words, hit), lambda x: x.isNotNull())).alias("_hit"))
         .select(*keep, "_hit.*")
     )
