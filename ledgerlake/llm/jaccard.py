@@ -273,8 +273,8 @@ def _blocks(long: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _fold(bits: np.ndarray, words: int) -> np.ndarray:
-    """Bitmaps of a power-of-two length, in rows, folded to `words`."""
-    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
+    """Bitmaps of a power-of-two length, in rows (also none), folded to `words`."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), bits.shape[1] // words, words), axis=1)
 
 
 def _block_matches(left, right, t: Fraction, nearest: bool) -> tuple[np.ndarray, np.ndarray]:

@@ -140,3 +140,20 @@ def test_all_pairs_of_different_components_meet_once(spark, monkeypatch):
             met[pair] = met.get(pair, 0) + 1
     component = lambda k: 1000 if k < 90 else k // 3
     assert met == {(x, y): 1 for y in range(200) for x in range(y) if component(x) != component(y)}
+
+
+@pytest.mark.parametrize("nearest", [True, False])
+def test_blocks_hold_bitmaps_of_a_length_that_no_partner_has(nearest):
+    import numpy as np
+    import pandas as pd
+
+    def block(*rows):
+        maps = [np.ones(jaccard.BITMAP * wide, np.int64) for _, _, wide in rows]
+        return pd.DataFrame({"id": [r[0] for r in rows], "n": [r[1] for r in rows], "bits": maps}).assign(
+            component=lambda f: f["id"], prev=lambda f: f["id"], pos=0, once=False
+        )
+
+    right = block((1, 1000, 1), (2, 1030, 2), (3, 5000, 8), (4, 300, 1))
+    for (row, n, wide), partner in {(1, 1000, 1): 2, (9, 1200, 2): 2, (8, 310, 1): 4, (7, 5100, 8): 3, (6, 9000, 16): None}.items():
+        a, b = jaccard._block_matches(block((row, n, wide)), right, Fraction(9, 10) if row != 9 else Fraction(17, 20), nearest)
+        assert (a.tolist(), b.tolist()) == (([row], [partner]) if partner else ([], []))
