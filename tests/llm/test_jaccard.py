@@ -157,3 +157,21 @@ def test_blocks_hold_bitmaps_of_a_length_that_no_partner_has(nearest):
     for (row, n, wide), partner in {(1, 1000, 1): 2, (9, 1200, 2): 2, (8, 310, 1): 4, (7, 5100, 8): 3, (6, 9000, 16): None}.items():
         a, b = jaccard._block_matches(block((row, n, wide)), right, Fraction(9, 10) if row != 9 else Fraction(17, 20), nearest)
         assert (a.tolist(), b.tolist()) == (([row], [partner]) if partner else ([], []))
+
+
+def test_keep_first_where_long_lists_hold_small_and_large_sets(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(jaccard, "SHORT", 4)
+    # as on large tables, where every place of the sketch is taken by many n-grams
+    monkeypatch.setattr(jaccard, "frequency_levels", lambda texts, n: np.zeros(1 << jaccard.SKETCH_BITS, np.uint8))
+    rng = random.Random(4)
+    words = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    passage = words(700)
+    texts = [passage + words(280)] + [passage + words(340 + k) for k in range(8)]  # sets of 976 n-grams, and of 1036 and more
+    texts += [[*texts[4], *words(9)], [*texts[4], *words(20)]]  # links
+    rows = list(enumerate(" ".join(x) for x in texts))
+    expected = by_hand(rows, 5, Fraction(4, 5))
+    assert {n > jaccard.BITMAP_SET for _, n, _ in expected} == {True, False} and len({c for _, _, c in expected}) == 9
+    kept = keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({c for _, _, c in expected})
